@@ -1,0 +1,2 @@
+"""Intentionally empty: closed periods are re-run as batch jobs (``Span`` plus a
+partition overwrite), and no incremental operator is offered."""
