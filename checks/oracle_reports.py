@@ -320,14 +320,14 @@ def failed(by_plaza: bool, ticket: str) -> str:
         WHERE t.charge_in_status IN ('{labels.CANCELLED}', '{labels.FAILED}') AND d.price_type = 'L' GROUP BY ALL""")
 
 
-def payment(select: str, joins: str = "") -> str:
+def payment(select: str, joins: str = "", level: str = "day") -> str:
     return with_roles("txn", f"""
-        SELECT *, round(CAST(successful_transactions AS DOUBLE) / total_transactions, 6) AS success_rate,
-               CAST(total_amount - refund_amount AS DOUBLE) AS net_amount
-        FROM (SELECT {labelled('day')}, {select}, COUNT(*) AS total_transactions, {total('total_amount', 'total_amount')},
+        SELECT *, round(CAST(successful_transactions AS DOUBLE) / total_transactions, 6) AS success_rate
+        FROM (SELECT {labelled(level)}, {select}, COUNT(*) AS total_transactions, {total('total_amount', 'total_amount')},
                      COUNT(*) FILTER (charge_status = 'SUCCESS') AS successful_transactions,
                      COUNT(*) FILTER (charge_status = 'FAILED') AS failed_transactions,
-                     {total("CASE WHEN charge_status = 'ROLL' THEN total_amount ELSE 0 END", 'refund_amount')}
+                     {total("CASE WHEN charge_status = 'ROLL' THEN total_amount ELSE 0 END", 'refund_amount')},
+                     {total("CASE WHEN charge_status = 'ROLL' THEN 0 ELSE total_amount END", 'net_amount')}
               FROM txn {joins} GROUP BY ALL)""")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -67,27 +69,35 @@ def missing_partitions(df: DataFrame) -> list[str]:
 def write_mart(df: DataFrame, path: str) -> None:
     """Replace exactly the touched day partitions of a Parquet mart.
 
-    The rebalance hint sizes the output files: small days are merged, a very large
-    day is split over several tasks instead of filling one.
+    The rows are rebalanced by day: each day goes to one task and becomes one file,
+    except a very large day, which is split. Merging small tasks is switched off for
+    the write: it would not make fewer files, only leave them to fewer tasks.
     """
     lacking = missing_partitions(df)
     if lacking:
         raise ValueError(f"partition columns missing: {lacking}")
-    (
-        normalize_partitions(df).hint("rebalance", *MART_PARTITIONS)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*MART_PARTITIONS).parquet(path)
-    )
+    with _setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        (
+            normalize_partitions(df).hint("rebalance", *MART_PARTITIONS)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*MART_PARTITIONS).parquet(path)
+        )
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     """A mart with its partition columns kept as text."""
-    kept = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
+    with _setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
         return spark.read.parquet(path)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    kept = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
     finally:
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", kept)
+        spark.conf.set(key, kept)
 
 
 def period_condition(column: str, condition: str, day: str | date) -> Column:
