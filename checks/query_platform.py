@@ -72,7 +72,7 @@ def dim_date(spark, sf_dir):
 
 def scan_fact_detail(spark, sf_dir):
     columns = ["transport_trans_id", "stage_id", "price_id", "price_type", "price_amount", "year", "month", "day", "hour"]
-    return DerivedStar(spark, sf_dir).fact("detail", whole("month")).select(*columns)
+    return DerivedStar(spark, sf_dir).fact("detail", whole("month"), columns).drop("local_day")
 
 
 def dim_load_cached(spark, sf_dir):

@@ -21,6 +21,9 @@ FIRST_HOUR = f"{24 - LOCAL_OFFSET_HOURS:02d}"
 LAST_HOUR = f"{23 - LOCAL_OFFSET_HOURS:02d}"
 LEVELS = ("day", "week", "month", "quarter", "year")
 
+# The Spark truncation unit of each level.
+_TRUNC = {"week": "WEEK", "month": "MM", "quarter": "QUARTER", "year": "YEAR"}
+
 log = logging.getLogger(__name__)
 
 
@@ -116,9 +119,13 @@ class Span:
             arms += _whole_days(self.first, inner_last)
         return reduce(lambda a, b: a | b, arms)
 
-    def label(self, day: Column | None = None) -> dict[str, Column]:
-        """Period label columns of a local day (default: from the partition columns)."""
-        return label_columns(self.level, local_day() if day is None else day)
+    def period(self, day: Column) -> Column:
+        """First local day of the period a day falls into: the cheap grouping key of a report."""
+        return day if self.level == "day" else F.trunc(day, _TRUNC[self.level])
+
+    def labels(self, period: str = "period") -> list[Column]:
+        """Published label columns of a period, made from its first day."""
+        return [column.alias(name) for name, column in label_columns(self.level, F.col(period)).items()]
 
 
 def _on_day(day: date) -> Column:
@@ -206,8 +213,6 @@ def period_attributes(days: DataFrame, day: str) -> DataFrame:
     )
 
 
-# The Spark truncation unit of each level.
-_TRUNC = {"week": "WEEK", "month": "MM", "quarter": "QUARTER", "year": "YEAR"}
 _LAST = {
     "week": lambda first: F.date_add(first, 6),
     "month": F.last_day,

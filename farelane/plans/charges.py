@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from farelane.functions import labels
 from farelane.functions.calendar import Span
 from farelane.functions.text import typed_null
-from farelane.plans.common import amount, labelled, null_money
+from farelane.plans.common import amount, by_period, null_money
 from farelane.sources.star import Star
 
 
@@ -20,18 +20,22 @@ def failed_charges(star: Star, span: Span, by_plaza: bool, ticket: str) -> DataF
     ``ticket`` is the price-list column to group on: ``price_ticket_type`` or
     ``price_type``. The charge state is applied to the transactions before the join.
     """
-    detail, label = labelled(star.fact("detail", span).filter(F.col("price_type") == "L"), span)
-    failed = star.fact("txn").filter(F.col("charge_in_status").isin(labels.CANCELLED, labels.FAILED)).select("transport_trans_id")
-    stage = star.stage_closed().select("stage_id", "cycle_name", F.col("checkout_toll_name").alias("toll_name"))
-    price = star.table("price").select("price_id", F.col("vehicle_type").alias("code"), F.col(ticket).alias("price_list_ticket"))
-    known = star.domain("VEHICLE_TYPE").toDF("code", "vehicle_label")
-    keys = [*label, "cycle_name", *(["toll_name"] if by_plaza else []), "vehicle_label", "price_list_ticket"]
+    wanted = ["transport_trans_id", "stage_id", "price_id", "price_type", "price_amount"]
+    detail = by_period(star.fact("detail", span, wanted).filter(F.col("price_type") == "L"), span)
+    failed = star.fact("txn", columns=["transport_trans_id", "charge_in_status"]).filter(
+        F.col("charge_in_status").isin(labels.CANCELLED, labels.FAILED)
+    ).select("transport_trans_id")
+    stage = star.stages().select("stage_id", "cycle_name", F.col("checkout_toll_name").alias("toll_name"))
+    priced = star.priced_vehicles().select("price_id", "vehicle_label", F.col(f"list_{ticket}"))
+    places = ["cycle_name", *(["toll_name"] if by_plaza else [])]
     return (
-        detail.select(*label, "transport_trans_id", "stage_id", "price_id", "price_amount")
-        .join(failed, "transport_trans_id").join(stage, "stage_id").join(price, "price_id").join(known, "code")
-        .groupBy(*keys)
+        detail.join(failed, "transport_trans_id").join(stage, "stage_id").join(priced, "price_id")
+        .groupBy("period", *places, "vehicle_label", f"list_{ticket}")
         .agg(F.count_distinct("transport_trans_id").alias("quantity"), amount(F.col("price_amount"), "amount"))
-        .withColumnsRenamed({"vehicle_label": "vehicle_type", "price_list_ticket": ticket})
+        .select(
+            *span.labels(), *places, F.col("vehicle_label").alias("vehicle_type"), F.col(f"list_{ticket}").alias(ticket),
+            "quantity", "amount",
+        )
     )
 
 
@@ -42,14 +46,15 @@ def _between(rows: DataFrame, column: str, from_day: date, to_day: date) -> Data
 
 def vehicle_transactions(star: Star, from_day: date, to_day: date, cycle_name: str | None = None) -> DataFrame:
     """Detail rows of the transactions between two dates, optionally of one route."""
-    txn = _between(star.fact("txn"), "checkout_datetime", from_day, to_day).select(
+    wanted = [
         "transport_trans_id", "checkin_datetime", "checkout_datetime", "plate", "etag_number", "vehicle_type",
         "charge_status", "total_amount", "checkin_lane_id", "checkout_lane_id",
-    )
-    stage = star.stage_closed()
+    ]
+    txn = _between(star.fact("txn", columns=wanted), "checkout_datetime", from_day, to_day)
+    stage = star.stages()
     if cycle_name is not None:
         stage = stage.filter(F.col("cycle_name") == cycle_name)
-    detail = star.fact("detail").select("transport_trans_id", "stage_id", "price_type", "price_ticket_type", "price_amount")
+    detail = star.fact("detail", columns=["transport_trans_id", "stage_id", "price_type", "price_ticket_type", "price_amount"])
     return detail.join(txn, "transport_trans_id").join(stage, "stage_id").select(
         F.date_format("checkout_datetime", "yyyyMMddHH").cast("bigint").alias("datetime_id"),
         "transport_trans_id", "checkin_datetime", "checkout_datetime", "plate", "etag_number", "vehicle_type",
@@ -70,11 +75,12 @@ UNDEFINED_MEASURES = (
 
 def vehicle_transaction_report(star: Star, from_day: date, to_day: date, cycle_name: str | None = None) -> DataFrame:
     """Distinct transactions per ticket kind, stage and plazas between two dates."""
-    stage = star.stage_closed()
+    stage = star.stages()
     if cycle_name is not None:
         stage = stage.filter(F.col("cycle_name") == cycle_name)
+    wanted = ["transport_trans_id", "stage_id", "price_type", "price_ticket_type", "checkin_datetime"]
     return (
-        _between(star.fact("detail"), "checkin_datetime", from_day, to_day)
+        _between(star.fact("detail", columns=wanted), "checkin_datetime", from_day, to_day)
         .join(stage, "stage_id")
         .groupBy("price_type", "price_ticket_type", "checkin_toll_name", "checkout_toll_name", "stage_name")
         .agg(F.count_distinct("transport_trans_id").alias("quantity"))

@@ -10,10 +10,9 @@ from farelane.functions.calendar import Span
 from farelane.functions.text import typed_null
 
 
-def labelled(rows: DataFrame, span: Span) -> tuple[DataFrame, list[str]]:
-    """Rows with the period label columns of the span, and the label names."""
-    label = span.label(F.col("local_day"))
-    return rows.withColumns(label), list(label)
+def by_period(rows: DataFrame, span: Span) -> DataFrame:
+    """Rows with their ``period``, a date; the label texts are made from it after grouping."""
+    return rows.withColumn("period", span.period(F.col("local_day")))
 
 
 def amount(column: Column, name: str) -> Column:
@@ -26,19 +25,19 @@ def null_money(*names: str) -> list[Column]:
     return [typed_null().alias(name) for name in names]
 
 
-def price_type_pivot(groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Counts and revenue per ticket period in columns, with totals.
+def price_type_pivot(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``quantity`` and ``amount`` per ticket period in columns, with totals, in one aggregate.
 
-    Counts were distinct per ticket period, so a transaction with two ticket periods
-    counts once in each and twice in the total.
+    With distinct counts the rows are one per transaction and ticket period, so a
+    transaction with two ticket periods counts once in each and twice in the total.
     """
     measures: list[Column] = []
     for code, name in labels.PRICE_TYPES.items():
         chosen = F.col("price_type") == code
-        measures.append(F.sum(F.when(chosen, F.col("quantity"))).alias(f"{name}_pass_count"))
+        measures.append(F.sum(F.when(chosen, F.col("quantity"))).cast("bigint").alias(f"{name}_pass_count"))
         measures.append(amount(F.when(chosen, F.col("amount")), f"{name}_pass_revenue"))
-    return groups.groupBy(*keys).agg(
-        *measures, F.sum("quantity").alias("total_pass_count"), amount(F.col("amount"), "total_revenue")
+    return rows.groupBy(*keys).agg(
+        *measures, F.sum("quantity").cast("bigint").alias("total_pass_count"), amount(F.col("amount"), "total_revenue")
     )
 
 

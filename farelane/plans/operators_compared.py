@@ -5,55 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.functions.calendar import Span
-from farelane.plans.common import amount, joined_share, labelled, split_sum
-from farelane.plans.share import rule_day
+from farelane.functions.calendar import Span, label_columns
+from farelane.plans.common import amount, by_period, joined_share, split_sum
+from farelane.plans.share import split_groups
 from farelane.sources.star import Star
 
 
 def operator_revenue(star: Star, span: Span, with_passes: bool) -> DataFrame:
     """Split revenue per period and operator, from trips or trips and subscriptions."""
-    detail, label = labelled(star.fact("detail", span).filter(F.col("price_type") == "L"), span)
-    detail = detail.withColumn("rule_day", rule_day(span.level))
-    txn = star.fact("txn").select("transport_trans_id", "boo")
-    keys = ["rule_day", *label, "boo", "vehicle_type", "price_type"]
-    groups = (
-        detail.groupBy("transport_trans_id", "vehicle_type", "price_type", "rule_day", *label)
-        .agg(F.count("*").alias("n_rows"), amount(F.col("price_amount"), "amount"))
-        .join(txn, "transport_trans_id")
-        .groupBy(*keys).agg(F.sum("n_rows").alias("n_rows"), amount(F.col("amount"), "amount"))
-    )
-    if with_passes:
-        bought, _ = labelled(star.fact("subscription", span), span)
-        passes = bought.withColumn("rule_day", rule_day(span.level)).groupBy(*keys).agg(
-            F.count("*").alias("n_rows"), amount(F.col("price_amount"), "amount")
-        )
+    groups, passes = split_groups(star, span, None, with_passes)
+    if passes is not None:
         groups = groups.unionByName(passes)
-    split = joined_share(groups, star.table("share"), "rule_day")
-    return split.groupBy(*label, "rule_day", "boo").agg(split_sum("revenue"))
+    return joined_share(groups, star.table("share"), "period").groupBy("period", "boo").agg(split_sum("boo_revenue"))
 
 
 def operator_pairs(revenue: DataFrame, names: DataFrame | None, difference: str) -> DataFrame:
     """Each pair of operators of one day with the absolute difference.
 
-    The result is the pairs, and its input is one row per day and operator, so the
-    join is on the day with the operator order as the extra condition.
+    The report is the list of pairs. Its input is one row per day and operator, so a
+    day holds as many rows as there are operators; the join is on the day, with the
+    operator order as the extra condition.
     """
-    side = revenue.select(
-        "datetime_id", F.col("rule_day").alias("day"), "boo", F.col("revenue").alias("boo_revenue")
-    )
+    side = revenue
     if names is not None:
         side = side.join(names.toDF("boo", "boo_name"), "boo", "left")
     else:
         side = side.withColumn("boo_name", F.col("boo"))
-    one = side.select(
-        "datetime_id", "day", F.col("boo").alias("k1"), F.col("boo_name").alias("boo1"), F.col("boo_revenue").alias("boo1_revenue")
-    )
-    two = side.select("day", F.col("boo").alias("k2"), F.col("boo_name").alias("boo2"), F.col("boo_revenue").alias("boo2_revenue"))
+    one = side.select("period", F.col("boo").alias("k1"), F.col("boo_name").alias("boo1"), F.col("boo_revenue").alias("boo1_revenue"))
+    two = side.select("period", F.col("boo").alias("k2"), F.col("boo_name").alias("boo2"), F.col("boo_revenue").alias("boo2_revenue"))
     gap = F.abs(F.col("boo1_revenue") - F.col("boo2_revenue")).cast("decimal(38,6)")
-    return one.join(two, "day").filter(F.col("k1") < F.col("k2")).select(
-        "datetime_id", F.date_format("day", "yyyy-MM-dd").alias("date"),
-        "boo1", "boo1_revenue", "boo2", "boo2_revenue", gap.alias(difference),
+    day = [column.alias(name) for name, column in label_columns("day", F.col("period")).items()]
+    return one.join(two, "period").filter(F.col("k1") < F.col("k2")).select(
+        *day, "boo1", "boo1_revenue", "boo2", "boo2_revenue", gap.alias(difference)
     )
 
 
@@ -74,19 +57,25 @@ def operator_revenue_adjusted(star: Star, span: Span) -> DataFrame:
 
     Before and adjustment come from one pass over the details: a charged transaction
     adds a second, flagged copy of its rows. The charge list is reduced to distinct ids
-    before it meets the fact.
+    before it meets the fact. All three are reduced per transaction and plaza pair
+    before the names are joined.
     """
-    charged = star.fact("charge").select("transporttransactionid").distinct().withColumn("charged", F.lit(True))
-    before = star.fact("before", span).join(charged, "transporttransactionid", "left")
+    charged = star.fact("charge", columns=["transporttransactionid"]).distinct().withColumn("charged", F.lit(True))
+    key = ["period", "fromtollid", "totollid", "tickettype", "prioritytype", "transporttransactionid"]
+    columns = [*key[1:], "paidamount"]
+
+    def per_trip(role: str) -> DataFrame:
+        return by_period(star.fact(role, span, columns), span).groupBy(*key).agg(amount(F.col("paidamount"), "paid"))
+
     kinds = F.array_compact(F.array(F.lit("before_adj_amount"), F.when(F.col("charged"), F.lit("adjustment_amount"))))
-    columns = ["local_day", "fromtollid", "totollid", "transporttransactionid", "tickettype", "prioritytype", "paidamount", "type"]
-    rows = before.withColumn("type", F.explode(kinds)).select(*columns).unionByName(
-        star.fact("final", span).withColumn("type", F.lit("after_adj_amount")).select(*columns)
-    )
-    rows, label = labelled(rows, span)
-    keys = [*label, "toll_type", "boo", "cycle_id", "cycle_name", "tickettype", "prioritytype", "type"]
+    before = per_trip("before").join(charged, "transporttransactionid", "left").withColumn("type", F.explode(kinds)).drop("charged")
+    rows = before.unionByName(per_trip("final").withColumn("type", F.lit("after_adj_amount")))
+    keys = ["period", "toll_type", "boo", "cycle_id", "cycle_name", "tickettype", "prioritytype", "type"]
     return (
         rows.join(star.stage_pairs(), ["fromtollid", "totollid"]).groupBy(*keys)
-        .agg(F.count_distinct("transporttransactionid").alias("qty"), amount(F.col("paidamount"), "amount"))
-        .withColumnsRenamed({"tickettype": "ticket_type", "prioritytype": "price_ticket_type"})
+        .agg(F.count_distinct("transporttransactionid").alias("qty"), amount(F.col("paid"), "amount"))
+        .select(
+            *span.labels(), "toll_type", "boo", "cycle_id", "cycle_name", F.col("tickettype").alias("ticket_type"),
+            F.col("prioritytype").alias("price_ticket_type"), "qty", "amount", "type",
+        )
     )

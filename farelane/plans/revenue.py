@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from farelane.functions import labels
 from farelane.functions.calendar import Span
 from farelane.functions.text import route_of
-from farelane.plans.common import amount, labelled, null_money, with_vehicle_and_channel_rows
+from farelane.plans.common import amount, by_period, null_money, with_vehicle_and_channel_rows
 from farelane.sources.star import Star
 
 LEVEL_KEYS = {
@@ -21,66 +21,64 @@ LEVEL_KEYS = {
 def transaction_revenue(star: Star, span: Span, level: str) -> DataFrame:
     """Revenue per ``lane``, ``plaza`` or ``route`` from the transaction fact.
 
-    All measures add up, so the transactions are reduced to vehicle-type groups first;
-    the channel rows are rolled up from those groups, not from a second scan.
+    All measures add up, so the transactions are reduced to vehicle-type groups per
+    plaza first. Route names are cut from plaza names and channel rows are rolled up
+    from those groups, not from the fact and not by a second scan.
     """
-    txn, label = labelled(star.fact("txn", span), span)
-    keys = [*label, *LEVEL_KEYS[level], "revenue_group"]
-    vehicle = star.table("vehicle").select("vehicle_id", F.col("vehicle_group").alias("revenue_group"))
+    places = ["checkout_toll_name", *(["checkout_lane_name"] if level == "lane" else [])]
+    columns = [*places, "vehicle_id", "vehicle_type", "total_amount", "voucher_used_amount"]
+    vehicle = star.small(star.table("vehicle").select("vehicle_id", F.col("vehicle_group").alias("revenue_group")), "vehicle")
     by_type = (
-        txn.withColumns({
-            "route": route_of(F.col("checkout_toll_name")),
-            "plaza_name": F.col("checkout_toll_name"),
-            "lane_name": F.col("checkout_lane_name"),
-        })
-        .join(vehicle, "vehicle_id")
-        .groupBy(*keys, "vehicle_type")
+        by_period(star.fact("txn", span, columns), span).join(vehicle, "vehicle_id")
+        .groupBy("period", *places, "revenue_group", "vehicle_type")
         .agg(
             F.count("*").alias("n"),
             amount(F.col("total_amount"), "gross"),
             amount(F.col("voucher_used_amount"), "discount"),
         )
+        .withColumns({"route": route_of(F.col("checkout_toll_name")), "plaza_name": F.col("checkout_toll_name")})
+        .withColumnsRenamed({"checkout_lane_name": "lane_name"})
     )
-    # Two vehicle codes may share one label text; the label decides the row, as it is what is published.
     rows = with_vehicle_and_channel_rows(by_type, labels.vehicle_type_label(F.col("vehicle_type")))
+    # Unknown codes share one label text but stay separate rows, hence the code among the keys.
     code = F.when(F.col("type") == labels.BY_VEHICLE, F.col("vehicle_type"))
-    totals = rows.groupBy(*keys, "vehicle_transaction_type", "type", code.alias("code")).agg(
+    totals = rows.groupBy("period", *LEVEL_KEYS[level], "revenue_group", "vehicle_transaction_type", "type", code.alias("code")).agg(
         F.sum("n").alias("transaction_count"), amount(F.col("gross"), "gross_revenue"), amount(F.col("discount"), "discount_amount")
     )
-    return _published(totals, label, LEVEL_KEYS[level], F.col("discount_amount"))
+    return _published(totals, span, LEVEL_KEYS[level], F.col("discount_amount"))
 
 
 def detail_revenue(star: Star, span: Span, level: str) -> DataFrame:
     """Revenue per ``plaza`` or ``route`` from the detail fact, with distinct transactions.
 
     Vehicle rows need a priced, known vehicle type; channel rows of the route report
-    do not, those of the plaza report do.
+    do not, those of the plaza report do. Amounts are summed per transaction before the
+    rows are doubled into vehicle and channel rows.
     """
-    detail, label = labelled(star.with_vehicle(star.fact("detail", span)), span)
-    keys = [*label, *LEVEL_KEYS[level], "revenue_group"]
-    stage = star.stage_closed().select(
+    columns = ["transport_trans_id", "stage_id", "price_id", "vehicle_id", "price_amount"]
+    detail = by_period(star.fact("detail", span, columns), span)
+    stage = star.stages().select(
         "stage_id", F.col("cycle_name").alias("route"), F.col("checkout_toll_name").alias("plaza_name")
     )
-    price = star.table("price").select("price_id", F.col("vehicle_type").alias("price_vehicle_type"))
-    known = star.domain("VEHICLE_TYPE").toDF("price_vehicle_type", "vehicle_label")
-    vehicle = star.table("vehicle").select("vehicle_id", F.col("vehicle_group").alias("revenue_group"))
-    kind = "inner" if level == "plaza" else "left"
-    rows = (
-        detail.join(stage, "stage_id").join(vehicle, "vehicle_id")
-        .join(price.join(known, "price_vehicle_type"), "price_id", kind)
+    priced = star.priced_vehicles().select("price_id", "vehicle_label")
+    keys = ["period", *LEVEL_KEYS[level]]
+    per_trip = (
+        detail.join(stage, "stage_id").join(priced, "price_id", "inner" if level == "plaza" else "left")
+        .groupBy(*keys, "vehicle_label", "vehicle_id", "transport_trans_id").agg(amount(F.col("price_amount"), "amount"))
     )
+    vehicle = star.small(star.table("vehicle").select("vehicle_id", F.col("vehicle_group").alias("revenue_group")), "vehicle")
     totals = (
-        with_vehicle_and_channel_rows(rows, F.col("vehicle_label"))
-        .groupBy(*keys, "vehicle_transaction_type", "type")
-        .agg(F.count_distinct("transport_trans_id").alias("transaction_count"), amount(F.col("price_amount"), "gross_revenue"))
+        with_vehicle_and_channel_rows(per_trip.join(vehicle, "vehicle_id"), F.col("vehicle_label"))
+        .groupBy(*keys, "revenue_group", "vehicle_transaction_type", "type")
+        .agg(F.count_distinct("transport_trans_id").alias("transaction_count"), amount(F.col("amount"), "gross_revenue"))
     )
-    return _published(totals, label, LEVEL_KEYS[level], None)
+    return _published(totals, span, LEVEL_KEYS[level], None)
 
 
-def _published(totals: DataFrame, label: list[str], keys: tuple[str, ...], discount: Column | None) -> DataFrame:
+def _published(totals: DataFrame, span: Span, keys: tuple[str, ...], discount: Column | None) -> DataFrame:
     discounts = null_money("discount_amount") if discount is None else [discount.alias("discount_amount")]
     return totals.select(
-        *label, *keys, "vehicle_transaction_type", "revenue_group", "transaction_count", "gross_revenue",
+        *span.labels(), *keys, "vehicle_transaction_type", "revenue_group", "transaction_count", "gross_revenue",
         *discounts, *null_money("tax_amount", "investment_amount", "net_revenue"),
         "type", F.lit(labels.PUBLIC_INVESTMENT).alias("cycle_type"),
     )

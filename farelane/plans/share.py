@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from farelane.functions import labels
 from farelane.functions.calendar import Span
-from farelane.plans.common import amount, joined_share, labelled, null_money, split_sum
+from farelane.plans.common import amount, by_period, joined_share, null_money, split_sum
 from farelane.sources.star import Star
 
 ALLOCATIONS = ("nsnn_revenue", "dbvn_revenue", "dvvh_revenue")
@@ -17,18 +17,20 @@ def plaza_route_share_daily(star: Star, span: Span) -> DataFrame:
     """Single-trip revenue per route and plaza, one row per investment class.
 
     Both classes carry the same revenue by contract: never add them up. The revenue is
-    aggregated once and the finished rows are repeated per class.
+    aggregated once, per stage before names are joined, and the finished rows are
+    repeated per class.
     """
-    detail, label = labelled(star.fact("detail", span).filter(F.col("price_type") == "L"), span)
-    stage = star.stage_closed().select(
+    detail = by_period(star.fact("detail", span, ["stage_id", "price_type", "price_amount"]).filter(F.col("price_type") == "L"), span)
+    stage = star.stages().select(
         "stage_id", F.col("cycle_name").alias("route"), F.col("checkout_toll_name").alias("plaza_name")
     )
     classes = F.array(F.lit(labels.PRIVATE_INVESTMENT), F.lit(labels.PUBLIC_INVESTMENT))
     return (
-        detail.join(stage, "stage_id")
-        .groupBy(*label, "route", "plaza_name").agg(amount(F.col("price_amount"), "gross_revenue"))
+        detail.groupBy("period", "stage_id").agg(amount(F.col("price_amount"), "amount"))
+        .join(stage, "stage_id")
+        .groupBy("period", "route", "plaza_name").agg(amount(F.col("amount"), "gross_revenue"))
         .select(
-            *label, "route", "plaza_name", F.explode(classes).alias("cycle_type"), "gross_revenue",
+            *span.labels(), "route", "plaza_name", F.explode(classes).alias("cycle_type"), "gross_revenue",
             *null_money(
                 "investment_amount", "discount_amount", "tax_amount", "pre_allocation_revenue",
                 "bot1_revenue", "boo1_revenue", *ALLOCATIONS,
@@ -41,34 +43,35 @@ def plaza_route_share(star: Star, span: Span, subscription_types: tuple[str, ...
     """Trip revenue by entry route and exit plaza, plus subscriptions by entry plaza.
 
     Trip amounts are summed per transaction before they meet the transaction fact, so
-    the join on the transaction id moves one row per transaction and period.
+    the join on the transaction id moves one row per transaction and period. Names are
+    joined to plaza groups only.
     """
-    detail, label = labelled(star.fact("detail", span), span)
-    trips = detail.groupBy("transport_trans_id", *label).agg(amount(F.col("price_amount"), "amount"))
-    routes = star.plaza_routes()
+    detail = by_period(star.fact("detail", span, ["transport_trans_id", "price_amount"]), span)
+    trips = detail.groupBy("transport_trans_id", "period").agg(amount(F.col("price_amount"), "amount"))
+    routes, tolls = star.plaza_routes(), star.tolls()
     entry_route = routes.select(F.col("toll_id").alias("checkin_toll_id"), F.col("cycle_name").alias("route"))
-    plaza = star.table("toll").select("toll_id", F.col("toll_name").alias("plaza_name"))
-    txn = star.fact("txn").select("transport_trans_id", "checkin_toll_id", "checkout_toll_id")
-    keys = [*label, "route", "plaza_name"]
+    plaza = tolls.select("toll_id", F.col("toll_name").alias("plaza_name"))
+    txn = star.fact("txn", columns=["transport_trans_id", "checkin_toll_id", "checkout_toll_id"])
     single = (
         trips.join(txn, "transport_trans_id")
+        .groupBy("period", "checkin_toll_id", "checkout_toll_id").agg(amount(F.col("amount"), "revenue"))
         .join(entry_route, "checkin_toll_id", "left")
         .join(plaza.withColumnRenamed("toll_id", "checkout_toll_id"), "checkout_toll_id")
-        .groupBy(*keys).agg(amount(F.col("amount"), "revenue"))
+        .select("period", "route", "plaza_name", "revenue")
     )
-    bought, _ = labelled(star.fact("subscription", span).filter(F.col("price_type").isin(*subscription_types)), span)
-    per_plaza = bought.groupBy(*label, "toll_id", "toll_in_id", "toll_out_id").agg(amount(F.col("price_amount"), "amount"))
-    leave = star.table("toll").select(F.col("toll_id").alias("toll_out_id"))
+    wanted = ["price_type", "toll_id", "toll_in_id", "toll_out_id", "price_amount"]
+    bought = by_period(star.fact("subscription", span, wanted).filter(F.col("price_type").isin(*subscription_types)), span)
     passes = (
-        per_plaza.join(routes.select("toll_id", F.col("cycle_name").alias("route")), "toll_id")
+        bought.groupBy("period", "toll_id", "toll_in_id", "toll_out_id").agg(amount(F.col("price_amount"), "revenue"))
+        .join(routes.select("toll_id", F.col("cycle_name").alias("route")), "toll_id")
         .join(plaza.withColumnRenamed("toll_id", "toll_in_id"), "toll_in_id")
-        .join(leave, "toll_out_id")
-        .groupBy(*keys).agg(amount(F.col("amount"), "revenue"))
+        .join(tolls.select(F.col("toll_id").alias("toll_out_id")), "toll_out_id")
+        .select("period", "route", "plaza_name", "revenue")
     )
     return (
-        single.unionByName(passes).groupBy(*keys).agg(amount(F.col("revenue"), "gross_revenue"))
+        single.unionByName(passes).groupBy("period", "route", "plaza_name").agg(amount(F.col("revenue"), "gross_revenue"))
         .select(
-            *label, "route", "plaza_name", F.lit(labels.PRIVATE_INVESTMENT).alias("cycle_type"), "gross_revenue",
+            *span.labels(), "route", "plaza_name", F.lit(labels.PRIVATE_INVESTMENT).alias("cycle_type"), "gross_revenue",
             *null_money(
                 "investment_amount", "discount_amount", "tax_amount", "pre_allocation_revenue",
                 "bot1_revenue", "bot2_revenue", "boo1_revenue", *ALLOCATIONS,
@@ -77,45 +80,49 @@ def plaza_route_share(star: Star, span: Span, subscription_types: tuple[str, ...
     )
 
 
-def plaza_route_share_split(star: Star, span: Span) -> DataFrame:
-    """Revenue by exit route and plaza with the operator's part by effective rule.
+def split_groups(star: Star, span: Span, place: str | None, with_passes: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Row counts and amounts per period, operator, vehicle and ticket type (and plaza).
 
-    The rule date is the first local day of each period.
+    Trips and subscriptions separately. Trips are reduced per transaction before the
+    join with the transaction fact, so no fact row meets a split rule.
     """
-    detail, label = labelled(star.fact("detail", span).filter(F.col("price_type") == "L"), span)
-    detail = detail.withColumn("rule_day", rule_day(span.level))
-    trips = detail.groupBy("transport_trans_id", "vehicle_type", "price_type", "rule_day", *label).agg(
+    wanted = ["transport_trans_id", "vehicle_type", "price_type", "price_amount"]
+    detail = by_period(star.fact("detail", span, wanted).filter(F.col("price_type") == "L"), span)
+    trips = detail.groupBy("transport_trans_id", "vehicle_type", "price_type", "period").agg(
         F.count("*").alias("n_rows"), amount(F.col("price_amount"), "amount")
     )
-    txn = star.fact("txn").select("transport_trans_id", F.col("checkout_toll_id").alias("toll_id"), "boo")
-    keys = ["rule_day", *label, "toll_id", "boo", "vehicle_type", "price_type"]
+    exit_plaza = ["checkout_toll_id"] if place else []
+    txn = star.fact("txn", columns=["transport_trans_id", "boo", *exit_plaza]).withColumnsRenamed({"checkout_toll_id": place or ""})
+    keys = ["period", "boo", "vehicle_type", "price_type", *([place] if place else [])]
     single = trips.join(txn, "transport_trans_id").groupBy(*keys).agg(
         F.sum("n_rows").alias("n_rows"), amount(F.col("amount"), "amount")
     )
-    bought, _ = labelled(star.fact("subscription", span), span)
-    passes = bought.withColumn("rule_day", rule_day(span.level)).groupBy(*keys).agg(
-        F.count("*").alias("n_rows"), amount(F.col("price_amount"), "amount")
-    )
+    if not with_passes:
+        return single, None
+    columns = ["boo", "vehicle_type", "price_type", "price_amount", *(["toll_id"] if place else [])]
+    bought = by_period(star.fact("subscription", span, columns), span).withColumnsRenamed({"toll_id": place or ""})
+    return single, bought.groupBy(*keys).agg(F.count("*").alias("n_rows"), amount(F.col("price_amount"), "amount"))
+
+
+def plaza_route_share_split(star: Star, span: Span) -> DataFrame:
+    """Revenue by exit route and plaza with the operator's part by effective rule.
+
+    The rule date is the first local day of each period.
+    """
+    single, passes = split_groups(star, span, "toll_id", with_passes=True)
     route = star.plaza_routes().select("toll_id", F.col("cycle_name").alias("route"))
-    plaza = star.table("toll").select("toll_id", F.col("toll_name").alias("plaza_name"))
+    plaza = star.tolls().select("toll_id", F.col("toll_name").alias("plaza_name"))
     share = star.table("share")
-    named_single = joined_share(single, share, "rule_day").join(route, "toll_id", "left").join(plaza, "toll_id")
-    named_passes = joined_share(passes, share, "rule_day").join(route, "toll_id").join(plaza, "toll_id")
-    out = [*label, "route", "plaza_name"]
+    named_single = joined_share(single, share, "period").join(route, "toll_id", "left").join(plaza, "toll_id")
+    named_passes = joined_share(passes, share, "period").join(route, "toll_id").join(plaza, "toll_id")
+    out = ["period", "route", "plaza_name"]
     return (
         named_single.select(*out, "amount", "split").unionByName(named_passes.select(*out, "amount", "split"))
         .groupBy(*out).agg(amount(F.col("amount"), "gross_revenue"), split_sum("boo1_revenue"))
         .select(
-            *out, F.lit(labels.PRIVATE_INVESTMENT).alias("cycle_type"), "gross_revenue",
+            *span.labels(), "route", "plaza_name", F.lit(labels.PRIVATE_INVESTMENT).alias("cycle_type"), "gross_revenue",
             *null_money("investment_amount", "discount_amount", "tax_amount"),
             F.col("gross_revenue").alias("pre_allocation_revenue"),
             *null_money("bot1_revenue", "bot2_revenue"), "boo1_revenue", *null_money(*ALLOCATIONS),
         )
     )
-
-
-def rule_day(level: str):
-    """First local day of the row's period, the date split rules are looked up on."""
-    units = {"week": "WEEK", "month": "MM", "quarter": "QUARTER", "year": "YEAR"}
-    day = F.col("local_day")
-    return day if level == "day" else F.trunc(day, units[level])

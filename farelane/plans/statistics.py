@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from farelane.functions import labels
 from farelane.functions.calendar import Span
 from farelane.functions.text import typed_null
-from farelane.plans.common import amount, labelled
+from farelane.plans.common import amount, by_period
 from farelane.sources.star import Star
 
 
@@ -16,12 +16,17 @@ def _texts(*names: str) -> list[Column]:
     return [typed_null("string").alias(name) for name in names]
 
 
+def _relabelled(groups: DataFrame, span: Span) -> DataFrame:
+    return groups.select(*span.labels(), *[c for c in groups.columns if c != "period"])
+
+
+LANE_KEYS = ("checkin_lane_id", "checkout_lane_id", "checkout_toll_id")
+
+
 def _with_lanes(star: Star, txn: DataFrame) -> DataFrame:
     """Transactions with entry and exit lane names and the type of the exit plaza."""
-    lane = star.table("lane").select("toll_lane_id", "lane_name")
-    plaza = star.table("toll").select(
-        F.col("toll_id").alias("checkout_toll_id"), F.col("toll_name").alias("plaza_name"), "toll_type"
-    )
+    lane = star.small(star.table("lane").select("toll_lane_id", "lane_name"), "lane")
+    plaza = star.tolls().select(F.col("toll_id").alias("checkout_toll_id"), F.col("toll_name").alias("plaza_name"), "toll_type")
     return (
         txn.join(lane.toDF("checkin_lane_id", "entry_lane"), "checkin_lane_id", "left")
         .join(lane.toDF("checkout_lane_id", "exit_lane"), "checkout_lane_id", "left")
@@ -31,15 +36,18 @@ def _with_lanes(star: Star, txn: DataFrame) -> DataFrame:
 
 def _with_tariff(star: Star, txn: DataFrame) -> DataFrame:
     """Transactions with tariff, plazas, route and account, as the listings need them."""
-    price = star.plaza_prices().select(
-        F.col("toll_id").alias("checkout_toll_id"), "vehicle_type", "price_type", "price_ticket_type",
-        F.col("price_amount").alias("standard_fee"),
+    price = star.small(
+        star.plaza_prices().select(
+            F.col("toll_id").alias("checkout_toll_id"), "vehicle_type", "price_type", "price_ticket_type",
+            F.col("price_amount").alias("standard_fee"),
+        ),
+        "price",
     )
-    toll = star.table("toll")
+    toll = star.tolls()
     entry = toll.select(F.col("toll_id").alias("checkin_toll_id"), F.col("toll_id").alias("entry_toll_id"))
     leave = toll.select(F.col("toll_id").alias("checkout_toll_id"), F.col("toll_id").alias("exit_toll_id"), "toll_type")
     route = star.plaza_routes().select(F.col("toll_id").alias("checkout_toll_id"), "cycle_id", "cycle_name")
-    account = star.table("account").select("account_id", "account_number")
+    account = star.small(star.table("account").select("account_id", "account_number"), "account")
     return (
         txn.join(price, ["checkout_toll_id", "vehicle_type"])
         .join(entry, "checkin_toll_id", "left").join(leave, "checkout_toll_id", "left")
@@ -49,7 +57,7 @@ def _with_tariff(star: Star, txn: DataFrame) -> DataFrame:
 
 def suspicious_summary(star: Star, span: Span) -> DataFrame:
     """Transactions counted per time, plaza, lanes, charge status and operator."""
-    txn = _with_lanes(star, star.fact("txn", span))
+    txn = _with_lanes(star, star.fact("txn", span, [*LANE_KEYS, "checkout_commit_datetime", "charge_status", "boo"]))
     keys = {
         "date": "checkout_commit_datetime", "toll_id": "plaza_name", "toll_type": "toll_type",
         "entry_lane_id": "entry_lane", "exit_lane_id": "exit_lane", "transaction_type_id": "charge_status", "boo_id": "boo",
@@ -67,7 +75,8 @@ def suspicious_summary(star: Star, span: Span) -> DataFrame:
 
 def suspicious_detail(star: Star, span: Span) -> DataFrame:
     """The distinct transactions behind the suspicious summary, with open audit fields."""
-    return _with_lanes(star, star.fact("txn", span)).select(
+    wanted = [*LANE_KEYS, "checkout_commit_datetime", "charge_status", "boo", "plate", "vehicle_type", "total_amount"]
+    return _with_lanes(star, star.fact("txn", span, wanted)).select(
         F.col("checkout_commit_datetime").alias("date"), F.col("plaza_name").alias("toll_id"), "toll_type",
         F.col("entry_lane").alias("entry_lane_id"), F.col("exit_lane").alias("exit_lane_id"),
         F.col("charge_status").alias("unusual_transaction_type"), F.col("boo").alias("boo_id"),
@@ -85,7 +94,8 @@ def suspicious_detail(star: Star, span: Span) -> DataFrame:
 
 def error_statistics(star: Star, span: Span) -> DataFrame:
     """Distinct times, plazas, charge states and accounts of the transactions."""
-    return _with_tariff(star, star.fact("txn", span)).select(
+    wanted = ["checkin_toll_id", "checkout_toll_id", "vehicle_type", "account_id", "checkout_commit_datetime", "charge_status"]
+    return _with_tariff(star, star.fact("txn", span, wanted)).select(
         F.col("checkout_commit_datetime").alias("date"), "entry_toll_id", "exit_toll_id",
         F.col("charge_status").alias("transaction_type_id"), F.col("account_number").alias("account_code"),
     ).distinct().select(
@@ -99,10 +109,12 @@ def error_statistics(star: Star, span: Span) -> DataFrame:
 def card_report(star: Star, span: Span, operators: tuple[int, int, int]) -> DataFrame:
     """Count and revenue per ticket class, revenue of three operators, and the share of
     the period's total (from the finished groups)."""
-    txn, label = labelled(star.fact("txn", span), span)
-    price = star.plaza_prices().select(F.col("toll_id").alias("checkout_toll_id"), "vehicle_type", "price_ticket_type")
+    txn = by_period(star.fact("txn", span, ["checkout_toll_id", "vehicle_type", "boo", "total_amount"]), span)
+    price = star.small(
+        star.plaza_prices().select(F.col("toll_id").alias("checkout_toll_id"), "vehicle_type", "price_ticket_type"), "price"
+    )
     groups = (
-        txn.join(price, ["checkout_toll_id", "vehicle_type"]).groupBy(*label, F.col("price_ticket_type").alias("card_type"))
+        txn.join(price, ["checkout_toll_id", "vehicle_type"]).groupBy("period", F.col("price_ticket_type").alias("card_type"))
         .agg(
             F.count("*").alias("total_transactions"),
             *[
@@ -112,16 +124,19 @@ def card_report(star: Star, span: Span, operators: tuple[int, int, int]) -> Data
             amount(F.col("total_amount"), "total_revenue"),
         )
     )
-    totals = groups.groupBy(*label).agg(F.sum("total_revenue").alias("period_revenue"))
+    totals = groups.groupBy("period").agg(F.sum("total_revenue").alias("period_revenue"))
     rate = F.round(F.col("total_revenue").cast("double") / F.col("period_revenue").cast("double"), 6)
-    return groups.join(totals, label).withColumn("card_revenue_rate", rate).drop("period_revenue")
+    return groups.join(totals, "period").select(
+        *span.labels(), "card_type", "total_transactions", "boo1_revenue", "boo2_revenue", "boo3_revenue", "total_revenue",
+        rate.alias("card_revenue_rate"),
+    )
 
 
 def payment_report(star: Star, span: Span, by: str, name: str) -> DataFrame:
     """Counts, success rate, refunds (rolled-back charges) and net amount per channel or provider."""
-    txn, label = labelled(star.fact("txn", span), span)
+    txn = by_period(star.fact("txn", span, [by, "charge_status", "total_amount"]), span)
     status = F.col("charge_status")
-    sums = txn.groupBy(*label, F.col(by).alias(name)).agg(
+    sums = txn.groupBy("period", F.col(by).alias(name)).agg(
         F.count("*").alias("total_transactions"), amount(F.col("total_amount"), "total_amount"),
         F.count_if(status.isin(*labels.CHARGE_SUCCESS)).alias("successful_transactions"),
         F.count_if(status == labels.CHARGE_FAILED).alias("failed_transactions"),
@@ -129,7 +144,10 @@ def payment_report(star: Star, span: Span, by: str, name: str) -> DataFrame:
     )
     rate = F.col("successful_transactions").cast("double") / F.col("total_transactions").cast("double")
     net = (F.col("total_amount") - F.col("refund_amount")).cast("decimal(28,2)")
-    return sums.withColumns({"success_rate": F.round(rate, 6), "net_amount": net})
+    return sums.withColumns({"success_rate": F.round(rate, 6), "net_amount": net}).select(
+        *span.labels(), name, "total_transactions", "total_amount", "successful_transactions", "failed_transactions",
+        "success_rate", "refund_amount", "net_amount",
+    )
 
 
 def payment_channel(star: Star, span: Span) -> DataFrame:
@@ -146,10 +164,11 @@ def payment_provider(star: Star, span: Span) -> DataFrame:
 
 def station_activity(star: Star, span: Span) -> DataFrame:
     """Normal, failed and abnormal transactions and distinct vehicles per plaza, ticket class and channel."""
-    txn, label = labelled(_with_tariff(star, star.fact("txn", span)), span)
+    wanted = ["checkin_toll_id", "checkout_toll_id", "vehicle_type", "vehicle_id", "account_id", "checkout_channel", "charge_status"]
+    txn = by_period(_with_tariff(star, star.fact("txn", span, wanted)), span)
     status = F.col("charge_status")
-    return txn.groupBy(
-        *label, F.col("checkout_toll_id").alias("station_id"), F.col("price_ticket_type").alias("ticket_type_id"),
+    groups = txn.groupBy(
+        "period", F.col("checkout_toll_id").alias("station_id"), F.col("price_ticket_type").alias("ticket_type_id"),
         F.col("checkout_channel").alias("toll_channel_id"),
     ).agg(
         F.count("*").alias("total_transactions"),
@@ -158,6 +177,7 @@ def station_activity(star: Star, span: Span) -> DataFrame:
         F.count_if(status.isin(*labels.CHARGE_SUCCESS)).alias("normal_transactions"),
         F.count_distinct("vehicle_id").alias("total_vehicle_flow"),
     )
+    return _relabelled(groups, span)
 
 
 def other_cases(star: Star, span: Span) -> DataFrame:
@@ -177,13 +197,15 @@ def other_cases(star: Star, span: Span) -> DataFrame:
 
 def station_transactions(star: Star, span: Span) -> DataFrame:
     """Count and total per plaza, lanes, charge status and operator."""
-    txn, label = labelled(_with_lanes(star, star.fact("txn", span)), span)
-    return txn.groupBy(
-        *label, F.col("checkout_toll_id").alias("toll_id"), "toll_type", F.col("plaza_name").alias("station_name"),
+    wanted = [*LANE_KEYS, "charge_status", "charge_in_status", "boo", "total_amount"]
+    txn = by_period(_with_lanes(star, star.fact("txn", span, wanted)), span)
+    groups = txn.groupBy(
+        "period", F.col("checkout_toll_id").alias("toll_id"), "toll_type", F.col("plaza_name").alias("station_name"),
         F.col("entry_lane").alias("entry_lane_id"), F.col("exit_lane").alias("exit_lane_id"),
         F.col("charge_status").alias("transaction_type_id"), F.col("charge_in_status").alias("transaction_type_name"),
         F.col("boo").alias("boo_id"),
     ).agg(F.count("*").alias("total_transactions"), amount(F.col("total_amount"), "total"))
+    return _relabelled(groups, span)
 
 
 def transaction_detail(star: Star, span: Span) -> DataFrame:
@@ -215,15 +237,18 @@ def transactions_by_station(star: Star, span: Span) -> DataFrame:
 
 def vehicle_violations(star: Star, span: Span) -> DataFrame:
     """Violations counted per vehicle, exit plaza, status and violated charge state."""
-    txn, label = labelled(star.fact("txn", span), span)
+    txn = by_period(
+        star.fact("txn", span, ["transport_trans_id", "plate", "etag_number", "checkout_toll_id", "charge_status", "account_id"]), span
+    )
     violation = star.fact("violation").select("transport_trans_id", F.col("status").alias("violation_status"))
-    account = star.table("account").select("account_id", F.col("account_number").alias("traffic_account"))
-    return (
+    account = star.small(star.table("account").select("account_id", F.col("account_number").alias("traffic_account")), "account")
+    groups = (
         txn.join(violation, "transport_trans_id").join(account, "account_id", "left")
         .groupBy(
-            *label, F.col("plate").alias("plate_number"), F.col("etag_number").alias("etag"),
+            "period", F.col("plate").alias("plate_number"), F.col("etag_number").alias("etag"),
             F.col("checkout_toll_id").alias("toll_id"), F.col("violation_status").alias("status"),
             F.col("charge_status").alias("violation_type"), "traffic_account",
         )
         .agg(F.count("*").alias("violation_count"))
     )
+    return _relabelled(groups, span)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from farelane.functions import labels
 from farelane.functions.calendar import Span
 from farelane.functions.text import route_of, typed_null
-from farelane.plans.common import amount, labelled, price_type_pivot
+from farelane.plans.common import amount, by_period, price_type_pivot
 from farelane.sources.star import Star
 
 
@@ -16,19 +16,23 @@ def transaction_summary_by_stage(star: Star, span: Span) -> DataFrame:
     """Single-trip tickets by vehicle type, fare category, route and plazas.
 
     Uses the stage-unique view, so revenue is not repeated per lane; the detail fact
-    has no lane id and the lane columns stay NULL.
+    has no lane id and the lane columns stay NULL. Distinct transactions are made by
+    one aggregate per transaction, which the pivot then counts: two shuffles, and no
+    group is ever held by one task before it is deduplicated.
     """
-    detail, label = labelled(star.fact("detail", span).filter(F.col("price_type") == "L"), span)
-    price = star.table("price").select("price_id", F.col("vehicle_type").alias("price_vehicle_type"))
+    columns = ["transport_trans_id", "stage_id", "price_id", "price_type", "price_ticket_type", "price_amount"]
+    detail = by_period(star.fact("detail", span, columns).filter(F.col("price_type") == "L"), span)
+    price = star.small(star.table("price").select("price_id", F.col("vehicle_type").alias("vehicle_type")), "price")
     fare = star.domain("PRICE_TICKET_TYPE").toDF("price_ticket_type", "fare_category")
-    keys = [*label, "price_vehicle_type", "fare_category", "cycle_name", "checkin_toll_name", "checkout_toll_name"]
-    groups = (
-        detail.join(star.stage_closed().drop("boo"), "stage_id").join(fare, "price_ticket_type").join(price, "price_id")
-        .groupBy(*keys, "price_type")
-        .agg(F.count_distinct("transport_trans_id").alias("quantity"), amount(F.col("price_amount"), "amount"))
+    stage = star.stages().select("stage_id", "cycle_name", "checkin_toll_name", "checkout_toll_name")
+    keys = ["period", "vehicle_type", "fare_category", "cycle_name", "checkin_toll_name", "checkout_toll_name"]
+    trips = (
+        detail.join(stage, "stage_id").join(fare, "price_ticket_type").join(price, "price_id")
+        .groupBy(*keys, "price_type", "transport_trans_id").agg(amount(F.col("price_amount"), "amount"))
+        .withColumn("quantity", F.col("transport_trans_id").isNotNull().cast("int"))
     )
-    return price_type_pivot(groups, keys).select(
-        *label, F.col("price_vehicle_type").alias("vehicle_type"), "fare_category", *_measures(),
+    return price_type_pivot(trips, keys).select(
+        *span.labels(), "vehicle_type", "fare_category", *_measures(),
         F.col("cycle_name").alias("route"), F.col("checkin_toll_name").alias("entry_plaza"),
         F.col("checkout_toll_name").alias("exit_plaza"), F.lit(labels.ETC).alias("toll_channel"),
         typed_null("string").alias("entry_lane"), typed_null("string").alias("exit_lane"),
@@ -37,23 +41,24 @@ def transaction_summary_by_stage(star: Star, span: Span) -> DataFrame:
 
 def transaction_summary_by_price(star: Star, span: Span) -> DataFrame:
     """Transactions joined to the price list of their exit plaza and vehicle type."""
-    price = star.plaza_prices().select(
-        F.col("toll_id").alias("checkout_toll_id"), "vehicle_type", "price_type", "price_ticket_type"
+    price = star.small(
+        star.plaza_prices().select(F.col("toll_id").alias("checkout_toll_id"), "vehicle_type", "price_type", "price_ticket_type"),
+        "price",
     )
-    toll = star.table("toll").select("toll_id")
+    toll = star.tolls().select("toll_id")
     entry = toll.select(F.col("toll_id").alias("checkin_toll_id"), F.col("toll_id").alias("entry_plaza"))
     leave = toll.select(F.col("toll_id").alias("checkout_toll_id"), F.col("toll_id").alias("exit_plaza"))
     route = star.plaza_routes().select(F.col("toll_id").alias("checkout_toll_id"), F.col("cycle_name").alias("route"))
     keys = ["date", "vehicle_type", "price_ticket_type", "route", "entry_plaza", "exit_plaza"]
-    groups = (
-        star.fact("txn", span).withColumn("date", F.col("checkout_commit_datetime"))
+    columns = ["checkout_commit_datetime", "checkin_toll_id", "checkout_toll_id", "vehicle_type", "total_amount"]
+    rows = (
+        star.fact("txn", span, columns).withColumnRenamed("checkout_commit_datetime", "date")
         .join(price, ["checkout_toll_id", "vehicle_type"])
         .join(entry, "checkin_toll_id", "left").join(leave, "checkout_toll_id", "left")
         .join(route, "checkout_toll_id")
-        .groupBy(*keys, "price_type")
-        .agg(F.count("*").alias("quantity"), amount(F.col("total_amount"), "amount"))
+        .withColumns({"quantity": F.lit(1), "amount": F.col("total_amount")})
     )
-    return price_type_pivot(groups, keys).select(
+    return price_type_pivot(rows, keys).select(
         "date", "vehicle_type", F.col("price_ticket_type").alias("fare_category"), *_measures(),
         "route", "entry_plaza", "exit_plaza", F.lit(labels.ETC).alias("toll_channel"),
     )
@@ -66,22 +71,24 @@ def transaction_summary_by_lane(star: Star, span: Span) -> DataFrame:
     transaction and ticket before the join, so a transaction with very many details
     crosses the join as one row per ticket.
     """
-    txn, label = labelled(star.fact("txn", span), span)
-    tickets = star.fact("detail").groupBy("transport_trans_id", "price_ticket_type", "price_type").agg(
-        F.count("*").alias("n")
+    columns = [
+        "transport_trans_id", "vehicle_type", "checkin_toll_name", "checkout_toll_name", "checkin_lane_name",
+        "checkout_lane_name", "total_amount",
+    ]
+    txn = by_period(star.fact("txn", span, columns), span)
+    tickets = (
+        star.fact("detail", columns=["transport_trans_id", "price_ticket_type", "price_type"])
+        .groupBy("transport_trans_id", "price_ticket_type", "price_type").agg(F.count("*").alias("quantity"))
     )
     keys = [
-        *label, "vehicle_type", "price_ticket_type", "route", "checkin_toll_name", "checkout_toll_name",
+        "period", "vehicle_type", "price_ticket_type", "checkin_toll_name", "checkout_toll_name",
         "checkin_lane_name", "checkout_lane_name",
     ]
-    groups = (
-        txn.withColumn("route", route_of(F.col("checkout_toll_name")))
-        .join(tickets, "transport_trans_id")
-        .groupBy(*keys, "price_type")
-        .agg(F.sum("n").alias("quantity"), amount(F.col("total_amount") * F.col("n").cast("decimal(10,0)"), "amount"))
-    )
-    return price_type_pivot(groups, keys).select(
-        *label, "vehicle_type", F.col("price_ticket_type").alias("fare_category"), *_measures(), "route",
+    times = F.col("quantity").cast("decimal(10,0)")
+    rows = txn.join(tickets, "transport_trans_id").withColumn("amount", F.col("total_amount") * times)
+    return price_type_pivot(rows, keys).select(
+        *span.labels(), "vehicle_type", F.col("price_ticket_type").alias("fare_category"), *_measures(),
+        route_of(F.col("checkout_toll_name")).alias("route"),
         F.col("checkin_toll_name").alias("entry_plaza"), F.col("checkout_toll_name").alias("exit_plaza"),
         F.lit(labels.ETC).alias("toll_channel"),
         F.col("checkin_lane_name").alias("entry_lane"), F.col("checkout_lane_name").alias("exit_lane"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.functions import labels
-from farelane.functions.calendar import Span, local_day_of
+from farelane.functions.calendar import LOCAL_OFFSET_HOURS, Span, local_day_of
 from farelane.functions.text import money
 from farelane.sources.star import DIMENSIONS, Star
 
@@ -24,6 +24,11 @@ DOMAIN = [
     ("PRICE_TICKET_TYPE", "2", "Priority"),
 ]
 SUBSCRIPTION_SHIFT_DAYS = 9588
+# The test table that bounds the rows of each dimension.
+SOURCE_OF = {
+    "stage": "supplier", "toll": "nation", "lane": "nation", "cycle": "region", "toll_cycle": "nation", "price": "part",
+    "vehicle": "customer", "operator": "nation", "share": "nation", "account": "customer",
+}
 PARTITIONS = ("year", "month", "day", "hour", "local_day")
 
 
@@ -59,39 +64,43 @@ class DerivedStar(Star):
     def table(self, role: str) -> DataFrame:
         return getattr(self, f"_{role}")() if role in DIMENSIONS else self.fact(role)
 
-    def fact(self, role: str, span: Span | None = None) -> DataFrame:
-        return getattr(self, f"_{role}")(span)
+    def fact(self, role: str, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
+        rows = getattr(self, f"_{role}")(span, columns)
+        return rows if columns is None else rows.select(*columns, *(["local_day"] if span is not None else []))
+
+    def _count(self, role: str) -> int:
+        return self.raw(SOURCE_OF[role]).count()
 
     # facts ---------------------------------------------------------------
 
-    def _timed(self, rows: DataFrame, instant: str, key: str, span: Span | None) -> DataFrame:
-        """Event time = date plus ``key % 24`` hours; whole-span bounds on the raw date go to the scan."""
+    @staticmethod
+    def _timed(rows: DataFrame, instant: str, key: str, span: Span | None) -> DataFrame:
+        """Event time = date plus ``key % 24`` hours, as local day, time and partition columns.
+
+        The local day comes from whole hours, so a span costs no timestamp arithmetic;
+        its bounds on the raw date go to the scan.
+        """
         if span is not None:
             rows = rows.filter(
                 (F.col(instant) >= F.lit(span.start_utc - timedelta(hours=23)).cast("timestamp_ntz"))
                 & (F.col(instant) < F.lit(span.end_utc).cast("timestamp_ntz"))
             )
-        rows = rows.withColumn("event_time", plus_hours(F.col(instant), F.col(key) % 24))
-        return self._in_span(rows, span)
-
-    @staticmethod
-    def _in_span(rows: DataFrame, span: Span | None) -> DataFrame:
+        hours = F.hour(instant) + (F.col(key) % 24).cast("int")
+        days_on = F.floor((hours + LOCAL_OFFSET_HOURS) / 24).cast("int")
+        rows = rows.withColumn("local_day", F.date_add(F.to_date(instant), days_on))
         if span is not None:
-            rows = rows.filter(
-                (F.col("event_time") >= F.lit(span.start_utc).cast("timestamp_ntz"))
-                & (F.col("event_time") < F.lit(span.end_utc).cast("timestamp_ntz"))
-            )
-        return with_partitions(rows, "event_time").withColumn("local_day", local_day_of(F.col("event_time")))
+            rows = rows.filter(F.col("local_day").between(F.lit(span.first), F.lit(span.last)))
+        return with_partitions(rows.withColumn("event_time", plus_hours(F.col(instant), F.col(key) % 24)), "event_time")
 
     def _lines(self, span: Span | None) -> DataFrame:
         return self._timed(self.raw("lineitem"), "l_shipdate", "l_orderkey", span)
 
-    def _detail(self, span: Span | None = None) -> DataFrame:
+    def _detail(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
         ticket = (
             F.when(F.col("l_returnflag") == "N", "L").when(F.col("l_returnflag") == "A", "T")
             .when(F.col("l_linestatus") == "F", "Q").otherwise("N")
         )
-        return self._lines(span).select(
+        rows = self._lines(span).select(
             F.col("l_orderkey").alias("transport_trans_id"), F.col("l_suppkey").alias("stage_id"),
             F.col("l_partkey").alias("price_id"), ticket.alias("price_type"),
             (F.col("l_linenumber") % 3).cast("string").alias("price_ticket_type"),
@@ -99,52 +108,58 @@ class DerivedStar(Star):
             _vehicle_type(F.col("l_partkey")).alias("vehicle_type"),
             F.col("event_time").alias("checkin_datetime"), *PARTITIONS,
         )
-
-    def with_vehicle(self, detail: DataFrame) -> DataFrame:
-        """Detail rows with the vehicle of their order."""
+        if columns is None or "vehicle_id" not in columns:
+            return rows
         owner = self.raw("orders").select(F.col("o_orderkey").alias("transport_trans_id"), F.col("o_custkey").alias("vehicle_id"))
-        return detail.join(owner, "transport_trans_id")
-
-    def _txn(self, span: Span | None = None) -> DataFrame:
-        orders = self._timed(self.raw("orders"), "o_orderdate", "o_orderkey", span)
-        customer = self.raw("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_name")
-        plaza = self._toll().select("toll_id", "toll_name")
-        total, lane = money(F.col("o_totalprice")), F.col("o_orderkey") % 2 + 1
-        state = F.col("o_orderstatus")
+        return rows.join(owner, "transport_trans_id")
+
+    def _txn(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
+        """Transactions; plaza ids and plaza names are joined in only if they are asked for."""
+        total, lane, state = money(F.col("o_totalprice")), F.col("o_orderkey") % 2 + 1, F.col("o_orderstatus")
+        values = {
+            "transport_trans_id": F.col("o_orderkey"),
+            "fe_trans_id": F.concat(F.lit("FE"), F.col("o_orderkey").cast("string")),
+            "vehicle_id": F.col("o_custkey"), "account_id": F.col("o_custkey"),
+            "vehicle_type": (F.col("o_custkey") % 5 + 1).cast("string"),
+            "checkin_lane_name": F.concat(F.lit("Lane "), (3 - lane).cast("string")),
+            "checkout_lane_name": F.concat(F.lit("Lane "), lane.cast("string")),
+            "checkout_channel": F.col("o_orderpriority"),
+            "charge_status": F.when(state == "F", labels.CHARGE_FAILED).when(state == "P", labels.CHARGE_ROLLED_BACK)
+            .otherwise(labels.CHARGE_SUCCESS[0]),
+            "charge_in_status": F.when(state == "F", labels.FAILED).when(state == "P", labels.CANCELLED).otherwise("Thành công"),
+            "total_amount": total,
+            "voucher_used_amount": F.when(F.col("o_orderkey") % 10 == 0, money(total * F.lit("0.01").cast("decimal(3,2)")))
+            .otherwise(money(F.lit(0))),
+            "etag_number": F.concat(F.lit("E"), F.col("o_custkey").cast("string")),
+            "plate": F.concat(F.lit("P"), F.col("o_custkey").cast("string")),
+            "checkin_datetime": plus_hours(F.col("o_orderdate"), F.col("o_orderkey") % 24 - 1),
+            "checkout_datetime": F.col("event_time"), "checkout_commit_datetime": F.col("event_time"),
+            **{name: F.col(name) for name in PARTITIONS},
+        }
         exit_id = F.col("c_nationkey").cast("bigint")
-        return (
-            orders.join(customer, "o_custkey")
-            .withColumns({"checkout_toll_id": exit_id, "checkin_toll_id": (exit_id + 1) % 25})
-            .join(plaza.toDF("checkout_toll_id", "checkout_toll_name"), "checkout_toll_id")
-            .join(plaza.toDF("checkin_toll_id", "checkin_toll_name"), "checkin_toll_id")
-            .select(
-                F.col("o_orderkey").alias("transport_trans_id"),
-                F.concat(F.lit("FE"), F.col("o_orderkey").cast("string")).alias("fe_trans_id"),
-                F.col("o_custkey").alias("vehicle_id"), F.col("o_custkey").alias("account_id"),
-                (F.col("o_custkey") % 5 + 1).cast("string").alias("vehicle_type"),
-                "checkin_toll_id", "checkout_toll_id", "checkin_toll_name", "checkout_toll_name",
-                (F.col("checkin_toll_id") * 2 + 3 - lane).alias("checkin_lane_id"),
-                (F.col("checkout_toll_id") * 2 + lane).alias("checkout_lane_id"),
-                F.concat(F.lit("Lane "), (3 - lane).cast("string")).alias("checkin_lane_name"),
-                F.concat(F.lit("Lane "), lane.cast("string")).alias("checkout_lane_name"),
-                F.col("o_orderpriority").alias("checkout_channel"),
-                F.when(state == "F", labels.CHARGE_FAILED).when(state == "P", labels.CHARGE_ROLLED_BACK)
-                .otherwise(labels.CHARGE_SUCCESS[0]).alias("charge_status"),
-                F.when(state == "F", labels.FAILED).when(state == "P", labels.CANCELLED)
-                .otherwise("Thành công").alias("charge_in_status"),
-                total.alias("total_amount"),
-                F.when(F.col("o_orderkey") % 10 == 0, money(total * F.lit("0.01").cast("decimal(3,2)")))
-                .otherwise(money(F.lit(0))).alias("voucher_used_amount"),
-                exit_id.alias("boo"),
-                F.concat(F.lit("E"), F.col("o_custkey").cast("string")).alias("etag_number"),
-                F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("plate"),
-                (F.col("event_time") - F.make_interval(hours=F.lit(1))).alias("checkin_datetime"),
-                F.col("event_time").alias("checkout_datetime"), F.col("event_time").alias("checkout_commit_datetime"),
-                *PARTITIONS,
+        entry_id = (exit_id + 1) % 25
+        placed = {
+            "checkout_toll_id": exit_id, "checkin_toll_id": entry_id, "boo": exit_id,
+            "checkin_lane_id": entry_id * 2 + 3 - lane, "checkout_lane_id": exit_id * 2 + lane,
+        }
+        named = ("checkout_toll_name", "checkin_toll_name")
+        wanted = {*values, *placed, *named} if columns is None else {*columns, "local_day"}
+        with_plaza, with_names = bool(wanted & {*placed, *named}), bool(wanted & {*named})
+        rows = self._timed(self.raw("orders"), "o_orderdate", "o_orderkey", span)
+        if with_plaza:
+            customer = self.raw("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+            rows = rows.join(self.small(customer, "vehicle"), "o_custkey")
+            values.update(placed)
+        if with_names:
+            toll = self.tolls().select("toll_id", "toll_name")
+            rows = (
+                rows.withColumns({"_out": exit_id, "_in": entry_id})
+                .join(toll.toDF("_out", "checkout_toll_name"), "_out").join(toll.toDF("_in", "checkin_toll_name"), "_in")
             )
-        )
+            values.update({name: F.col(name) for name in named})
+        return rows.select(*[column.alias(name) for name, column in values.items() if name in wanted])
 
-    def _subscription(self, span: Span | None = None) -> DataFrame:
+    def _subscription(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
         shift = timedelta(days=SUBSCRIPTION_SHIFT_DAYS)
         rows = self.raw("events").filter(F.col("event_type") == "purchase")
         if span is not None:
@@ -154,7 +169,8 @@ class DerivedStar(Star):
             )
         rows = rows.withColumn("event_time", F.col("ts") - F.make_interval(days=F.lit(SUBSCRIPTION_SHIFT_DAYS)))
         toll = F.col("user_id") % 25
-        return self._in_span(rows, span).select(
+        rows = with_partitions(rows, "event_time").withColumn("local_day", local_day_of(F.col("event_time")))
+        return rows.select(
             toll.alias("boo"), (F.col("user_id") % 5 + 1).cast("string").alias("vehicle_type"),
             F.element_at(F.array(*[F.lit(t) for t in labels.PRICE_TYPES]), (F.col("event_id") % 4 + 1).cast("int")).alias("price_type"),
             money(F.col("value")).alias("price_amount"),
@@ -162,13 +178,13 @@ class DerivedStar(Star):
             *PARTITIONS,
         )
 
-    def _mediation(self, span: Span | None = None) -> DataFrame:
+    def _mediation(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
         return self.raw("lineitem").groupBy(F.col("l_orderkey").alias("transport_trans_id")).agg(
             F.concat(F.lit("P"), F.max("l_orderkey").cast("string")).alias("plate"),
             money(F.sum(money(F.col("l_extendedprice")))).alias("price"),
         )
 
-    def _violation(self, span: Span | None = None) -> DataFrame:
+    def _violation(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
         returned = self.raw("lineitem").filter(F.col("l_returnflag") == "R")
         return returned.groupBy(F.col("l_orderkey").alias("transport_trans_id")).agg(
             (F.max("l_linenumber") % 5 + 1).cast("string").alias("vehicle_type"),
@@ -185,22 +201,22 @@ class DerivedStar(Star):
             F.col("event_time").alias("checkoutdatetime"), *PARTITIONS,
         )
 
-    def _before(self, span: Span | None = None) -> DataFrame:
+    def _before(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
         return self._charged_lines(self._lines(span))
 
-    def _final(self, span: Span | None = None) -> DataFrame:
+    def _final(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
         owner = self.raw("orders").select(F.col("o_orderkey").alias("transporttransactionid"), F.col("o_custkey").alias("vehicleid"))
-        lines = self._lines(span).filter(F.col("l_linestatus") == "F")
-        return self._charged_lines(lines).join(owner, "transporttransactionid")
+        lines = self._charged_lines(self._lines(span).filter(F.col("l_linestatus") == "F"))
+        return lines if columns is not None and "vehicleid" not in columns else lines.join(owner, "transporttransactionid")
 
-    def _charge(self, span: Span | None = None) -> DataFrame:
+    def _charge(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
         return self.raw("orders").filter(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("transporttransactionid"))
 
     # dimensions ----------------------------------------------------------
 
     def _stage(self) -> DataFrame:
         toll_a = F.col("s_nationkey").cast("bigint")
-        cycle = self._toll_cycle().toDF("toll_a", "cycle_id")
+        cycle = F.broadcast(self._toll_cycle().toDF("toll_a", "cycle_id"))  # one row per nation
         return self.raw("supplier").select(
             F.col("s_suppkey").alias("stage_id"), F.concat(F.lit("ST"), F.col("s_suppkey").cast("string")).alias("stage_code"),
             F.col("s_name").alias("stage_name"), toll_a.alias("toll_a"), ((toll_a + 1) % 25).alias("toll_b"),

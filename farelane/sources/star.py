@@ -17,6 +17,10 @@ DIMENSIONS = frozenset(
 )
 
 
+# Most rows a dimension may have to be broadcast (some 100 MB of names and ids).
+BROADCAST_ROWS = 500_000
+
+
 class Star:
     """Facts and dimensions as lazy frames.
 
@@ -28,21 +32,41 @@ class Star:
         self.spark = spark
         self._schema = schema
         self._names = names or {}
+        self._rows: dict[str, int] = {}
 
     def table(self, role: str) -> DataFrame:
         """The whole table of a role."""
         return self.spark.table(self._names.get(role, f"{self._schema}.{role}"))
 
-    def fact(self, role: str, span: Span | None = None) -> DataFrame:
-        """Rows of a fact, pruned to the partitions of the span."""
+    def fact(self, role: str, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
+        """Rows of a fact, pruned to the partitions of the span, with the named columns.
+
+        Without ``columns`` all columns come along; ``local_day`` comes with any span.
+        """
         rows = self.table(role)
         if span is not None:
             rows = rows.filter(span.partition_filter())
-        return rows.withColumn("local_day", local_day()) if "hour" in rows.columns else rows
+        if "hour" in rows.columns:
+            rows = rows.withColumn("local_day", local_day())
+        return _chosen(rows, columns, span)
+
+    def rows(self, role: str) -> int:
+        """Row count of a dimension, read once (from file footers)."""
+        if role not in self._rows:
+            self._rows[role] = self._count(role)
+        return self._rows[role]
+
+    def _count(self, role: str) -> int:
+        return self.table(role).count()
+
+    def small(self, frame: DataFrame, role: str) -> DataFrame:
+        """``frame``, to be broadcast if the dimension that bounds its rows is small enough.
 
-    def with_vehicle(self, detail: DataFrame) -> DataFrame:
-        """Detail rows with ``vehicle_id``; the fact carries it already."""
-        return detail
+        Spark cannot size a frame joined from several dimensions and would shuffle the
+        fact to meet it. Above the limit no hint is given and the join shuffles, with
+        adaptive skew handling.
+        """
+        return F.broadcast(frame) if self.rows(role) <= BROADCAST_ROWS else frame
 
     def plaza_prices(self) -> DataFrame:
         """Prices by plaza and vehicle type."""
@@ -98,18 +122,43 @@ class Star:
             .select("cycle_id", "cycle_code", "cycle_name", "toll_id", "toll_name", "lane_code", "lane_name")
         )
 
+    def stages(self) -> DataFrame:
+        """``stage_closed`` as the small side of a join."""
+        return self.small(self.stage_closed(), "stage")
+
     def stage_pairs(self) -> DataFrame:
         """Distinct entry/exit plaza pairs of the active stages with their operator and route."""
         toll = self.table("toll").select(F.col("toll_id").alias("checkout_toll_id"), "toll_type")
-        return (
+        pairs = (
             self.stage_closed().join(toll, "checkout_toll_id", "left")
             .select(
                 F.col("checkin_toll_id").alias("fromtollid"), F.col("checkout_toll_id").alias("totollid"),
                 "toll_type", "boo", "cycle_id", "cycle_name",
             ).distinct()
         )
+        return self.small(pairs, "stage")
 
     def plaza_routes(self) -> DataFrame:
         """Plaza id with the name of its route."""
         cycle = self.table("cycle").select("cycle_id", "cycle_name")
-        return self.table("toll_cycle").join(cycle, "cycle_id").select("toll_id", "cycle_id", "cycle_name")
+        routes = self.table("toll_cycle").join(cycle, "cycle_id").select("toll_id", "cycle_id", "cycle_name")
+        return self.small(routes, "toll_cycle")
+
+    def priced_vehicles(self) -> DataFrame:
+        """Price id with the label of its vehicle type; unknown types are left out."""
+        known = self.domain("VEHICLE_TYPE").toDF("code", "vehicle_label")
+        price = self.table("price").select(
+            "price_id", F.col("vehicle_type").alias("code"),
+            F.col("price_type").alias("list_price_type"), F.col("price_ticket_type").alias("list_price_ticket_type"),
+        )
+        return self.small(price.join(known, "code").drop("code"), "price")
+
+    def tolls(self) -> DataFrame:
+        """Plazas as the small side of a join."""
+        return self.small(self.table("toll").select("toll_id", "toll_name", "toll_type"), "toll")
+
+
+def _chosen(rows: DataFrame, columns: list[str] | None, span: Span | None) -> DataFrame:
+    if columns is None:
+        return rows
+    return rows.select(*columns, *(["local_day"] if span is not None else []))
