@@ -8,21 +8,21 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.query_reports import whole
+from checks.query_reports import star, whole
 from farelane.functions import calendar, labels, text
 from farelane.operators import load, lookups, migrate, numbering, runlog
 from farelane.plans import revenue, statistics, summary
 from farelane.plans.runner import Job, run_batch
 from farelane.session import scratch_path
 from farelane.sources import dimensions
-from farelane.sources.roles import DerivedStar
+from farelane.sources.testtables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_AT = datetime(2024, 6, 1, 12, 0, 0)
 
 
 def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 # calendar and dimensions -------------------------------------------------
@@ -30,7 +30,7 @@ def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def local_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The distinct local dates of the transactions."""
-    return DerivedStar(spark, sf_dir).fact("txn").select(F.col("local_day").alias("d")).distinct()
+    return star(spark, sf_dir).fact("txn").select(F.col("local_day").alias("d")).distinct()
 
 
 def period_attributes(spark, sf_dir):
@@ -44,7 +44,7 @@ def utc_ranges(level: str) -> Query:
 def partition_hour_filter(spark, sf_dir):
     """Detail rows per partition hour of a local quarter, selected on the partition columns."""
     span = calendar.Span.containing("quarter", "1997-10-15")
-    rows = DerivedStar(spark, sf_dir).fact("detail").filter(span.partition_filter())
+    rows = star(spark, sf_dir).fact("detail").filter(span.partition_filter())
     return rows.groupBy("year", "month", "day", "hour").agg(
         F.count("*").alias("n"), F.sum("price_amount").cast("decimal(28,2)").alias("amount")
     )
@@ -72,17 +72,17 @@ def dim_date(spark, sf_dir):
 
 def scan_fact_detail(spark, sf_dir):
     columns = ["transport_trans_id", "stage_id", "price_id", "price_type", "price_amount", "year", "month", "day", "hour"]
-    return DerivedStar(spark, sf_dir).fact("detail", whole("month"), columns).drop("local_day")
+    return star(spark, sf_dir).fact("detail", whole("month"), columns).drop("local_day")
 
 
 def dim_load_cached(spark, sf_dir):
     """Row counts of the cached dimensions; a table that does not exist is skipped."""
-    star = DerivedStar(spark, sf_dir)
-    star.table("toll").createOrReplaceTempView("src_toll")
-    star.table("vehicle").createOrReplaceTempView("src_vehicle")
+    held = star(spark, sf_dir)
+    held.table("toll").createOrReplaceTempView("src_toll")
+    held.table("vehicle").createOrReplaceTempView("src_vehicle")
     config = dimensions.parse_config("# table|view\nsrc_toll|dim_toll\nno_such_table|dim_none\n\nsrc_vehicle|dim_vehicle\n")
-    held = dimensions.cache_dimensions(spark, config)
-    counts = [spark.table(v).agg(F.lit(v).alias("view_name"), F.count("*").alias("n")) for v in held]
+    cached = dimensions.cache_dimensions(spark, config)
+    counts = [spark.table(v).agg(F.lit(v).alias("view_name"), F.count("*").alias("n")) for v in cached]
     return counts[0].unionAll(counts[1])
 
 
@@ -95,17 +95,17 @@ def copy_columns(spark, sf_dir):
 def mart_feed_projection(spark, sf_dir):
     """Transaction columns with literal partition columns."""
     day = calendar.parse_day("1997-10-15")
-    return DerivedStar(spark, sf_dir).fact("txn").select(
+    return star(spark, sf_dir).fact("txn").select(
         "transport_trans_id", "etag_number", "vehicle_id", "checkin_toll_id", "checkin_lane_id",
         F.lit(day.year).alias("year"), F.lit(day.month).alias("month"), F.lit(day.day).alias("day"),
     )
 
 
 def detail_base_join(spark, sf_dir):
-    star = DerivedStar(spark, sf_dir)
-    detail = star.fact("detail").select("transport_trans_id", "stage_id", "price_id", "price_type", "price_ticket_type", "price_amount")
-    txn = star.fact("txn").select("transport_trans_id", "vehicle_id", "checkout_channel", "charge_status", "total_amount")
-    stage = star.stage_closed().select("stage_id", "stage_name", "cycle_name", "checkin_toll_name", "checkout_toll_name")
+    held = star(spark, sf_dir)
+    detail = held.fact("detail").select("transport_trans_id", "stage_id", "price_id", "price_type", "price_ticket_type", "price_amount")
+    txn = held.fact("txn").select("transport_trans_id", "vehicle_id", "checkout_channel", "charge_status", "total_amount")
+    stage = held.stage_closed().select("stage_id", "stage_name", "cycle_name", "checkin_toll_name", "checkout_toll_name")
     return detail.join(txn, "transport_trans_id").join(stage, "stage_id")
 
 
@@ -200,7 +200,7 @@ def run_log_append(spark, sf_dir):
 
 
 def _lane_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return revenue.transaction_revenue(DerivedStar(spark, sf_dir), whole("day"), "lane")
+    return revenue.transaction_revenue(star(spark, sf_dir), whole("day"), "lane")
 
 
 def csv_roundtrip(spark, sf_dir):
@@ -211,14 +211,14 @@ def csv_roundtrip(spark, sf_dir):
 
 def csv_single_part(spark, sf_dir):
     """A small result as one named file; a note of the files and the rows read back."""
-    star, path = DerivedStar(spark, sf_dir), scratch_path(spark, "channel-csv")
-    result = statistics.payment_channel(star, whole("month"))
+    held, path = star(spark, sf_dir), scratch_path(spark, "channel-csv")
+    result = statistics.payment_channel(held, whole("month"))
     files = load.write_single_csv(result, path, "data.csv", result.count())
     return load.read_csv(spark, f"{path}/{files[0]}" if len(files) == 1 else path, result.schema)
 
 
 def _mart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    txn = DerivedStar(spark, sf_dir).fact("txn")
+    txn = star(spark, sf_dir).fact("txn")
     return txn.groupBy("checkout_toll_id", "local_day").agg(
         F.count("*").alias("n"), F.sum("total_amount").cast("decimal(28,2)").alias("amount")
     ).select(
@@ -241,8 +241,8 @@ def mart_overwrite(spark, sf_dir):
 
 def mart_guard(spark, sf_dir):
     """Which results may go to the mart."""
-    star = DerivedStar(spark, sf_dir)
-    found = {"mart_rows": _mart_rows(spark, sf_dir), "payment_channel": statistics.payment_channel(star, whole("day"))}
+    held = star(spark, sf_dir)
+    found = {"mart_rows": _mart_rows(spark, sf_dir), "payment_channel": statistics.payment_channel(held, whole("day"))}
     frames = [
         df.agg(F.count("*").alias("n")).select(F.lit(name).alias("result"), F.lit(not load.missing_partitions(df)).alias("to_mart"), "n")
         for name, df in found.items()
@@ -252,7 +252,7 @@ def mart_guard(spark, sf_dir):
 
 def replace_period(spark, sf_dir):
     """Yearly lane revenue with the rows of one year replaced."""
-    target = revenue.transaction_revenue(DerivedStar(spark, sf_dir), whole("year"), "route").select(
+    target = revenue.transaction_revenue(star(spark, sf_dir), whole("year"), "route").select(
         "year_id", "route", "vehicle_transaction_type", "revenue_group", "transaction_count", "gross_revenue"
     )
     new = target.filter("year_id = '1997' AND vehicle_transaction_type = 'ETC'").withColumn("transaction_count", F.lit(0).cast("bigint"))
@@ -303,13 +303,13 @@ def clear_order(spark, sf_dir):
 
 def run_batch_status(spark, sf_dir):
     """A batch of three jobs, one of which cannot be resolved."""
-    star = DerivedStar(spark, sf_dir)
+    held = star(spark, sf_dir)
     jobs = [
         Job("payment_channel", statistics.payment_channel, csv_path=scratch_path(spark, "batch-csv")),
         Job("broken", lambda s, span: s.fact("txn", span).select("no_such_column")),
         Job("transaction_summary", summary.transaction_summary_by_stage, mart_path=scratch_path(spark, "batch-mart")),
     ]
-    return run_batch(star, [whole("month"), calendar.Span.containing("day", "2030-01-01")], jobs)
+    return run_batch(held, [whole("month"), calendar.Span.containing("day", "2030-01-01")], jobs)
 
 
 # migration ---------------------------------------------------------------
@@ -587,13 +587,13 @@ def dictionary_copy(spark, sf_dir):
 
 def platform_queries() -> dict[str, Query]:
     """One query per calendar, dimension, load, migration and run-log operator."""
-    def star(method: str) -> Query:
-        return lambda spark, sf_dir: getattr(DerivedStar(spark, sf_dir), method)()
+    def view(method: str) -> Query:
+        return lambda spark, sf_dir: getattr(star(spark, sf_dir), method)()
 
     out: dict[str, Query] = {
         "scan_fact_detail": scan_fact_detail, "dim_load_cached": dim_load_cached,
-        "dim_stage_closed": star("stage_closed"), "dim_stage_closed_lanes": star("stage_closed_lanes"),
-        "dim_cycle_lane": star("cycle_lanes"), "copy_columns": copy_columns, "dim_date": dim_date,
+        "dim_stage_closed": view("stage_closed"), "dim_stage_closed_lanes": view("stage_closed_lanes"),
+        "dim_cycle_lane": view("cycle_lanes"), "copy_columns": copy_columns, "dim_date": dim_date,
         "job_select": lambda spark, sf: runlog.active_jobs(registry(spark, sf), "3"),
         "mart_feed_projection": mart_feed_projection, "detail_base_join": detail_base_join,
         "period_attributes": period_attributes, "partition_hour_filter": partition_hour_filter,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,12 @@ FROM_DAY, TO_DAY = "1995-01-01", "2001-12-31"
 WINDOW = (date(1995, 6, 1), date(2001, 6, 1))
 
 
+@lru_cache(maxsize=8)
+def star(spark: SparkSession, sf_dir: str) -> DerivedStar:
+    """One star per session and folder, as a batch of reports would hold it."""
+    return DerivedStar(spark, sf_dir)
+
+
 def whole(level: str) -> Span:
     """Every period of the level that the test tables touch."""
     return Span.backfill(level, FROM_DAY, TO_DAY)
@@ -43,7 +50,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def report(plan: Callable[..., DataFrame], level: str = "day", **options) -> Query:
     """Bind a report to a level."""
-    return lambda spark, sf_dir: plan(DerivedStar(spark, sf_dir), whole(level), **options)
+    return lambda spark, sf_dir: plan(star(spark, sf_dir), whole(level), **options)
 
 
 def report_queries() -> dict[str, Query]:
@@ -75,8 +82,8 @@ def report_queries() -> dict[str, Query]:
         "suspicious_summary": report(statistics.suspicious_summary),
         "suspicious_detail": report(statistics.suspicious_detail),
         "error_statistics": report(statistics.error_statistics),
-        "vehicle_trans_detail": lambda spark, sf: charges.vehicle_transactions(DerivedStar(spark, sf), *WINDOW),
-        "vehicle_trans_report": lambda spark, sf: charges.vehicle_transaction_report(DerivedStar(spark, sf), *WINDOW),
+        "vehicle_trans_detail": lambda spark, sf: charges.vehicle_transactions(star(spark, sf), *WINDOW),
+        "vehicle_trans_report": lambda spark, sf: charges.vehicle_transaction_report(star(spark, sf), *WINDOW),
         "card_report": report(statistics.card_report, operators=(1, 2, 3)),
         "payment_channel": report(statistics.payment_channel),
         "payment_provider": report(statistics.payment_provider),
@@ -96,8 +103,8 @@ def report_queries() -> dict[str, Query]:
 
 
 def _revenue(level: str, by: str) -> Query:
-    return lambda spark, sf_dir: revenue.transaction_revenue(DerivedStar(spark, sf_dir), whole(level), by)
+    return lambda spark, sf_dir: revenue.transaction_revenue(star(spark, sf_dir), whole(level), by)
 
 
 def _detail_revenue(by: str) -> Query:
-    return lambda spark, sf_dir: revenue.detail_revenue(DerivedStar(spark, sf_dir), whole("day"), by)
+    return lambda spark, sf_dir: revenue.detail_revenue(star(spark, sf_dir), whole("day"), by)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from farelane.functions import labels
 from farelane.functions.calendar import LOCAL_OFFSET_HOURS, Span, local_day_of
 from farelane.functions.text import money
-from farelane.sources.star import DIMENSIONS, Star
+from farelane.sources.star import DIMENSIONS, Star, held
+from farelane.sources.testtables import read_table
 
 # Code lists of the fixture star.
 DOMAIN = [
@@ -57,10 +58,12 @@ class DerivedStar(Star):
         super().__init__(spark)
         self._dir = sf_dir
 
+    @held
     def raw(self, name: str) -> DataFrame:
         """One test table."""
-        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return read_table(self.spark, self._dir, name)
 
+    @held
     def table(self, role: str) -> DataFrame:
         return getattr(self, f"_{role}")() if role in DIMENSIONS else self.fact(role)
 
@@ -259,6 +262,7 @@ class DerivedStar(Star):
             money(F.col("p_retailprice")).alias("price_amount"),
         )
 
+    @held
     def plaza_prices(self) -> DataFrame:
         """The price list that is unique on (plaza, vehicle type)."""
         return self._price().filter(F.col("price_id") < 125)

@@ -7,6 +7,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,19 @@ DIMENSIONS = frozenset(
 )
 
 
+def held(build: Callable) -> Callable:
+    """Build a dimension frame once per star; it stays lazy."""
+
+    @wraps(build)
+    def frame(self, *args):
+        key = (build.__name__, *args)
+        if key not in self._frames:
+            self._frames[key] = build(self, *args)
+        return self._frames[key]
+
+    return frame
+
+
 # Most rows a dimension may have to be broadcast (some 100 MB of names and ids).
 BROADCAST_ROWS = 500_000
 
@@ -33,6 +49,7 @@ class Star:
         self._schema = schema
         self._names = names or {}
         self._rows: dict[str, int] = {}
+        self._frames: dict[tuple, DataFrame] = {}
 
     def table(self, role: str) -> DataFrame:
         """The whole table of a role."""
@@ -68,14 +85,17 @@ class Star:
         """
         return F.broadcast(frame) if self.rows(role) <= BROADCAST_ROWS else frame
 
+    @held
     def plaza_prices(self) -> DataFrame:
         """Prices by plaza and vehicle type."""
         return self.table("price")
 
+    @held
     def domain(self, kind: str) -> DataFrame:
         """Code and name of one code list."""
         return self.table("domain").filter(F.col("type") == kind).select("code", F.col("name").alias("domain_name"))
 
+    @held
     def stage_closed(self) -> DataFrame:
         """Active stages with plaza and route names; one row per stage.
 
@@ -122,10 +142,12 @@ class Star:
             .select("cycle_id", "cycle_code", "cycle_name", "toll_id", "toll_name", "lane_code", "lane_name")
         )
 
+    @held
     def stages(self) -> DataFrame:
         """``stage_closed`` as the small side of a join."""
         return self.small(self.stage_closed(), "stage")
 
+    @held
     def stage_pairs(self) -> DataFrame:
         """Distinct entry/exit plaza pairs of the active stages with their operator and route."""
         toll = self.table("toll").select(F.col("toll_id").alias("checkout_toll_id"), "toll_type")
@@ -138,12 +160,14 @@ class Star:
         )
         return self.small(pairs, "stage")
 
+    @held
     def plaza_routes(self) -> DataFrame:
         """Plaza id with the name of its route."""
         cycle = self.table("cycle").select("cycle_id", "cycle_name")
         routes = self.table("toll_cycle").join(cycle, "cycle_id").select("toll_id", "cycle_id", "cycle_name")
         return self.small(routes, "toll_cycle")
 
+    @held
     def priced_vehicles(self) -> DataFrame:
         """Price id with the label of its vehicle type; unknown types are left out."""
         known = self.domain("VEHICLE_TYPE").toDF("code", "vehicle_label")
@@ -153,6 +177,7 @@ class Star:
         )
         return self.small(price.join(known, "code").drop("code"), "price")
 
+    @held
     def tolls(self) -> DataFrame:
         """Plazas as the small side of a join."""
         return self.small(self.table("toll").select("toll_id", "toll_name", "toll_type"), "toll")
