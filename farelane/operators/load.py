@@ -6,6 +6,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import date, timedelta
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +86,29 @@ def write_mart(df: DataFrame, path: str) -> None:
         )
 
 
+def write_mart_table(df: DataFrame, table: str, catalog_v2: bool = False) -> None:
+    """Replace exactly the touched day partitions of a catalog table, creating it if needed.
+
+    ``catalog_v2`` is for tables of a v2 catalog, which replace partitions themselves.
+    """
+    lacking = missing_partitions(df)
+    if lacking:
+        raise ValueError(f"partition columns missing: {lacking}")
+    spark = df.sparkSession
+    values = [c for c in df.columns if c not in MART_PARTITIONS]
+    rows = normalize_partitions(df).select(*values, *MART_PARTITIONS).hint("rebalance", *MART_PARTITIONS)
+    with _setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        if catalog_v2 and spark.catalog.tableExists(table):
+            rows.writeTo(table).overwritePartitions()
+        elif catalog_v2:
+            rows.writeTo(table).partitionedBy(*[F.col(c) for c in MART_PARTITIONS]).create()
+        elif spark.catalog.tableExists(table):
+            with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+                rows.write.insertInto(table, overwrite=True)
+        else:
+            rows.write.partitionBy(*MART_PARTITIONS).saveAsTable(table)
+
+
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     """A mart with its partition columns kept as text."""
     with _setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
@@ -150,15 +175,22 @@ def drop_expired(spark: SparkSession, table: str, base: str | date, days_before:
 def full_refresh(source: DataFrame, path: str) -> dict[str, int]:
     """Replace a Parquet target by the source; returns deleted and inserted row counts.
 
-    The inserted rows are counted while they are written. The old rows are counted from
-    file footers.
+    The new rows are written beside the target, counted on the way, and swapped in when
+    complete: a failed run leaves the old rows, and the source may read the target.
     """
     spark = source.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    jvm = spark._jvm
+    target, staged, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}__new-{uuid4().hex}", f"{path}__old-{uuid4().hex}"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    exists = fs.exists(target)
     deleted = spark.read.parquet(path).count() if exists else 0
     seen = Observation()
-    source.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    source.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged.toString())
+    if exists:
+        fs.rename(target, old)
+    fs.rename(staged, target)
+    if exists:
+        fs.delete(old, True)
     return {"deleted": deleted, "inserted": seen.get["rows"]}
 
 

@@ -65,7 +65,7 @@ def run_batch(star: Star, spans: list[Span], jobs: list[Job], log: Callable[[tup
             began = time.monotonic()
             try:
                 row = run_job(star, span, job)
-            except (AnalysisException, SparkRuntimeException, ValueError) as fault:
+            except (AnalysisException, SparkRuntimeException, ValueError, KeyError) as fault:
                 row = (job.name, f"{span.level} {span.first}..{span.last}", "error", 0, "", str(fault).splitlines()[0][:500])
             except (Py4JJavaError, Py4JError):
                 raise

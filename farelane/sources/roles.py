@@ -219,7 +219,7 @@ class DerivedStar(Star):
 
     def _stage(self) -> DataFrame:
         toll_a = F.col("s_nationkey").cast("bigint")
-        cycle = F.broadcast(self._toll_cycle().toDF("toll_a", "cycle_id"))  # one row per nation
+        cycle = self.small(self._toll_cycle().toDF("toll_a", "cycle_id"), "toll_cycle")
         return self.raw("supplier").select(
             F.col("s_suppkey").alias("stage_id"), F.concat(F.lit("ST"), F.col("s_suppkey").cast("string")).alias("stage_code"),
             F.col("s_name").alias("stage_name"), toll_a.alias("toll_a"), ((toll_a + 1) % 25).alias("toll_b"),
