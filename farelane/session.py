@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.ui.enabled": "false",
+    # Plans are built from many small expressions; recording a call site for each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

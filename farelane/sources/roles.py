@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from farelane.functions import labels
 from farelane.functions.calendar import LOCAL_OFFSET_HOURS, Span, local_day_of
-from farelane.functions.text import money
+from farelane.functions.text import MONEY, money
 from farelane.sources.star import DIMENSIONS, Star, held
 from farelane.sources.testtables import read_table
 
@@ -30,12 +30,10 @@ SOURCE_OF = {
     "stage": "supplier", "toll": "nation", "lane": "nation", "cycle": "region", "toll_cycle": "nation", "price": "part",
     "vehicle": "customer", "operator": "nation", "share": "nation", "account": "customer",
 }
-PARTITIONS = ("year", "month", "day", "hour", "local_day")
-
-
-def plus_hours(instant: Column, hours: Column) -> Column:
-    """A UTC timestamp moved by whole hours."""
-    return instant + F.make_interval(hours=hours.cast("int"))
+PARTITION_VALUES = {
+    "year": "date_format(event_time, 'yyyy')", "month": "date_format(event_time, 'MM')", "day": "date_format(event_time, 'dd')",
+    "hour": "date_format(event_time, 'HH')", "local_day": "local_day",
+}
 
 
 def with_partitions(df: DataFrame, instant: str) -> DataFrame:
@@ -78,108 +76,93 @@ class DerivedStar(Star):
 
     @staticmethod
     def _timed(rows: DataFrame, instant: str, key: str, span: Span | None) -> DataFrame:
-        """Event time = date plus ``key % 24`` hours, as local day, time and partition columns.
+        """Event time = date plus ``key % 24`` hours, and its local day.
 
         The local day comes from whole hours, so a span costs no timestamp arithmetic;
         its bounds on the raw date go to the scan.
         """
         if span is not None:
-            rows = rows.filter(
-                (F.col(instant) >= F.lit(span.start_utc - timedelta(hours=23)).cast("timestamp_ntz"))
-                & (F.col(instant) < F.lit(span.end_utc).cast("timestamp_ntz"))
-            )
-        hours = F.hour(instant) + (F.col(key) % 24).cast("int")
-        days_on = F.floor((hours + LOCAL_OFFSET_HOURS) / 24).cast("int")
-        rows = rows.withColumn("local_day", F.date_add(F.to_date(instant), days_on))
-        if span is not None:
-            rows = rows.filter(F.col("local_day").between(F.lit(span.first), F.lit(span.last)))
-        return with_partitions(rows.withColumn("event_time", plus_hours(F.col(instant), F.col(key) % 24)), "event_time")
+            early = span.start_utc - timedelta(hours=23)
+            rows = rows.filter(f"{instant} >= timestamp_ntz '{early}' AND {instant} < timestamp_ntz '{span.end_utc}'")
+        hours = f"hour({instant}) + cast({key} % 24 as int)"
+        rows = rows.withColumns({
+            "local_day": F.expr(f"date_add(to_date({instant}), cast(floor(({hours} + {LOCAL_OFFSET_HOURS}) / 24) as int))"),
+            "event_time": F.expr(f"{instant} + make_interval(0, 0, 0, 0, cast({key} % 24 as int))"),
+        })
+        return rows if span is None else rows.filter(f"local_day BETWEEN date '{span.first}' AND date '{span.last}'")
+
+    @staticmethod
+    def _selected(rows: DataFrame, values: dict[str, str], columns: list[str] | None) -> DataFrame:
+        """The wanted columns of a role, each given as an expression, with the partition columns."""
+        values = {**values, **PARTITION_VALUES}
+        wanted = values if columns is None else {*columns, "local_day"}
+        return rows.selectExpr(*[f"{value} AS {name}" for name, value in values.items() if name in wanted])
 
     def _lines(self, span: Span | None) -> DataFrame:
         return self._timed(self.raw("lineitem"), "l_shipdate", "l_orderkey", span)
 
     def _detail(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
-        ticket = (
-            F.when(F.col("l_returnflag") == "N", "L").when(F.col("l_returnflag") == "A", "T")
-            .when(F.col("l_linestatus") == "F", "Q").otherwise("N")
-        )
-        rows = self._lines(span).select(
-            F.col("l_orderkey").alias("transport_trans_id"), F.col("l_suppkey").alias("stage_id"),
-            F.col("l_partkey").alias("price_id"), ticket.alias("price_type"),
-            (F.col("l_linenumber") % 3).cast("string").alias("price_ticket_type"),
-            money(F.col("l_extendedprice")).alias("price_amount"),
-            _vehicle_type(F.col("l_partkey")).alias("vehicle_type"),
-            F.col("event_time").alias("checkin_datetime"), *PARTITIONS,
-        )
+        rows = self._selected(self._lines(span), {
+            "transport_trans_id": "l_orderkey", "stage_id": "l_suppkey", "price_id": "l_partkey",
+            "price_type": "CASE WHEN l_returnflag = 'N' THEN 'L' WHEN l_returnflag = 'A' THEN 'T' WHEN l_linestatus = 'F' THEN 'Q' ELSE 'N' END",
+            "price_ticket_type": "cast(l_linenumber % 3 as string)",
+            "price_amount": f"cast(l_extendedprice as {MONEY})",
+            "vehicle_type": "cast((l_partkey div 25) % 5 + 1 as string)",
+            "checkin_datetime": "event_time",
+        }, None if columns is None else [*columns, "transport_trans_id"])
         if columns is None or "vehicle_id" not in columns:
             return rows
-        owner = self.raw("orders").select(F.col("o_orderkey").alias("transport_trans_id"), F.col("o_custkey").alias("vehicle_id"))
+        owner = self.raw("orders").selectExpr("o_orderkey AS transport_trans_id", "o_custkey AS vehicle_id")
         return rows.join(owner, "transport_trans_id")
 
     def _txn(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
         """Transactions; plaza ids and plaza names are joined in only if they are asked for."""
-        total, lane, state = money(F.col("o_totalprice")), F.col("o_orderkey") % 2 + 1, F.col("o_orderstatus")
+        total, exit_id, entry_id = f"cast(o_totalprice as {MONEY})", "cast(c_nationkey as bigint)", "(cast(c_nationkey as bigint) + 1) % 25"
         values = {
-            "transport_trans_id": F.col("o_orderkey"),
-            "fe_trans_id": F.concat(F.lit("FE"), F.col("o_orderkey").cast("string")),
-            "vehicle_id": F.col("o_custkey"), "account_id": F.col("o_custkey"),
-            "vehicle_type": (F.col("o_custkey") % 5 + 1).cast("string"),
-            "checkin_lane_name": F.concat(F.lit("Lane "), (3 - lane).cast("string")),
-            "checkout_lane_name": F.concat(F.lit("Lane "), lane.cast("string")),
-            "checkout_channel": F.col("o_orderpriority"),
-            "charge_status": F.when(state == "F", labels.CHARGE_FAILED).when(state == "P", labels.CHARGE_ROLLED_BACK)
-            .otherwise(labels.CHARGE_SUCCESS[0]),
-            "charge_in_status": F.when(state == "F", labels.FAILED).when(state == "P", labels.CANCELLED).otherwise("Thành công"),
+            "transport_trans_id": "o_orderkey", "fe_trans_id": "concat('FE', o_orderkey)", "vehicle_id": "o_custkey",
+            "account_id": "o_custkey", "vehicle_type": "cast(o_custkey % 5 + 1 as string)",
+            "checkin_lane_name": "concat('Lane ', 2 - o_orderkey % 2)", "checkout_lane_name": "concat('Lane ', 1 + o_orderkey % 2)",
+            "checkout_channel": "o_orderpriority",
+            "charge_status": f"CASE o_orderstatus WHEN 'F' THEN '{labels.CHARGE_FAILED}' WHEN 'P' THEN '{labels.CHARGE_ROLLED_BACK}' ELSE '{labels.CHARGE_SUCCESS[0]}' END",
+            "charge_in_status": f"CASE o_orderstatus WHEN 'F' THEN '{labels.FAILED}' WHEN 'P' THEN '{labels.CANCELLED}' ELSE 'Thành công' END",
             "total_amount": total,
-            "voucher_used_amount": F.when(F.col("o_orderkey") % 10 == 0, money(total * F.lit("0.01").cast("decimal(3,2)")))
-            .otherwise(money(F.lit(0))),
-            "etag_number": F.concat(F.lit("E"), F.col("o_custkey").cast("string")),
-            "plate": F.concat(F.lit("P"), F.col("o_custkey").cast("string")),
-            "checkin_datetime": plus_hours(F.col("o_orderdate"), F.col("o_orderkey") % 24 - 1),
-            "checkout_datetime": F.col("event_time"), "checkout_commit_datetime": F.col("event_time"),
-            **{name: F.col(name) for name in PARTITIONS},
+            "voucher_used_amount": f"cast(CASE WHEN o_orderkey % 10 = 0 THEN {total} * 0.01 ELSE 0 END as {MONEY})",
+            "etag_number": "concat('E', o_custkey)", "plate": "concat('P', o_custkey)",
+            "checkin_datetime": "event_time - interval 1 hour", "checkout_datetime": "event_time", "checkout_commit_datetime": "event_time",
         }
-        exit_id = F.col("c_nationkey").cast("bigint")
-        entry_id = (exit_id + 1) % 25
         placed = {
             "checkout_toll_id": exit_id, "checkin_toll_id": entry_id, "boo": exit_id,
-            "checkin_lane_id": entry_id * 2 + 3 - lane, "checkout_lane_id": exit_id * 2 + lane,
+            "checkin_lane_id": f"({entry_id}) * 2 + 2 - o_orderkey % 2", "checkout_lane_id": f"{exit_id} * 2 + 1 + o_orderkey % 2",
         }
         named = ("checkout_toll_name", "checkin_toll_name")
-        wanted = {*values, *placed, *named} if columns is None else {*columns, "local_day"}
-        with_plaza, with_names = bool(wanted & {*placed, *named}), bool(wanted & {*named})
+        wanted = {*placed, *named} if columns is None else {*columns}
         rows = self._timed(self.raw("orders"), "o_orderdate", "o_orderkey", span)
-        if with_plaza:
-            customer = self.raw("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+        if wanted & {*placed, *named}:
+            customer = self.raw("customer").selectExpr("c_custkey AS o_custkey", "c_nationkey")
             rows = rows.join(self.small(customer, "vehicle"), "o_custkey")
             values.update(placed)
-        if with_names:
+        if wanted & {*named}:
             toll = self.tolls().select("toll_id", "toll_name")
             rows = (
-                rows.withColumns({"_out": exit_id, "_in": entry_id})
+                rows.withColumns({"_out": F.expr(exit_id), "_in": F.expr(entry_id)})
                 .join(toll.toDF("_out", "checkout_toll_name"), "_out").join(toll.toDF("_in", "checkin_toll_name"), "_in")
             )
-            values.update({name: F.col(name) for name in named})
-        return rows.select(*[column.alias(name) for name, column in values.items() if name in wanted])
+            values.update({name: name for name in named})
+        return self._selected(rows, values, columns)
 
     def _subscription(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
         shift = timedelta(days=SUBSCRIPTION_SHIFT_DAYS)
-        rows = self.raw("events").filter(F.col("event_type") == "purchase")
+        rows = self.raw("events").filter("event_type = 'purchase'")
         if span is not None:
-            rows = rows.filter(
-                (F.col("ts") >= F.lit(span.start_utc + shift).cast("timestamp_ntz"))
-                & (F.col("ts") < F.lit(span.end_utc + shift).cast("timestamp_ntz"))
-            )
-        rows = rows.withColumn("event_time", F.col("ts") - F.make_interval(days=F.lit(SUBSCRIPTION_SHIFT_DAYS)))
-        toll = F.col("user_id") % 25
-        rows = with_partitions(rows, "event_time").withColumn("local_day", local_day_of(F.col("event_time")))
-        return rows.select(
-            toll.alias("boo"), (F.col("user_id") % 5 + 1).cast("string").alias("vehicle_type"),
-            F.element_at(F.array(*[F.lit(t) for t in labels.PRICE_TYPES]), (F.col("event_id") % 4 + 1).cast("int")).alias("price_type"),
-            money(F.col("value")).alias("price_amount"),
-            toll.alias("toll_id"), ((toll + 1) % 25).alias("toll_in_id"), toll.alias("toll_out_id"),
-            *PARTITIONS,
-        )
+            rows = rows.filter(f"ts >= timestamp_ntz '{span.start_utc + shift}' AND ts < timestamp_ntz '{span.end_utc + shift}'")
+        rows = rows.withColumn("event_time", F.expr(f"ts - interval {SUBSCRIPTION_SHIFT_DAYS} days"))
+        rows = rows.withColumn("local_day", local_day_of(F.col("event_time")))
+        return self._selected(rows, {
+            "boo": "user_id % 25", "vehicle_type": "cast(user_id % 5 + 1 as string)",
+            "price_type": f"element_at(array{tuple(labels.PRICE_TYPES)}, cast(event_id % 4 + 1 as int))",
+            "price_amount": f"cast(value as {MONEY})", "toll_id": "user_id % 25", "toll_in_id": "(user_id + 1) % 25",
+            "toll_out_id": "user_id % 25",
+        }, columns)
 
     def _mediation(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
         return self.raw("lineitem").groupBy(F.col("l_orderkey").alias("transport_trans_id")).agg(
@@ -194,23 +177,21 @@ class DerivedStar(Star):
             money(F.sum(money(F.col("l_extendedprice")))).alias("price_amount"),
         ).withColumn("status", F.lit(labels.TO_BE_COLLECTED))
 
-    def _charged_lines(self, lines: DataFrame) -> DataFrame:
-        ticket = F.when(F.col("l_returnflag") == "N", "L").when(F.col("l_returnflag") == "A", "T").otherwise("Q")
-        return lines.select(
-            F.col("l_orderkey").alias("transporttransactionid"),
-            (F.col("l_suppkey") % 25).alias("fromtollid"), ((F.col("l_suppkey") + 1) % 25).alias("totollid"),
-            ticket.alias("tickettype"), (F.col("l_linenumber") % 4).alias("prioritytype"),
-            money(F.col("l_extendedprice")).alias("paidamount"),
-            F.col("event_time").alias("checkoutdatetime"), *PARTITIONS,
-        )
+    def _charged_lines(self, lines: DataFrame, columns: list[str] | None) -> DataFrame:
+        return self._selected(lines, {
+            "transporttransactionid": "l_orderkey", "fromtollid": "l_suppkey % 25", "totollid": "(l_suppkey + 1) % 25",
+            "tickettype": "CASE l_returnflag WHEN 'N' THEN 'L' WHEN 'A' THEN 'T' ELSE 'Q' END",
+            "prioritytype": "l_linenumber % 4", "paidamount": f"cast(l_extendedprice as {MONEY})", "checkoutdatetime": "event_time",
+        }, None if columns is None else [*columns, "transporttransactionid"])
 
     def _before(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
-        return self._charged_lines(self._lines(span))
+        return self._charged_lines(self._lines(span), columns)
 
     def _final(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
-        owner = self.raw("orders").select(F.col("o_orderkey").alias("transporttransactionid"), F.col("o_custkey").alias("vehicleid"))
-        lines = self._charged_lines(self._lines(span).filter(F.col("l_linestatus") == "F"))
-        return lines if columns is not None and "vehicleid" not in columns else lines.join(owner, "transporttransactionid")
+        lines = self._charged_lines(self._lines(span).filter("l_linestatus = 'F'"), columns)
+        if columns is not None and "vehicleid" not in columns:
+            return lines
+        return lines.join(self.raw("orders").selectExpr("o_orderkey AS transporttransactionid", "o_custkey AS vehicleid"), "transporttransactionid")
 
     def _charge(self, span: Span | None = None, columns: list[str] | None = None) -> DataFrame:
         return self.raw("orders").filter(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("transporttransactionid"))
