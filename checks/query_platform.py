@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.query_reports import star, whole
-from farelane.functions import calendar, labels, text
+from farelane.functions import calendar, text
 from farelane.operators import load, lookups, migrate, numbering, runlog
 from farelane.plans import revenue, statistics, summary
 from farelane.plans.runner import Job, run_batch
@@ -479,7 +479,10 @@ def compose_text(spark, sf_dir):
 
 def lenient_number(spark, sf_dir):
     key = F.col("o_orderkey")
-    value = F.when(key % 4 == 0, F.concat(key.cast("string"), F.lit("x"))).when(key % 4 == 1, key.cast("string")).when(key % 4 == 2, F.concat(F.lit(" "), (key % 100).cast("string"), F.lit(".5 ")))
+    value = (
+        F.when(key % 4 == 0, F.concat(key.cast("string"), F.lit("x"))).when(key % 4 == 1, key.cast("string"))
+        .when(key % 4 == 2, F.concat(F.lit(" "), (key % 100).cast("string"), F.lit(".5 ")))
+    )
     return _raw(spark, sf_dir, "orders").select("o_orderkey", text.lenient_number(value).alias("number"))
 
 

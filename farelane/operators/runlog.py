@@ -94,6 +94,7 @@ def search_page(log: DataFrame, table_name: str, page: int = 1, page_size: int =
         rows = hits.orderBy(F.col("id").desc()).offset(skip).limit(size)
     else:
         rows = numbered(hits, [F.col("id").desc()], "_n").filter(F.col("_n").between(skip + 1, skip + size)).drop("_n")
+        rows = rows.orderBy(F.col("id").desc())
     return rows.withColumns({
         "total": total,
         "total_pages": F.greatest(F.ceil(total / F.lit(size)), F.lit(1)).cast("bigint"),

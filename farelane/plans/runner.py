@@ -7,13 +7,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from py4j.protocol import Py4JError, Py4JJavaError
-from pyspark.errors import AnalysisException, SparkRuntimeException
-from pyspark.sql import DataFrame, SparkSession
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 
 from farelane.functions.calendar import Span
 from farelane.operators import load
+from farelane.operators.runlog import append_log, log_entry
 from farelane.sources.star import Star
 
 
@@ -56,7 +56,7 @@ def run_batch(star: Star, spans: list[Span], jobs: list[Job], log: Callable[[tup
     """All jobs for all spans, one status row each.
 
     A job that fails on its own (bad query, bad data) is recorded and the next one runs.
-    A failure of the cluster itself (lost driver connection, dead context) stops the batch.
+    An aborted stage or a dead context surfaces as another kind of error and stops the batch.
     """
     spark: SparkSession = star.spark
     rows = []
@@ -65,10 +65,8 @@ def run_batch(star: Star, spans: list[Span], jobs: list[Job], log: Callable[[tup
             began = time.monotonic()
             try:
                 row = run_job(star, span, job)
-            except (AnalysisException, SparkRuntimeException, ValueError, KeyError) as fault:
+            except (PySparkException, ValueError, KeyError) as fault:
                 row = (job.name, f"{span.level} {span.first}..{span.last}", "error", 0, "", str(fault).splitlines()[0][:500])
-            except (Py4JJavaError, Py4JError):
-                raise
             rows.append(row)
             if log:
                 log(row, int((time.monotonic() - began) * 1000))
@@ -77,8 +75,6 @@ def run_batch(star: Star, spans: list[Span], jobs: list[Job], log: Callable[[tup
 
 def log_to(spark: SparkSession, path: str) -> Callable[[tuple, int], None]:
     """A logger for ``run_batch`` that appends one row per run."""
-    from farelane.operators.runlog import append_log, log_entry
-
     def write(row: tuple, elapsed_ms: int) -> None:
         name, period, status, inserted, _, message = row
         entry = log_entry(

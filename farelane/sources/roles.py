@@ -44,6 +44,10 @@ def with_partitions(df: DataFrame, instant: str) -> DataFrame:
     )
 
 
+def _by_state(failed: str, cancelled: str, otherwise: str) -> str:
+    return f"CASE o_orderstatus WHEN 'F' THEN '{failed}' WHEN 'P' THEN '{cancelled}' ELSE '{otherwise}' END"
+
+
 def _vehicle_type(part_key: Column) -> Column:
     return (F.floor(part_key / 25) % 5 + 1).cast("string")
 
@@ -123,8 +127,8 @@ class DerivedStar(Star):
             "account_id": "o_custkey", "vehicle_type": "cast(o_custkey % 5 + 1 as string)",
             "checkin_lane_name": "concat('Lane ', 2 - o_orderkey % 2)", "checkout_lane_name": "concat('Lane ', 1 + o_orderkey % 2)",
             "checkout_channel": "o_orderpriority",
-            "charge_status": f"CASE o_orderstatus WHEN 'F' THEN '{labels.CHARGE_FAILED}' WHEN 'P' THEN '{labels.CHARGE_ROLLED_BACK}' ELSE '{labels.CHARGE_SUCCESS[0]}' END",
-            "charge_in_status": f"CASE o_orderstatus WHEN 'F' THEN '{labels.FAILED}' WHEN 'P' THEN '{labels.CANCELLED}' ELSE 'Thành công' END",
+            "charge_status": _by_state(labels.CHARGE_FAILED, labels.CHARGE_ROLLED_BACK, labels.CHARGE_SUCCESS[0]),
+            "charge_in_status": _by_state(labels.FAILED, labels.CANCELLED, "Thành công"),
             "total_amount": total,
             "voucher_used_amount": f"cast(CASE WHEN o_orderkey % 10 = 0 THEN {total} * 0.01 ELSE 0 END as {MONEY})",
             "etag_number": "concat('E', o_custkey)", "plate": "concat('P', o_custkey)",
