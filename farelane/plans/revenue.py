@@ -52,8 +52,8 @@ def detail_revenue(star: Star, span: Span, level: str) -> DataFrame:
     """Revenue per ``plaza`` or ``route`` from the detail fact, with distinct transactions.
 
     Vehicle rows need a priced, known vehicle type; channel rows of the route report
-    do not, those of the plaza report do. Amounts are summed per transaction before the
-    rows are doubled into vehicle and channel rows.
+    do not, those of the plaza report do. The rows are doubled within the scanning task
+    and reduced per transaction there before anything is shuffled.
     """
     columns = ["transport_trans_id", "stage_id", "price_id", "vehicle_id", "price_amount"]
     detail = by_period(star.fact("detail", span, columns), span)
@@ -62,15 +62,14 @@ def detail_revenue(star: Star, span: Span, level: str) -> DataFrame:
     )
     priced = star.priced_vehicles().select("price_id", "vehicle_label")
     keys = ["period", *LEVEL_KEYS[level]]
-    per_trip = (
-        detail.join(stage, "stage_id").join(priced, "price_id", "inner" if level == "plaza" else "left")
-        .groupBy(*keys, "vehicle_label", "vehicle_id", "transport_trans_id").agg(amount(F.col("price_amount"), "amount"))
-    )
     vehicle = star.small(star.table("vehicle").select("vehicle_id", F.col("vehicle_group").alias("revenue_group")), "vehicle")
+    rows = (
+        detail.join(stage, "stage_id").join(priced, "price_id", "inner" if level == "plaza" else "left").join(vehicle, "vehicle_id")
+    )
     totals = (
-        with_vehicle_and_channel_rows(per_trip.join(vehicle, "vehicle_id"), F.col("vehicle_label"))
+        with_vehicle_and_channel_rows(rows, F.col("vehicle_label"))
         .groupBy(*keys, "revenue_group", "vehicle_transaction_type", "type")
-        .agg(F.count_distinct("transport_trans_id").alias("transaction_count"), amount(F.col("amount"), "gross_revenue"))
+        .agg(F.count_distinct("transport_trans_id").alias("transaction_count"), amount(F.col("price_amount"), "gross_revenue"))
     )
     return _published(totals, span, LEVEL_KEYS[level], None)
 
