@@ -1,5 +1,7 @@
 """Every registered query against its own SQL, and the properties of the report set."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from farelane.plans import revenue, share, summary
 from tests.conftest import SF
 
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
+# The training-data operators have tests of their own.
+SQL = {name: sql for name, sql in SQL.items() if not re.match(r"op\d+_|pipeline$", name)}
+OWN = {name for name in QUERIES if not re.match(r"op\d+_|pipeline$", name)}
 
 
 @pytest.fixture(scope="module")
@@ -19,8 +24,8 @@ def duck():
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"run_batch_status"}
+    assert set(SQL) <= OWN
+    assert OWN - set(SQL) == {"run_batch_status"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
