@@ -19,7 +19,28 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) r(i)
+), told AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nth,
+         regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\]|/?SYS\])', '\1\\\2\3', 'g') AS shown,
+         regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '([<\[])(\\*)(/?s>|/?INST\]|/?SYS\])', '\1\\\2\3', 'g') AS shown_role
+  FROM turns
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth) AS said,
+         coalesce(string_agg(text, '' ORDER BY nth) FILTER (WHERE role = 'assistant'), '') AS loss,
+         sum(length(shown) + length(shown_role) + 8) AS formatted_chars
+  FROM told GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM whole
+"""
+
 
 def llm_sql() -> dict[str, str]:
     """Query name to SQL."""
-    return {"op6_norm_bucketed_topk": TOP_K}
+    return {"op2_event_sourced_chat": CHAT, "op6_norm_bucketed_topk": TOP_K}
