@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farelane.session import scratch_path
 
@@ -21,3 +22,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Most rows of a frame that is sent whole to every executor (some tens of MB of words and ids).
+BROADCAST_ROWS = 200_000
+
+
+def sent_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows, else as it is: the join then shuffles."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

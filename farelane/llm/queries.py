@@ -28,6 +28,12 @@ def op6_norm_bucketed_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op9_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farelane.llm.decontaminate import report
+
+    return report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), width=10)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to callable."""
     return {name: f for name, f in globals().items() if name.startswith("op")}

@@ -40,7 +40,37 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGI
 FROM whole
 """
 
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[s : s + m - 1], ' ') AS gram
+  FROM (SELECT *, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM b WHERE len(w) > 0)
+), grams AS (
+  SELECT doc_id, m, s, array_to_string(w[s : s + m - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM d, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m)
+), found AS (
+  SELECT doc_id, item_id, m, s FROM grams JOIN windows USING (m, gram)
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + m)) AS p FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 
 def llm_sql() -> dict[str, str]:
     """Query name to SQL."""
-    return {"op2_event_sourced_chat": CHAT, "op6_norm_bucketed_topk": TOP_K}
+    return {
+        "op2_event_sourced_chat": CHAT,
+        "op6_norm_bucketed_topk": TOP_K,
+        "op9_prefix_filtered_decontamination": DECONTAMINATION,
+    }
