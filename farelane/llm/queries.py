@@ -22,6 +22,12 @@ def op2_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_conversations(message_events(turns)))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farelane.llm.jaccard import jaccard_components
+
+    return jaccard_components(read(spark, sf_dir, "documents"), percent=80, width=5)
+
+
 def op6_norm_bucketed_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from farelane.llm.topk import top_k
 

@@ -66,11 +66,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+JACCARD = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s : s + least(5, len(w)) - 1], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS s FROM d WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents
+  UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen
+), least_of AS (
+  SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents LEFT JOIN sizes USING (doc_id) JOIN least_of ON node = doc_id
+"""
+
 
 def llm_sql() -> dict[str, str]:
     """Query name to SQL."""
     return {
         "op2_event_sourced_chat": CHAT,
+        "op5_ngram_jaccard_join": JACCARD,
         "op6_norm_bucketed_topk": TOP_K,
         "op9_prefix_filtered_decontamination": DECONTAMINATION,
     }
