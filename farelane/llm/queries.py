@@ -40,6 +40,12 @@ def op9_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> Dat
     return report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), width=10)
 
 
+def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farelane.llm.packing import pack
+
+    return pack(read(spark, sf_dir, "documents"), size=1024)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to callable."""
     return {name: f for name, f in globals().items() if name.startswith("op")}
