@@ -22,6 +22,13 @@ def op2_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_conversations(message_events(turns)))
 
 
+def op3_simhash_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farelane.llm.linededup import without_repeated_lines
+
+    rows = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeated_lines(rows, percent=80)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from farelane.llm.jaccard import jaccard_components
 
