@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from farelane.llm.common import read
 
 
+def op1_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farelane.llm.toxicity import toxicity
+
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), sample_rows=16_000)
+
+
 def op2_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from farelane.llm.chat import digests, format_conversations, message_events
 
