@@ -47,6 +47,14 @@ def op6_norm_bucketed_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farelane.llm.pii import pseudonymised
+
+    # A real run takes its key from the caller's secret store.
+    done = pseudonymised(read(spark, sf_dir, "documents"), key="query key")
+    return done.select("doc_id", "text", "n_replaced")
+
+
 def op9_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from farelane.llm.decontaminate import report
 
