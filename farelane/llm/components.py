@@ -11,16 +11,17 @@ from farelane.llm.common import sent_if_small, stored
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (the smallest id reachable) of all ends of the links ``a, b``.
 
-    In each round every node moves to the neighbour (or itself) that is first in a random order of
-    that round; moved links that still join two nodes go on. The number of nodes falls by a constant factor
-    on average, chains included. Sums over a hub's links start in the map tasks. Null ends are ignored.
+    In each round every node moves to the neighbour (or itself) that is first in the order of
+    that round; moved links that still join two nodes go on. The first order is that of the ids, which ends stars around their
+    smallest node at once; later ones are random, so the number of nodes falls by a constant factor
+    on average, chains included. Minima over a hub's links start in the map tasks. Null ends are ignored.
     """
     links = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
     links = stored(links.filter("a <> b").distinct(), "links")
     home: DataFrame | None = None
     turn = 0
     while True:
-        rank = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("h"), F.col(c).alias("n"))  # noqa: B023, E731
+        rank = lambda c: F.struct((F.xxhash64(F.col(c), F.lit(turn)) if turn else F.lit(0)).alias("h"), F.col(c).alias("n"))  # noqa: B023, E731
         ends = links.select("a", rank("b").alias("r")).union(links.select(F.col("b").alias("a"), rank("a").alias("r")))
         first = ends.groupBy("a").agg(F.min("r").alias("r"))
         moves = stored(first.select(F.col("a").alias("node"), F.least("r", rank("a"))["n"].alias("to")), "moves")

@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from farelane.llm.common import sent_if_small, stored
 from farelane.llm.components import components
-from farelane.llm.shingles import least_hashes, shingle_set
+from farelane.llm.shingles import least_hashes, shingle_sets
 
 SEEDS = [0x1B873593A5A5A5A5, 0x85EBCA6B5C5C5C5C, 0xC2B2AE3569696969, 0x27D4EB2F3C3C3C3C]
 SKETCH_BITS = 16  # cells of the document frequency sketch, which orders shingles by rarity
+REGION_POINTS = 64  # in a region with more points classes are merged by their first points before all pairs are made
 REGION_CLASSES = 32  # a region with more classes is split again
 Batches = Iterator[pa.RecordBatch]
 
@@ -40,7 +41,7 @@ def _signatures(width: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            sets = [shingle_set(t, width) for t in batch.column("text").to_pylist()]
+            sets = list(shingle_sets(batch.column("text"), width))
             ids = batch.column("doc_id").to_pylist()
             if any(len(s) for s in sets):
                 counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
@@ -68,7 +69,7 @@ def _summed(group: pa.Table) -> pa.Table:
 def _sets(width: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            sets = [shingle_set(t, width).tobytes() for t in batch.column("text").to_pylist()]
+            sets = [s.tobytes() for s in shingle_sets(batch.column("text"), width)]
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "shingles": pa.array(sets, pa.large_binary()).cast(pa.binary())})
 
     return run
@@ -78,8 +79,7 @@ def _prefixes(width: int, percent: int, sketch: np.ndarray) -> Callable[[Batches
     def run(batches: Batches) -> Batches:
         for batch in batches:
             tokens = []
-            for text in batch.column("text").to_pylist():
-                s = shingle_set(text, width)
+            for s in shingle_sets(batch.column("text"), width):
                 order = np.lexsort((s, sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
                 tokens.append(s[order[: len(s) - (percent * len(s) + 99) // 100 + 1]].view(np.int64))
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "tokens": pa.array(tokens, pa.list_(pa.int64()))})
@@ -109,20 +109,22 @@ class JaccardJoin:
     def __init__(self, documents: DataFrame, percent: int, width: int):
         self.texts, self.percent, self.width = documents.select("doc_id", "text"), percent, width
 
-    def distances(self, pairs: DataFrame) -> DataFrame:
+    def sets_of(self, ids: DataFrame) -> DataFrame:
+        """``doc_id, shingles`` of the documents ``doc_id``."""
+        texts = self.texts.join(sent_if_small(stored(ids.distinct(), "ids")), "doc_id", "left_semi")
+        return stored(texts.mapInArrow(_sets(self.width), "doc_id long, shingles binary"), "sets")
+
+    def distances(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """``a, b, shared, united`` of the pairs ``a, b``."""
-        pairs = stored(pairs, "pairs")
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        texts = self.texts.join(sent_if_small(stored(ids, "ids")), "doc_id", "left_semi")
-        sets = stored(texts.mapInArrow(_sets(self.width), "doc_id long, shingles binary"), "sets")
-        both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+        left = sets.toDF("a", "x").join(sent_if_small(stored(pairs, "pairs")), "a")
+        both = left.join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
         return stored(both.mapInArrow(_measure, "a long, b long, shared long, united long"), "distances")
 
     def near(self, measured: DataFrame) -> DataFrame:
         return measured.filter(F.col("shared") * 100 >= F.col("united") * self.percent)
 
     def run(self) -> tuple[DataFrame, DataFrame]:
-        """(``doc_id, n_shingles, point``; the links ``a, b`` of points)."""
+        """(``doc_id, n_shingles, point``; ``point, class``)."""
         spark = self.texts.sparkSession
         signed = stored(self.texts.mapInArrow(
             _signatures(self.width), "doc_id long, n_shingles long, digest binary, least array<long>, counts binary"
@@ -135,30 +137,31 @@ class JaccardJoin:
         members = signed.join(points.select("digest", "point"), "digest", "left").select("doc_id", "n_shingles", "point")
 
         links, cells = self._elect(points)
-        known = links
-        classes = self._classes(points, known)
-        regions = self._regions(points, _prefixes(self.width, self.percent, sketch), self.texts)
-        while True:  # the first documents of a region's classes
+        classes = _merged(points.select("point").distinct().select("point", F.col("point").alias("class")), links)
+        regions = self._regions(points, classes, _prefixes(self.width, self.percent, sketch))
+        ends = regions.select(F.col("point").alias("doc_id"))
+        sets = self.sets_of(ends.union(cells.join(regions.select("point"), "point").select("pivot")))
+        while True:  # in regions with many points, the first of each class
             mixed = self._mixed(regions, classes)
-            heads = mixed.groupBy("token", "class").agg(F.min(F.struct("point", "n")).alias("head"))
+            busy = stored(mixed.groupBy("token").agg(F.count("*").alias("k")).filter(F.col("k") > REGION_POINTS).select("token"), "busy")
+            if busy.isEmpty():
+                break
+            heads = mixed.join(sent_if_small(busy), "token").groupBy("token", "class").agg(F.min(F.struct("point", "n")).alias("head"))
             lead = heads.groupBy("token").agg(F.min(F.struct("class", "head")).alias("lead"))
             pairs = heads.join(lead, "token").filter(F.col("class") != F.col("lead.class")).select(
                 F.col("lead.head.point").alias("a"), F.col("lead.head.n").alias("na"), F.col("head.point").alias("b"), F.col("head.n").alias("nb")
             )
-            found = self.near(self.distances(self._sized(pairs))).select("a", "b")
+            found = self.near(self.distances(self._sized(pairs), sets)).select("a", "b")
             if found.isEmpty():
                 break
-            known = known.union(found)
-            classes = self._classes(points, known)
-        mixed = self._mixed(regions, classes)
+            classes = _merged(classes, found)
         large = stored(mixed.groupBy("token").agg(F.countDistinct("class").alias("k")).filter(F.col("k") > REGION_CLASSES), "large")
         if not large.isEmpty():
             mixed = self._split(mixed, large, classes)
         left, right = mixed.alias("l"), mixed.alias("r")
         cross = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.point") < F.col("r.point")) & (F.col("l.class") != F.col("r.class")))
         pairs = self._sized(cross.select(F.col("l.point").alias("a"), F.col("l.n").alias("na"), F.col("r.point").alias("b"), F.col("r.n").alias("nb")))
-        known = known.union(self._verified_by_cells(pairs, cells))
-        return members, known
+        return members, _merged(classes, self._verified_by_cells(pairs, cells, sets))
 
     def _sized(self, pairs: DataFrame) -> DataFrame:
         """Distinct ordered pairs whose sizes allow the similarity."""
@@ -173,22 +176,21 @@ class JaccardJoin:
             F.col("point").alias("a"), F.col("n").alias("na"), F.col("p.point").alias("b"), F.col("p.n").alias("nb")
         )
         fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        measured = self.distances(pairs.filter(fits).select("a", "b").distinct())
+        pairs = stored(pairs.filter(fits).select("a", "b").distinct(), "elected")
+        sets = self.sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
+        measured = self.distances(pairs, sets)
         near = self.near(measured)
         away = 1 - F.col("shared") / F.col("united")
         cells = near.groupBy(F.col("a").alias("point")).agg(F.min(F.struct(away.alias("away"), F.col("b").alias("pivot"))).alias("c"))
         return near.select("a", "b"), cells.select("point", "c.pivot", "c.away")
 
-    def _classes(self, points: DataFrame, links: DataFrame) -> DataFrame:
-        found = components(links)
-        return points.select("point").join(sent_if_small(found.toDF("point", "class")), "point", "left").select("point", F.coalesce("class", "point").alias("class"))
-
-    def _regions(self, points: DataFrame, prefixes: Callable[[Batches], Batches], texts: DataFrame) -> DataFrame:
-        """``token, point, n`` of all tokens that two points have in their prefixes."""
-        tokens = stored(texts.mapInArrow(prefixes, "doc_id long, tokens array<long>"), "prefixes")
-        own = tokens.join(points.select("point", "n"), F.col("doc_id") == F.col("point")).select("point", "n", F.explode("tokens").alias("token"))
-        several = own.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
-        return stored(own.join(several, "token").select("token", "point", "n"), "regions")
+    def _regions(self, points: DataFrame, classes: DataFrame, prefixes: Callable[[Batches], Batches]) -> DataFrame:
+        """``token, point, n`` of all tokens that points of several classes have in their prefixes."""
+        tokens = stored(self.texts.mapInArrow(prefixes, "doc_id long, tokens array<long>"), "prefixes")
+        told = tokens.join(sent_if_small(points.select("point", "n").join(classes, "point").withColumnRenamed("point", "doc_id"), 1_000_000), "doc_id")
+        own = told.select(F.col("doc_id").alias("point"), "n", "class", F.explode("tokens").alias("token"))
+        several = own.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("token")
+        return stored(own.join(sent_if_small(stored(several, "shared"), 1_000_000), "token").select("token", "point", "n"), "regions")
 
     def _mixed(self, regions: DataFrame, classes: DataFrame) -> DataFrame:
         """Regions with points of several classes: ``token, point, n, class``."""
@@ -211,7 +213,7 @@ class JaccardJoin:
         again = own.select(F.col("t.token").alias("token"), "point").join(points, "point").join(classes, "point")
         return stored(kept.unionByName(again.select("token", "point", "n", "class")), "split")
 
-    def _verified_by_cells(self, pairs: DataFrame, cells: DataFrame) -> DataFrame:
+    def _verified_by_cells(self, pairs: DataFrame, cells: DataFrame, sets: DataFrame) -> DataFrame:
         """Links among the pairs: their cells' pivots are measured first, the triangle inequality drops the rest."""
         home = lambda end, name: cells.select(
             F.col("point").alias(end), F.col("pivot").alias(f"{name}_pivot"), F.col("away").alias(f"{name}_away")
@@ -222,25 +224,32 @@ class JaccardJoin:
         ).withColumns({"p": F.least("p", "q"), "q": F.greatest("p", "q")})
         placed = stored(placed, "placed")
         ends = placed.filter("p <> q").select(F.col("p").alias("a"), F.col("q").alias("b")).distinct()
-        measured = self.distances(ends)
+        measured = self.distances(ends, sets)
         apart = measured.select(F.col("a").alias("p"), F.col("b").alias("q"), (1 - F.col("shared") / F.col("united")).alias("d"))
         radius = 1 - self.percent / 100
         open_pairs = placed.join(apart, ["p", "q"], "left").filter(
             (F.col("away") > 0) & (F.col("d").isNull() | (F.col("d") - F.col("away") <= radius + 1e-9))
         )
         close = self.near(measured).select("a", "b")
-        return close.union(self.near(self.distances(open_pairs.select("a", "b").distinct())).select("a", "b"))
+        return close.union(self.near(self.distances(open_pairs.select("a", "b").distinct(), sets)).select("a", "b"))
 
 
 def _all_tokens(width: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            sets = [shingle_set(t, width).view(np.int64) for t in batch.column("text").to_pylist()]
+            sets = [s.view(np.int64) for s in shingle_sets(batch.column("text"), width)]
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "tokens": pa.array(sets, pa.list_(pa.int64()))})
 
     return run
 
 
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``point, class`` after links ``a, b`` of points; a class is named after its smallest point."""
+    left = links.join(classes.toDF("a", "x"), "a").join(classes.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    found = components(left).toDF("class", "whole")
+    return stored(classes.join(sent_if_small(found), "class", "left").select("point", F.coalesce("whole", "class").alias("class")), "classes")
+
+
 def jaccard_components(documents: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """Per row of ``documents``: ``doc_id, n_shingles, component_id``.
 
@@ -250,10 +259,12 @@ def jaccard_components(documents: DataFrame, percent: int = 80, width: int = 5)
     Other columns are ignored; an empty table gives no rows.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    members, links = JaccardJoin(rows, percent, width).run()
+    members, classes = JaccardJoin(rows, percent, width).run()
     members = members.withColumn("point", F.coalesce("point", "doc_id"))
-    repeated = members.groupBy("doc_id").agg(F.min("point").alias("a"), F.max("point").alias("b"), F.count("*").alias("k")).filter("k > 1")
-    own = repeated.select("a", "b").union(repeated.select("doc_id", "b"))
-    found = components(links.union(own)).toDF("point", "component")
-    named = members.join(sent_if_small(found), "point", "left")
-    return named.select("doc_id", "n_shingles", F.coalesce("component", "point").alias("component_id"))
+    named = members.join(sent_if_small(classes, 1_000_000), "point", "left").withColumn("class", F.coalesce("class", "point"))
+    repeated = named.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count("*").alias("k")).filter("k > 1 AND a <> b")
+    repeated = stored(repeated.select("a", "b").union(repeated.select("doc_id", "a")), "repeated_ids")
+    if not repeated.isEmpty():
+        found = components(repeated).toDF("class", "whole")
+        named = named.join(sent_if_small(found), "class", "left").withColumn("class", F.coalesce("whole", "class"))
+    return named.select("doc_id", "n_shingles", F.col("class").alias("component_id"))

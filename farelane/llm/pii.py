@@ -3,7 +3,7 @@
 Candidates are found by pattern and validated (check digits, ranges, the calendar). The free positions of a
 valid value, a number in mixed radices, go through a keyed Feistel permutation of exactly that domain; fixed
 parts and punctuation stay and check digits are made anew. Values outside a valid range are permuted
-again until they are inside (cycle walking). So a pseudonym has the format of its value, equal values
+again until they are inside (cycle walking). Zero-padding of slashed and dotted dates may change. So a pseudonym has the format of its value, equal values
 of a kind get equal pseudonyms in all documents, different ones stay different, and ``reveal`` undoes it with the key.
 
 Kinds: payment cards (Luhn), IBANs (mod 97), US social security numbers, phone numbers, dates (by calendar day, so that one
