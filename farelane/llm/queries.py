@@ -35,6 +35,12 @@ def op3_simhash_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_lines(rows, percent=80)
 
 
+def op4_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farelane.llm.maskedlm import masked_scores
+
+    return masked_scores(read(spark, sf_dir, "documents"), passes=2)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from farelane.llm.jaccard import jaccard_components
 
@@ -55,6 +61,12 @@ def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", "n_replaced")
 
 
+def op8_boosted_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farelane.llm.extraction import main_texts
+
+    return main_texts(read(spark, sf_dir, "pages"), sample_pages=200)
+
+
 def op9_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from farelane.llm.decontaminate import report
 

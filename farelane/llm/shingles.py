@@ -39,15 +39,20 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _piece(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes of texts that lie one behind the other (the last byte of each is a blank), and each one's text."""
+def _words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of texts that lie one behind the other (the last byte of each is a blank), and each one's text."""
     space = _IS_SPACE[data]
     starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
     stops = np.flatnonzero(space & np.concatenate([[False], ~space[:-1]]))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * _power("up", _BASE, len(data)), out=sums[1:])
     word = _mixed((sums[stops] - sums[starts]) * _power("down", _BASE_INVERSE, len(data))[starts])
-    text = np.searchsorted(ends, starts, side="right")
+    return word, np.searchsorted(ends, starts, side="right")
+
+
+def _piece(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of such texts, and each one's text."""
+    word, text = _words(data, ends)
     count = np.bincount(text, minlength=len(ends))
     first = np.cumsum(count) - count
     # Shingles of `width` words where a text has that many, else one of all its words.
@@ -66,13 +71,8 @@ def _piece(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray,
     return value, text[head]
 
 
-def shingle_sets(column: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
-    """For each text the sorted distinct hashes of the ``width``-word shingles of the whole text.
-
-    A-Z count as a-z; words lie between ASCII white space. With fewer words the whole sequence is
-    one shingle; a text without words, or null, gives none. Different shingles have different
-    hashes but for a chance of about 2**-64 a pair.
-    """
+def _pieces(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Texts joined by blanks, as bytes with the ends of the texts."""
     texts = column.cast(pa.large_binary())
     sizes = [0 if s is None else s + 1 for s in pc.binary_length(texts).to_pylist()]
     at = 0
@@ -82,17 +82,31 @@ def shingle_sets(column: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
             total += sizes[to]
             to += 1
         raw = b"".join(b"" if t is None else t + b" " for t in texts.slice(at, to - at).to_pylist())
-        if raw:
-            value, text = _piece(np.frombuffer(raw, np.uint8), np.cumsum(sizes[at:to]), width)
-            bounds = np.searchsorted(text, np.arange(to - at + 1))
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                yield np.unique(value[a:b])
-        else:
-            for _ in range(to - at):
-                yield np.empty(0, np.uint64)
+        yield np.frombuffer(raw, np.uint8), np.cumsum(sizes[at:to])
         at = to
 
 
+def word_hashes(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For some texts at a time: the hashes of all their words in order, and where each text begins (with the end)."""
+    for data, ends in _pieces(column):
+        word, text = _words(data, ends) if len(data) else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        yield word, np.searchsorted(text, np.arange(len(ends) + 1))
+
+
+def shingle_sets(column: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of the ``width``-word shingles of the whole text.
+
+    A-Z count as a-z; words lie between ASCII white space. With fewer words the whole sequence is
+    one shingle; a text without words, or null, gives none. Different shingles have different
+    hashes but for a chance of about 2**-64 a pair.
+    """
+    for data, ends in _pieces(column):
+        value, text = _piece(data, ends, width) if len(data) else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        bounds = np.searchsorted(text, np.arange(len(ends) + 1))
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            yield np.unique(value[a:b])
+
+
 def least_hashes(shingles: np.ndarray, seeds: list[int]) -> list[int]:
     """One MinHash value per seed, as signed longs."""
     return [int(((shingles ^ np.uint64(s)) * np.uint64(0xC4CEB9FE1A85EC53)).min().astype(np.int64)) for s in seeds]
