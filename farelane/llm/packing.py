@@ -11,7 +11,6 @@ table gives no pieces. Documents on the same point of the curve are ordered by i
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -20,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.llm.common import sent_if_small, stored
+from farelane.llm.common import stored
 
 HASHED = 512  # cells of a document's hashed vector
 DIMENSIONS, BITS = 3, 16  # of the curve
-CACHED_CHUNKS = 400_000
+CACHED_WORDS = 600_000
 END_ID = 0
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 Batches = Iterator[pa.RecordBatch]
@@ -38,10 +37,11 @@ def default_vocabulary() -> str:
 
 
 class Encoder:
-    """Ids of texts as bytes of 16 or 32 bits each; chunks between blanks are encoded once and remembered.
+    """Ids of texts as bytes of 16 or 32 bits each; words are encoded once and remembered.
 
-    The vocabulary's rule splits a text before each blank or line break that stands alone between other
-    characters. Texts with any other white space, or with an added token's text, go to the tokenizer whole.
+    A byte-level vocabulary splits a text before each blank or line break that stands alone between other
+    characters. So a word after a blank, a word that begins a line, and a line break each have ids of their own. Texts with any
+    other white space, or with an added token's text, go to the tokenizer whole, as do all texts if the vocabulary is of another kind.
     """
 
     def __init__(self, path: str):
@@ -49,32 +49,60 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([r"\s\s", r"\A\s", r"\s\Z", r"[^\S \n]", "[\x1c-\x1f]", *added]))
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.blank_first = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.blank_first[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.line_break = self._ids("\n").tobytes()
+        self.after_blank: dict[str, bytes] = {}
+        self.line_first: dict[str, bytes] = {"": b""}
+        self.by_words = len(self._ids("\n")) == 1 and self._words(["b", "1", ".,"], " ") == [self._ids(t).tobytes() for t in (" b", " 1", " .,")]
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+
+    def _words(self, words: list[str], mark: str) -> list[bytes]:
+        """The ids of many words that each follow a blank, or that each begin a line."""
+        if mark == " ":
+            ids = self._ids(" " + " ".join(words))
+            begin = np.flatnonzero(self.blank_first[ids])
+            end = np.append(begin[1:], len(ids))
+        else:
+            ids = self._ids("\n".join(words))
+            breaks = np.flatnonzero(ids == np.frombuffer(self.line_break, self.kind)[0])
+            begin, end = np.append(0, breaks + 1), np.append(breaks, len(ids))
+        if len(begin) != len(words):
+            return [self._ids(mark.strip("\n") + w).tobytes() for w in words]
+        raw, size = ids.tobytes(), self.kind.itemsize
+        return [raw[a * size : b * size] for a, b in zip(begin.tolist(), end.tolist())]
+
+    def _learn(self, known: dict[str, bytes], words: set[str], mark: str) -> None:
+        if len(known) > CACHED_WORDS:  # the words at hand stay, so frequent ones do
+            kept = {w: known[w] for w in words if w in known}
+            known.clear()
+            known.update(kept)
+        new = list(words - known.keys())
+        for at in range(0, len(new), 4096):
+            known.update(zip(new[at : at + 4096], self._words(new[at : at + 4096], mark), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        chunks: list[list[str] | None] = []
+        lines: list[list[list[str]] | None] = []
+        after, first = set(), {""}
         for text in texts:
-            if self.odd.search(text):
-                chunks.append(None)
-                continue
-            words = text.replace("\n", " \n ").split(" ")
-            # A word after a blank keeps it; a line break and the word after it stand alone.
-            chunks.append([w if w == "\n" or before in ("\n", None) else " " + w for before, w in zip([None, *words], words)])
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
-        known = self.known
-        new = list({c for row in chunks if row for c in row if c not in known})
-        for at in range(0, len(new), 20_000):
-            known.update(zip(new[at : at + 20_000], self._encode(new[at : at + 20_000]), strict=True))
-        out = [b"" if row is None else b"".join(map(known.__getitem__, row)) for row in chunks]
-        for i, row in enumerate(chunks):
-            if row is None:
-                out[i] = self._encode([texts[i]])[0]
+            plain = self.by_words and " ".join(text.split()) == text.replace("\n", " ") and not any(t in text for t in self.added)
+            rows = [line.split(" ") for line in text.split("\n")] if plain else None
+            lines.append(rows)
+            for row in rows or ():
+                first.add(row[0])
+                after.update(row[1:])
+        self._learn(self.after_blank, after, " ")
+        self._learn(self.line_first, first, "\n")
+        blank, begin, out = self.after_blank.__getitem__, self.line_first, []
+        for text, rows in zip(texts, lines, strict=True):
+            if rows is None:
+                out.append(self._ids(text).tobytes())
+            else:
+                out.append(self.line_break.join([begin[row[0]] + b"".join(map(blank, row[1:])) for row in rows]))
         return out
 
 
@@ -193,4 +221,4 @@ def pack(documents: DataFrame, vocabulary: str | None = None, size: int = 1024)
     offsets = documents.sparkSession.createDataFrame(begins, "part int, base long")
     begin = local.join(F.broadcast(offsets), "part").select("uid", (F.col("base") + F.col("at")).alias("begin"))
     kind = _encoder(path).kind.str
-    return told.select("uid", "doc_id", "ids").join(sent_if_small(begin), "uid").mapInArrow(_cut(size, kind), PIECES)
+    return told.select("uid", "doc_id", "ids").join(begin, "uid").mapInArrow(_cut(size, kind), PIECES)
