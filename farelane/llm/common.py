@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +34,10 @@ BROADCAST_ROWS = 200_000
 def sent_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows, else as it is: the join then shuffles."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what is derived from texts stays small in memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

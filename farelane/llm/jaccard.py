@@ -11,7 +11,8 @@
 4. Only pairs of different classes matter for components. In each region the smallest document
    of every class meets that of the first class; links merge classes, and this is repeated while it finds links.
 5. Regions that still hold many classes are joined recursively: their documents alone get an exact rarity order and new
-   regions. What is left are pairs of different classes in small regions; all of them are verified.
+   regions. What is left are pairs of different classes that meet in at least ``SHARED`` regions (the prefixes are
+   that much longer, so linked documents do); all of them are verified.
 
 Nothing is capped: a region that stays large is verified pair by pair in step 5.
 """
@@ -26,11 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.llm.common import sent_if_small, stored
+from farelane.llm.common import sent_if_small, sliced, stored
 from farelane.llm.components import components
 from farelane.llm.shingles import least_hashes, shingle_sets
 
 SEEDS = [0x1B873593A5A5A5A5, 0x85EBCA6B5C5C5C5C, 0xC2B2AE3569696969, 0x27D4EB2F3C3C3C3C]
+SHARED = 4  # shingles that the prefixes of two linked documents share at least, if they have that many to share
+BROADCAST_TOKENS = 3_000_000  # longs that are sent whole to every executor
 SKETCH_BITS = 16  # cells of the document frequency sketch, which orders shingles by rarity
 REGION_POINTS = 64  # in a region with more points classes are merged by their first points before all pairs are made
 REGION_CLASSES = 32  # a region with more classes is split again
@@ -40,7 +43,7 @@ Batches = Iterator[pa.RecordBatch]
 def _signatures(width: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             sets = list(shingle_sets(batch.column("text"), width))
             ids = batch.column("doc_id").to_pylist()
             if any(len(s) for s in sets):
@@ -68,7 +71,7 @@ def _summed(group: pa.Table) -> pa.Table:
 
 def _sets(width: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [s.tobytes() for s in shingle_sets(batch.column("text"), width)]
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "shingles": pa.array(sets, pa.large_binary()).cast(pa.binary())})
 
@@ -77,18 +80,18 @@ def _sets(width: int) -> Callable[[Batches], Batches]:
 
 def _prefixes(width: int, percent: int, sketch: np.ndarray) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in sliced(batches):
             tokens = []
             for s in shingle_sets(batch.column("text"), width):
                 order = np.lexsort((s, sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
-                tokens.append(s[order[: len(s) - (percent * len(s) + 99) // 100 + 1]].view(np.int64))
+                tokens.append(s[order[: len(s) - (percent * len(s) + 99) // 100 + SHARED]].view(np.int64))
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "tokens": pa.array(tokens, pa.list_(pa.int64()))})
 
     return run
 
 
 def _measure(batches: Batches) -> Batches:
-    for batch in batches:
+    for batch in sliced(batches):
         shared, size, held = [], [], {}
         for x, y, b in zip(batch.column("x"), batch.column("y"), batch.column("b").to_pylist(), strict=True):
             left = np.frombuffer(x.as_buffer(), np.uint64)
@@ -139,49 +142,56 @@ class JaccardJoin:
         links, cells = self._elect(points)
         classes = _merged(points.select("point").distinct().select("point", F.col("point").alias("class")), links)
         regions = self._regions(points, classes, _prefixes(self.width, self.percent, sketch))
-        ends = regions.select(F.col("point").alias("doc_id"))
-        sets = self.sets_of(ends.union(cells.join(regions.select("point"), "point").select("pivot")))
+        sets = None
         while True:  # in regions with many points, the first of each class
             mixed = self._mixed(regions, classes)
             busy = stored(mixed.groupBy("token").agg(F.count("*").alias("k")).filter(F.col("k") > REGION_POINTS).select("token"), "busy")
             if busy.isEmpty():
                 break
-            heads = mixed.join(sent_if_small(busy), "token").groupBy("token", "class").agg(F.min(F.struct("point", "n")).alias("head"))
+            crowd = mixed.join(sent_if_small(busy), "token")
+            sets = sets or self.sets_of(crowd.select(F.col("point").alias("doc_id")))
+            heads = crowd.groupBy("token", "class").agg(F.min(F.struct("point", "n")).alias("head"))
             lead = heads.groupBy("token").agg(F.min(F.struct("class", "head")).alias("lead"))
             pairs = heads.join(lead, "token").filter(F.col("class") != F.col("lead.class")).select(
                 F.col("lead.head.point").alias("a"), F.col("lead.head.n").alias("na"), F.col("head.point").alias("b"), F.col("head.n").alias("nb")
             )
-            found = self.near(self.distances(self._sized(pairs), sets)).select("a", "b")
+            found = self.near(self.distances(self._ordered(pairs).select("a", "b").distinct(), sets)).select("a", "b")
             if found.isEmpty():
                 break
             classes = _merged(classes, found)
         large = stored(mixed.groupBy("token").agg(F.countDistinct("class").alias("k")).filter(F.col("k") > REGION_CLASSES), "large")
+        kept = mixed.join(sent_if_small(large.select("token")), "token", "left_anti")
+        pairs = self._sharing(kept)
         if not large.isEmpty():
-            mixed = self._split(mixed, large, classes)
-        left, right = mixed.alias("l"), mixed.alias("r")
-        cross = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.point") < F.col("r.point")) & (F.col("l.class") != F.col("r.class")))
-        pairs = self._sized(cross.select(F.col("l.point").alias("a"), F.col("l.n").alias("na"), F.col("r.point").alias("b"), F.col("r.n").alias("nb")))
-        return members, _merged(classes, self._verified_by_cells(pairs, cells, sets))
-
-    def _sized(self, pairs: DataFrame) -> DataFrame:
-        """Distinct ordered pairs whose sizes allow the similarity."""
+            pairs = pairs.union(self._sharing(self._split(mixed.join(sent_if_small(large.select("token")), "token"), classes))).distinct()
+        return members, _merged(classes, self._verified_by_cells(pairs, cells))
+
+    def _ordered(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with the smaller id first, whose sizes allow the similarity; ``most`` is the larger size."""
         fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        return pairs.filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return pairs.filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.greatest("na", "nb").alias("most"))
+
+    def _sharing(self, regions: DataFrame) -> DataFrame:
+        """Pairs of different classes that meet in as many regions as linked documents must."""
+        left, right = regions.alias("l"), regions.alias("r")
+        met = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.point") < F.col("r.point")) & (F.col("l.class") != F.col("r.class")))
+        pairs = self._ordered(met.select(F.col("l.point").alias("a"), F.col("l.n").alias("na"), F.col("r.point").alias("b"), F.col("r.n").alias("nb")))
+        needed = F.least(F.lit(SHARED), F.ceil(F.col("most") * self.percent / 100))
+        return pairs.groupBy("a", "b", "most").agg(F.count("*").alias("k")).filter(F.col("k") >= needed).select("a", "b").distinct()
 
     def _elect(self, points: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Links of points to pivots, and each linked point's cell: ``point, pivot, away`` (nearest pivot and distance)."""
         spread = points.select("point", "n", F.posexplode("least").alias("i", "value"))
         elected = spread.groupBy("i", "value").agg(F.min(F.struct("point", "n")).alias("p"), F.count("*").alias("k")).filter("k > 1")
         pairs = spread.join(elected, ["i", "value"]).filter(F.col("point") != F.col("p.point")).select(
-            F.col("point").alias("a"), F.col("n").alias("na"), F.col("p.point").alias("b"), F.col("p.n").alias("nb")
+            F.col("point").alias("b"), F.col("n").alias("nb"), F.col("p.point").alias("a"), F.col("p.n").alias("na")
         )
-        fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        pairs = stored(pairs.filter(fits).select("a", "b").distinct(), "elected")
+        pairs = stored(self._ordered(pairs).select("a", "b").distinct(), "elected")
         sets = self.sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
         measured = self.distances(pairs, sets)
         near = self.near(measured)
         away = 1 - F.col("shared") / F.col("united")
-        cells = near.groupBy(F.col("a").alias("point")).agg(F.min(F.struct(away.alias("away"), F.col("b").alias("pivot"))).alias("c"))
+        cells = near.groupBy(F.col("b").alias("point")).agg(F.min(F.struct(away.alias("away"), F.col("a").alias("pivot"))).alias("c"))
         return near.select("a", "b"), cells.select("point", "c.pivot", "c.away")
 
     def _regions(self, points: DataFrame, classes: DataFrame, prefixes: Callable[[Batches], Batches]) -> DataFrame:
@@ -190,7 +200,7 @@ class JaccardJoin:
         told = tokens.join(sent_if_small(points.select("point", "n").join(classes, "point").withColumnRenamed("point", "doc_id"), 1_000_000), "doc_id")
         own = told.select(F.col("doc_id").alias("point"), "n", "class", F.explode("tokens").alias("token"))
         several = own.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("token")
-        return stored(own.join(sent_if_small(stored(several, "shared"), 1_000_000), "token").select("token", "point", "n"), "regions")
+        return stored(own.join(sent_if_small(stored(several, "shared"), BROADCAST_TOKENS), "token").select("token", "point", "n"), "regions")
 
     def _mixed(self, regions: DataFrame, classes: DataFrame) -> DataFrame:
         """Regions with points of several classes: ``token, point, n, class``."""
@@ -198,22 +208,21 @@ class JaccardJoin:
         several = told.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("token")
         return stored(told.join(several, "token").select("token", "point", "n", "class"), "mixed")
 
-    def _split(self, mixed: DataFrame, large: DataFrame, classes: DataFrame) -> DataFrame:
-        """Regions anew for the points of large regions, with exact rarity among those points."""
-        kept = mixed.join(sent_if_small(large.select("token")), "token", "left_anti")
-        points = stored(mixed.join(sent_if_small(large.select("token")), "token").select("point", "n").distinct(), "split_points")
+    def _split(self, crowded: DataFrame, classes: DataFrame) -> DataFrame:
+        """Regions for the points of large regions, with exact rarity among those points."""
+        points = stored(crowded.select("point", "n").distinct(), "split_points")
         texts = self.texts.join(sent_if_small(points.select(F.col("point").alias("doc_id"))), "doc_id", "left_semi")
         sets = stored(texts.mapInArrow(_all_tokens(self.width), "doc_id long, tokens array<long>"), "split_sets")
         spread = sets.select(F.col("doc_id").alias("point"), F.explode("tokens").alias("token"))
         count = spread.groupBy("token").agg(F.count("*").alias("k"))
         ordered = spread.join(count, "token").groupBy("point").agg(F.array_sort(F.collect_list(F.struct("k", "token"))).alias("t"))
         n = F.size("t")
-        window = n - F.ceil(n * F.lit(self.percent) / 100).cast("int") + 1
+        window = n - F.ceil(n * F.lit(self.percent) / 100).cast("int") + SHARED
         own = ordered.select("point", F.explode(F.slice("t", F.lit(1), window)).alias("t")).filter("t.k > 1")
         again = own.select(F.col("t.token").alias("token"), "point").join(points, "point").join(classes, "point")
-        return stored(kept.unionByName(again.select("token", "point", "n", "class")), "split")
+        return stored(again.select("token", "point", "n", "class"), "split")
 
-    def _verified_by_cells(self, pairs: DataFrame, cells: DataFrame, sets: DataFrame) -> DataFrame:
+    def _verified_by_cells(self, pairs: DataFrame, cells: DataFrame) -> DataFrame:
         """Links among the pairs: their cells' pivots are measured first, the triangle inequality drops the rest."""
         home = lambda end, name: cells.select(
             F.col("point").alias(end), F.col("pivot").alias(f"{name}_pivot"), F.col("away").alias(f"{name}_away")
@@ -223,6 +232,7 @@ class JaccardJoin:
             (F.coalesce("a_away", F.lit(0.0)) + F.coalesce("b_away", F.lit(0.0))).alias("away"),
         ).withColumns({"p": F.least("p", "q"), "q": F.greatest("p", "q")})
         placed = stored(placed, "placed")
+        sets = self.sets_of(placed.select(F.explode(F.array("a", "b", "p", "q")).alias("doc_id")))
         ends = placed.filter("p <> q").select(F.col("p").alias("a"), F.col("q").alias("b")).distinct()
         measured = self.distances(ends, sets)
         apart = measured.select(F.col("a").alias("p"), F.col("b").alias("q"), (1 - F.col("shared") / F.col("united")).alias("d"))
@@ -236,7 +246,7 @@ class JaccardJoin:
 
 def _all_tokens(width: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [s.view(np.int64) for s in shingle_sets(batch.column("text"), width)]
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "tokens": pa.array(sets, pa.list_(pa.int64()))})
 
