@@ -111,7 +111,7 @@ def hits(documents: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFra
         F.collect_list(F.struct("diagonal", "item_words", "m", "ids")).alias("c")
     )
     checked = (
-        documents.join(found, "doc_id", "left")
+        documents.join(found.withColumnRenamed("doc_id", "found_id"), F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
         .withColumn("w", F.when(F.col("c").isNull(), words(F.col("text"))).otherwise(words(ascii_lower(F.col("text")))))
         .withColumn("hit", F.filter(_runs("w"), lambda h: F.size(h["found"]) > 0))
     )
