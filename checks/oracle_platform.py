@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.oracle_reports import payment, txn_revenue, with_roles
+from checks.oracle_reports import payment, summary_by_stage, txn_revenue, with_roles, summary_by_stage
 
 DAYS = "days AS (SELECT DISTINCT local_day AS d FROM txn_all)"
 QUARTER = "'Q' || quarter(d) || ' ' || strftime(d, '%Y')"
@@ -111,7 +111,7 @@ def key_remap(kind: str) -> str:
 
 
 def platform_sql() -> dict[str, str]:
-    """SQL per platform query; ``run_batch_status`` has none, it reports runs."""
+    """SQL per platform query."""
     grades = ", ".join(f"coalesce(g{i}.id, -1) AS grade_{i}_id" for i in range(1, 8))
     grade_joins = " ".join(
         f"LEFT JOIN nations g{i} ON g{i}.code = CAST((o_orderkey * {i} + o_custkey) % 29 AS VARCHAR)" for i in range(1, 8)
@@ -176,12 +176,6 @@ def platform_sql() -> dict[str, str]:
         "mart_guard": with_roles("txn", f""", {MART}
             SELECT 'mart_rows' AS result, true AS to_mart, COUNT(*) AS n FROM mart
             UNION ALL SELECT 'payment_channel', false, COUNT(*) FROM (SELECT DISTINCT local_day, checkout_channel FROM txn)"""),
-        "replace_period": f"""
-            WITH target AS (SELECT year_id, route, vehicle_transaction_type, revenue_group, transaction_count, gross_revenue
-                            FROM ({txn_revenue('year', 'route')}))
-            SELECT * FROM target WHERE year_id <> '1997'
-            UNION ALL SELECT * REPLACE (CAST(0 AS BIGINT) AS transaction_count) FROM target
-            WHERE year_id = '1997' AND vehicle_transaction_type = 'ETC'""",
         "retention_expired": with_roles("txn_all", f", {MART} SELECT DISTINCT year, month, day FROM mart WHERE year || month || day <= '19990131'"),
         "full_refresh_counts": """SELECT COUNT(*) FILTER (o_orderstatus <> 'P') AS deleted, COUNT(*) AS inserted, COUNT(*) AS rows_after FROM orders""",
         "source_target_counts": """
@@ -281,6 +275,9 @@ def platform_sql() -> dict[str, str]:
         "log_search_page": f"""WITH {RUN_LOG}, hits AS (SELECT * FROM run_log WHERE lower(coalesce(table_name, '')) LIKE '%click%')
             SELECT *, (SELECT COUNT(*) FROM hits) AS total, CAST(greatest(ceil((SELECT COUNT(*) FROM hits) / 50.0), 1) AS BIGINT) AS total_pages
             FROM hits ORDER BY id DESC LIMIT 50 OFFSET 50""",
+        "log_search_deep_page": f"""WITH {RUN_LOG}
+            SELECT *, (SELECT COUNT(*) FROM run_log) AS total, CAST(ceil((SELECT COUNT(*) FROM run_log) / 40.0) AS BIGINT) AS total_pages
+            FROM run_log ORDER BY id DESC LIMIT 40 OFFSET 440""",
         "log_purge_date": f"WITH {RUN_LOG} SELECT * FROM run_log WHERE CAST(created_at AS DATE) <> DATE '2024-01-15'",
         "validate_job_rows": f"WITH {IMPORTED} SELECT * REPLACE (CAST(is_active AS VARCHAR) AS is_active), errors = '' AS valid FROM checked",
         "assign_ids": f"""WITH {IMPORTED}
@@ -298,6 +295,25 @@ def platform_sql() -> dict[str, str]:
             FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_orderkey, l_linenumber) AS rn
                   FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, COUNT(*) AS copies FROM lineitem GROUP BY ALL)) WHERE rn = 1""",
     }
+    channels, stages = payment("checkout_channel AS payment_channel", level="month"), summary_by_stage()
+    out["run_batch_status"] = f"""
+        WITH months AS (SELECT 'month 1995-01-01..2001-12-31' AS period, 'day 2030-01-01..2030-01-01' AS empty_day)
+        SELECT 'payment_channel' AS job_name, period, 'success' AS status, (SELECT COUNT(*) FROM ({channels})) AS rows_inserted, 'csv' AS published FROM months
+        UNION ALL SELECT 'transaction_summary', period, 'success', (SELECT COUNT(*) FROM (
+            SELECT DISTINCT substr(date, 1, 7), vehicle_type, fare_category, route, entry_plaza, exit_plaza FROM ({stages}))), '' FROM months
+        UNION ALL SELECT 'broken', period, 'error', 0, '' FROM months
+        UNION ALL SELECT 'broken', empty_day, 'error', 0, '' FROM months
+        UNION ALL SELECT unnest(['payment_channel', 'transaction_summary']), empty_day, 'empty', 0, '' FROM months"""
+    for suffix, (level, column, own) in {
+        "": ("year", "year_id", "1997"), "_quarter": ("quarter", "quarter_id", "1997-Q2"), "_month": ("month", "month_id", "1997-06"),
+        "_day_date": ("day", "date", "1997-06-30"), "_day_datetime": ("day", "datetime_id", "1997063000"), "_time": ("day", "datetime_id", "1997063000"),
+    }.items():
+        out[f"replace_period{suffix}"] = f"""
+            WITH target AS (SELECT {column}, route, vehicle_transaction_type, revenue_group, transaction_count, gross_revenue
+                            FROM ({txn_revenue(level, 'route')}))
+            SELECT * FROM target WHERE {column} <> '{own}'
+            UNION ALL SELECT * REPLACE (CAST(0 AS BIGINT) AS transaction_count) FROM target
+            WHERE {column} = '{own}' AND vehicle_transaction_type = 'ETC'"""
     for level in LEVEL:
         out[f"utc_ranges_{level}"] = utc_ranges(level)
     return out

@@ -88,7 +88,7 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
                {TICKET4}[CAST(p_size % 4 + 1 AS INTEGER)] AS price_type, CAST(p_size % 3 AS VARCHAR) AS price_ticket_type,
                CAST(p_retailprice AS DECIMAL(18,2)) AS price_amount
         FROM part"""),
-    "plaza_price": (("price",), "SELECT * FROM price WHERE price_id < 125"),
+    "tariff": (("price",), "SELECT * FROM price QUALIFY row_number() OVER (PARTITION BY toll_id, vehicle_type ORDER BY price_id) = 1"),
     "vehicle_class": ((), "SELECT * FROM (VALUES ('1', 'Class 1'), ('2', 'Class 2'), ('3', 'Class 3'), ('4', 'Class 4'), ('5', 'Class 5')) t(code, name)"),
     "ticket_class": ((), "SELECT * FROM (VALUES ('0', 'Normal'), ('1', 'Reduced'), ('2', 'Priority')) t(code, name)"),
     "share": ((), f"""
@@ -176,12 +176,12 @@ def summary_by_stage() -> str:
 
 
 def summary_by_price() -> str:
-    return with_roles("txn plaza_price", f"""
+    return with_roles("txn price", f"""
         SELECT date, vehicle_type, fare_category, {pivot()}, route, entry_plaza, exit_plaza, 'ETC' AS toll_channel
         FROM (SELECT t.checkout_datetime AS date, t.vehicle_type, p.price_ticket_type AS fare_category, p.price_type,
                      t.cycle_name AS route, t.checkin_toll_id AS entry_plaza, t.checkout_toll_id AS exit_plaza,
                      COUNT(*) AS quantity, SUM(t.total_amount) AS amount
-              FROM txn t JOIN plaza_price p ON t.checkout_toll_id = p.toll_id AND t.vehicle_type = p.vehicle_type
+              FROM txn t JOIN price p ON t.checkout_toll_id = p.toll_id AND t.vehicle_type = p.vehicle_type
               GROUP BY ALL)
         GROUP BY date, vehicle_type, fare_category, route, entry_plaza, exit_plaza""")
 
@@ -335,7 +335,7 @@ def _texts(*names: str) -> str:
     return nulls(*names, kind="VARCHAR")
 
 
-PRICED = "txn t JOIN plaza_price p ON t.checkout_toll_id = p.toll_id AND t.vehicle_type = p.vehicle_type"
+PRICED = "txn t JOIN tariff p ON t.checkout_toll_id = p.toll_id AND t.vehicle_type = p.vehicle_type"
 OPEN_MEASURES = (
     "bot_price_increase", "bot_amount_increase", "interoperable_price_increase", "interoperable_amount_increase",
     "increase_adjustment", "bot_amount_decrease", "interoperable_amount_decrease", "decrease",
@@ -434,7 +434,7 @@ def report_sql() -> dict[str, str]:
                        'transaction_type_id', 'transaction_type_name', 'rfid', 'status', 'status_name', 'deduction_count',
                        'boo_name', 'requester', 'request_date', 'processor')}
         FROM txn""")
-    out["error_statistics"] = with_roles("txn plaza_price", f"""
+    out["error_statistics"] = with_roles("txn tariff", f"""
         SELECT DISTINCT checkout_datetime AS date, checkin_toll_id AS entry_toll_id, checkout_toll_id AS exit_toll_id,
                charge_status AS transaction_type_id, account_number AS account_code,
                {_texts('transaction_error', 'service_id', 'code', 'transaction_type', 'transaction_type_name',
@@ -456,13 +456,13 @@ def report_sql() -> dict[str, str]:
     boos = ", ".join(
         total(f"CASE WHEN boo = {b} THEN total_amount ELSE 0 END", f"boo{i}_revenue") for i, b in enumerate((1, 2, 3), start=1)
     )
-    out["card_report"] = with_roles("txn plaza_price", f"""
+    out["card_report"] = with_roles("txn tariff", f"""
         SELECT *, round(CAST(total_revenue AS DOUBLE) / CAST(SUM(total_revenue) OVER (PARTITION BY date) AS DOUBLE), 6) AS card_revenue_rate
         FROM (SELECT {labelled('day')}, p.price_ticket_type AS card_type, COUNT(*) AS total_transactions, {boos},
                      {total('total_amount', 'total_revenue')} FROM {PRICED} GROUP BY ALL)""")
     out["payment_channel"] = payment("checkout_channel AS payment_channel")
     out["payment_provider"] = payment("n_name AS payment_provider", "JOIN nation ON n_nationkey = boo")
-    out["station_activity"] = with_roles("txn plaza_price", f"""
+    out["station_activity"] = with_roles("txn tariff", f"""
         SELECT {labelled('day')}, checkout_toll_id AS station_id, price_ticket_type AS ticket_type_id, checkout_channel AS toll_channel_id,
                COUNT(*) AS total_transactions, COUNT(*) FILTER (charge_status = 'ROLL') AS abnormal_transactions,
                COUNT(*) FILTER (charge_status = 'FAILED') AS error_transactions,
@@ -479,14 +479,14 @@ def report_sql() -> dict[str, str]:
                checkin_lane_name AS entry_lane_id, checkout_lane_name AS exit_lane_id, charge_status AS transaction_type_id,
                charge_in_status AS transaction_type_name, boo AS boo_id, COUNT(*) AS total_transactions, {total('total_amount', 'total')}
         FROM txn GROUP BY ALL""")
-    out["transaction_detail"] = with_roles("txn plaza_price", f"""
+    out["transaction_detail"] = with_roles("txn tariff", f"""
         SELECT checkout_datetime AS date, fe_trans_id AS transaction_code, checkout_channel AS transaction_type,
                charge_status AS transaction_status, checkin_datetime AS entry_time, checkin_toll_name AS entry_station,
                checkout_datetime AS exit_time, checkout_toll_name AS exit_station, etag_number, t.vehicle_type, plate AS license_plate,
                account_number, boo, price_ticket_type AS ticket_type, {money('price_amount', 'standard_fee')},
                {money('total_amount', 'actual_fee')}, {money('total_amount - price_amount', 'adjustment_amount')}
         FROM {PRICED}""")
-    out["transactions_by_station"] = with_roles("txn plaza_price", f"""
+    out["transactions_by_station"] = with_roles("txn tariff", f"""
         SELECT checkout_datetime AS date, cycle_id AS station_id, checkin_toll_id AS toll_in_id, checkout_toll_id AS toll_out_id,
                boo AS bot_id, price_ticket_type AS ticket_type_id, fe_trans_id AS transaction_code, checkin_datetime AS toll_in_date,
                checkout_datetime AS toll_out_date, plate AS plate_number, etag_number AS etag, t.vehicle_type,

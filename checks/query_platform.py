@@ -210,11 +210,11 @@ def csv_roundtrip(spark, sf_dir):
 
 
 def csv_single_part(spark, sf_dir):
-    """A small result as one named file; a note of the files and the rows read back."""
+    """A result as named, numbered parts, read back."""
     held, path = star(spark, sf_dir), scratch_path(spark, "channel-csv")
     result = statistics.payment_channel(held, whole("month"))
-    files = load.write_single_csv(result, path, "data.csv", result.count())
-    return load.read_csv(spark, f"{path}/{files[0]}" if len(files) == 1 else path, result.schema)
+    files = load.write_named_csv(result, path, "data.csv")
+    return load.read_csv(spark, [f"{path}/{name}" for name in files] or path, result.schema)
 
 
 def _mart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,13 +250,26 @@ def mart_guard(spark, sf_dir):
     return frames[0].unionAll(frames[1])
 
 
-def replace_period(spark, sf_dir):
-    """Yearly lane revenue with the rows of one year replaced."""
-    target = revenue.transaction_revenue(star(spark, sf_dir), whole("year"), "route").select(
-        "year_id", "route", "vehicle_transaction_type", "revenue_group", "transaction_count", "gross_revenue"
-    )
-    new = target.filter("year_id = '1997' AND vehicle_transaction_type = 'ETC'").withColumn("transaction_count", F.lit(0).cast("bigint"))
-    return load.replace_period(target, new, "year_id", "year", "1997-06-30")
+# Query suffix: level, label column, condition and the label of 1997-06-30.
+REPLACED = {
+    "": ("year", "year_id", "year", "1997"), "_quarter": ("quarter", "quarter_id", "quarter", "1997-Q2"),
+    "_month": ("month", "month_id", "month", "1997-06"), "_day_date": ("day", "date", "day", "1997-06-30"),
+    "_day_datetime": ("day", "datetime_id", "day", "1997063000"), "_time": ("day", "datetime_id", "time", "1997063000"),
+}
+
+
+def replace_period(level, column, condition, own):
+    """Route revenue with the rows of one period replaced by the channel rows alone, their counts set to 0."""
+
+    def query(spark, sf_dir):
+        target = revenue.transaction_revenue(star(spark, sf_dir), whole(level), "route").select(
+            column, "route", "vehicle_transaction_type", "revenue_group", "transaction_count", "gross_revenue"
+        )
+        new = target.filter((F.col(column) == own) & (F.col("vehicle_transaction_type") == "ETC"))
+        new = new.withColumn("transaction_count", F.lit(0).cast("bigint"))
+        return load.replace_period(target, new, column, condition, "1997-06-30")
+
+    return query
 
 
 def retention_expired(spark, sf_dir):
@@ -309,7 +322,8 @@ def run_batch_status(spark, sf_dir):
         Job("broken", lambda s, span: s.fact("txn", span).select("no_such_column")),
         Job("transaction_summary", summary.transaction_summary_by_stage, mart_path=scratch_path(spark, "batch-mart")),
     ]
-    return run_batch(held, [whole("month"), calendar.Span.containing("day", "2030-01-01")], jobs)
+    # The texts of errors are Spark's own.
+    return run_batch(held, [whole("month"), calendar.Span.containing("day", "2030-01-01")], jobs).drop("message")
 
 
 # migration ---------------------------------------------------------------
@@ -602,7 +616,7 @@ def platform_queries() -> dict[str, Query]:
         "period_attributes": period_attributes, "partition_hour_filter": partition_hour_filter,
         "level_dispatch": level_dispatch, "period_labels": period_labels,
         "csv_roundtrip": csv_roundtrip, "csv_single_part": csv_single_part, "normalize_partitions": normalize_partitions,
-        "mart_overwrite": mart_overwrite, "mart_guard": mart_guard, "replace_period": replace_period,
+        "mart_overwrite": mart_overwrite, "mart_guard": mart_guard, **{f"replace_period{suffix}": replace_period(*how) for suffix, how in REPLACED.items()},
         "retention_expired": retention_expired, "full_refresh_counts": full_refresh_counts,
         "source_target_counts": source_target_counts, "clear_order": clear_order, "run_batch_status": run_batch_status,
         "key_remap_inner": key_remap("inner"), "key_remap_left": key_remap("left"),
@@ -620,6 +634,7 @@ def platform_queries() -> dict[str, Query]:
         "job_history": lambda spark, sf: runlog.job_history(history(spark, sf), 7),
         "all_history": lambda spark, sf: runlog.newest_first(history(spark, sf)),
         "log_search_page": lambda spark, sf: runlog.search_page(run_log(spark, sf), "CLICK", page=2, page_size=50),
+        "log_search_deep_page": lambda spark, sf: runlog.search_page(run_log(spark, sf), "", page=12, page_size=40),
         "log_purge_date": lambda spark, sf: runlog.purge_day(run_log(spark, sf), "2024-01-15"),
         "validate_job_rows": lambda spark, sf: runlog.validate_jobs(imported(spark, sf)).drop("description").withColumn("is_active", F.col("is_active").cast("string")),
         "assign_ids": assign_ids, "job_preview": job_preview,

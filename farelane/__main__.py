@@ -37,7 +37,7 @@ def run(spark: SparkSession, argv: list[str]) -> DataFrame:
     if not names:
         raise ValueError(f"no active job of type {args.job_type}")
     jobs = [
-        Job(name, report(name), f"{args.output}/csv/{name}/{span.first:%Y%m%d}", f"{args.output}/mart/{name}") for name in names
+        Job(name, report(name), f"{args.output}/csv/{level}/{name}", f"{args.output}/mart/{name}") for name in names
     ]
     return run_batch(Star(spark, args.schema), [span], jobs, log_to(spark, f"{args.output}/run_log"))
 

@@ -14,43 +14,46 @@ from pyspark.sql import functions as F
 from farelane.functions.calendar import parse_day
 
 MART_PARTITIONS = ("year", "month", "day")
-SINGLE_FILE_ROWS = 1_000_000
 
 
-def write_csv(df: DataFrame, path: str, delimiter: str = ",") -> None:
-    """Headerless UTF-8 CSV; NULL and empty text are both written as nothing."""
-    (
-        df.write.mode("overwrite").option("header", "false").option("sep", delimiter).option("encoding", "UTF-8")
-        .option("emptyValue", "").option("nullValue", "").csv(path)
-    )
+def write_csv(df: DataFrame, path: str, delimiter: str = ",", by: tuple[str, ...] = ()) -> None:
+    """Headerless UTF-8 CSV; NULL and empty text are both written as nothing.
+
+    ``by`` names columns (a period's labels) with a folder for each of their values; only the folders of
+    the result's values are replaced, so a single day can be published again without the rest of its back-fill.
+    """
+    with _setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic" if by else "static"):
+        (
+            df.write.mode("overwrite").option("header", "false").option("sep", delimiter).option("encoding", "UTF-8")
+            .option("emptyValue", "").option("nullValue", "").partitionBy(*by).csv(path)
+        )
 
 
 def read_csv(spark: SparkSession, path: str, schema, delimiter: str = ",") -> DataFrame:
     """Read such a CSV back with its schema; nothing becomes NULL."""
     return (
         spark.read.schema(schema).option("header", "false").option("sep", delimiter).option("encoding", "UTF-8")
-        .option("emptyValue", "").option("nullValue", "").option("mode", "FAILFAST").csv(path)
+        .option("emptyValue", "").option("nullValue", "").option("mode", "FAILFAST").option("multiLine", "true").csv(path)
     )
 
 
-def write_single_csv(df: DataFrame, path: str, file_name: str, rows: int, delimiter: str = ",") -> list[str]:
-    """One named CSV file when the result is small, several numbered parts when not.
+def write_named_csv(df: DataFrame, path: str, file_name: str, delimiter: str = ",", single_file: bool = False) -> list[str]:
+    """CSV parts with the given name and a number, whatever the size; returns the names in order.
 
-    ``rows`` is the row count of the result. Above ``SINGLE_FILE_ROWS`` one task would
-    have to write everything, so the parts stay separate, in name order.
+    A caller that knows its result to be small may ask for ``single_file``: one task then writes all of it
+    under the plain name.
     """
-    small = rows <= SINGLE_FILE_ROWS
-    write_csv(df.coalesce(1) if small else df, path, delimiter)
+    write_csv(df.coalesce(1) if single_file else df, path, delimiter)
     jvm = df.sparkSession._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
     parts = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-"))
-    if not small:
-        return parts
-    target = jvm.org.apache.hadoop.fs.Path(folder, file_name)
-    for part in parts:
-        fs.rename(jvm.org.apache.hadoop.fs.Path(folder, part), target)
-    return [file_name] if parts else []
+    stem, dot, end = file_name.rpartition(".")
+    names = [file_name] if single_file else [f"{stem or end}-{i:05d}{dot}{end if stem else ''}" for i in range(len(parts))]
+    for part, name in zip(parts, names):
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(folder, part), jvm.org.apache.hadoop.fs.Path(folder, name)):
+            raise OSError(f"{part} could not be named {name}")
+    return names[: len(parts)]
 
 
 def normalize_partitions(df: DataFrame) -> DataFrame:
@@ -128,18 +131,19 @@ def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 def period_condition(column: str, condition: str, day: str | date) -> Column:
     """Predicate on a target's period key: ``day``, ``month``, ``year``, ``quarter`` or ``time`` range."""
     d = parse_day(day)
-    # The key formats of each condition.
+    quarter = (d.month - 1) // 3 + 1
+    # The notations of each period, the reports' labels among them.
     keys = {
-        "day": f"{d:%Y%m%d}00",
-        "month": f"{d:%Y%m}",
-        "year": f"{d:%Y}",
-        "quarter": f"{d.year}Q{(d.month - 1) // 3 + 1}",
+        "day": [f"{d:%Y%m%d}00", f"{d:%Y-%m-%d}", f"{d:%Y%m%d}"],
+        "month": [f"{d:%Y-%m}", f"{d:%Y%m}"],
+        "year": [f"{d:%Y}"],
+        "quarter": [f"{d.year}-Q{quarter}", f"{d.year}Q{quarter}"],
     }
     if condition == "time":
         return F.col(column).between(f"{d:%Y%m%d}00", f"{d:%Y%m%d}23")
     if condition not in keys:
         raise ValueError("condition must be day, month, year, time or quarter")
-    return F.col(column) == keys[condition]
+    return F.col(column).cast("string").isin(keys[condition])
 
 
 def replace_period(target: DataFrame, new: DataFrame, column: str, condition: str | None, day: str | date) -> DataFrame:
@@ -186,12 +190,38 @@ def full_refresh(source: DataFrame, path: str) -> dict[str, int]:
     deleted = spark.read.parquet(path).count() if exists else 0
     seen = Observation()
     source.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged.toString())
-    if exists:
-        fs.rename(target, old)
-    fs.rename(staged, target)
+    _swap_in(fs, staged, target, old)
+    return {"deleted": deleted, "inserted": seen.get["rows"]}
+
+
+def _swap_in(fs, staged, target, old) -> None:
+    """Put a complete folder in the place of the target; a failed step restores the old one."""
+    exists = fs.exists(target)
+    if exists and not fs.rename(target, old):
+        fs.delete(staged, True)
+        raise OSError(f"{target} could not be set aside; it is unchanged")
+    if not fs.rename(staged, target):
+        if exists:
+            fs.rename(old, target)
+        raise OSError(f"the new rows could not be moved to {target}; the old ones were put back")
     if exists:
         fs.delete(old, True)
-    return {"deleted": deleted, "inserted": seen.get["rows"]}
+
+
+def publish_csv(df: DataFrame, path: str) -> int:
+    """Write a CSV beside the target and swap it in; returns its rows. An empty result leaves the target as it is."""
+    spark = df.sparkSession
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    target, staged, old = make(path), make(f"{path}__new-{uuid4().hex}"), make(f"{path}__old-{uuid4().hex}")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    seen = Observation()
+    write_csv(df.observe(seen, F.count(F.lit(1)).alias("rows")), staged.toString())
+    rows = seen.get["rows"]
+    if rows:
+        _swap_in(fs, staged, target, old)
+    else:
+        fs.delete(staged, True)
+    return rows
 
 
 def source_target_counts(source: DataFrame, target: DataFrame, name: str) -> DataFrame:

@@ -3,7 +3,7 @@ of one key or of the whole table through a single task."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.session import checkpointed
@@ -35,14 +35,9 @@ def numbered(rows: DataFrame, order: list[Column], out: str, start: Column | int
         "_nth": F.col("_spot").bitwiseAND(F.lit((1 << local_bits) - 1)),
     })
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    ordered = F.array_sort(F.collect_list(F.struct("_part", "_n")))
-    # One row per partition of the frame above: the list is as short as the partition count.
-    offsets = sizes.agg(ordered.alias("_sizes")).select(
-        F.posexplode("_sizes").alias("_i", "_size"), "_sizes"
-    ).select(
-        F.col("_size._part").alias("_part"),
-        F.aggregate(F.slice("_sizes", F.lit(1), F.col("_i")), F.lit(0).cast("bigint"), lambda acc, s: acc + s["_n"]).alias("_offset"),
-    )
+    # One row per partition of the frame above, so one running sum over all of them stays short.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     first = start if isinstance(start, Column) else F.lit(start)
     return (
         placed.join(offsets, "_part")

@@ -13,7 +13,6 @@ from farelane.operators.numbering import best_per_key, numbered
 MESSAGE_LIMIT = 8000
 PREVIEW_LIMIT = 180
 MAX_PAGE_SIZE = 200
-DEEP_PAGE_ROWS = 100_000
 
 # Accepted job types and true texts of an imported registry row.
 JOB_TYPES = ("1", "2", "3", "4", "5")
@@ -22,7 +21,8 @@ REQUIRED_COLUMNS = ("job_type", "schema_name", "table_name")
 
 LOG_SCHEMA = (
     "job_name string, job_type string, table_name string, operation_type string, error_level string, "
-    "message string, error_traceback string, rows_inserted bigint, execution_time_ms bigint, created_at timestamp_ntz"
+    "message string, error_code string, error_traceback string, sql_path string, year string, month string, day string, "
+    "delete_column string, delete_condition string, created_by string, rows_inserted bigint, execution_time_ms bigint, created_at timestamp_ntz"
 )
 
 
@@ -80,9 +80,8 @@ def job_history(history: DataFrame, stmt_id: int) -> DataFrame:
 def search_page(log: DataFrame, table_name: str, page: int = 1, page_size: int = 50) -> DataFrame:
     """One page of the log by descending id, with the total and the page count.
 
-    The name filter is a case-insensitive substring; a NULL name counts as empty. Near
-    pages are a top-k. A deep page would make each task keep every row above it, so the
-    rows are numbered in parallel instead and the page is cut by number.
+    The name filter is a case-insensitive substring; a NULL name counts as empty. All pages
+    are cut the same way: the hits are numbered in parallel and the page is taken by number. Rows that share an id come in the order of their remaining columns.
     """
     page, size = max(1, page), max(1, min(page_size, MAX_PAGE_SIZE))
     hits = log
@@ -90,11 +89,8 @@ def search_page(log: DataFrame, table_name: str, page: int = 1, page_size: int =
         hits = log.filter(F.lower(F.coalesce("table_name", F.lit(""))).contains(table_name.strip().lower()))
     total = hits.agg(F.count("*").alias("n")).scalar()
     skip = (page - 1) * size
-    if skip + size <= DEEP_PAGE_ROWS:
-        rows = hits.orderBy(F.col("id").desc()).offset(skip).limit(size)
-    else:
-        rows = numbered(hits, [F.col("id").desc()], "_n").filter(F.col("_n").between(skip + 1, skip + size)).drop("_n")
-        rows = rows.orderBy(F.col("id").desc())
+    order = [F.col("id").desc(), *[F.col(c) for c in hits.columns if c != "id"]]
+    rows = numbered(hits, order, "_n").filter(F.col("_n").between(skip + 1, skip + size)).drop("_n").orderBy(*order)
     return rows.withColumns({
         "total": total,
         "total_pages": F.greatest(F.ceil(total / F.lit(size)), F.lit(1)).cast("bigint"),

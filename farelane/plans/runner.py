@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import logging
 import time
+import traceback
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from farelane.functions.calendar import Span
 from farelane.operators import load
@@ -27,22 +30,48 @@ class Job:
     mart_path: str | None = None
 
 
+PERIOD_LABELS = {"day": "date", "week": "week_id", "month": "month_id", "quarter": "quarter_id", "year": "year_id"}
 STATUS_SCHEMA = "job_name string, period string, status string, rows_inserted bigint, published string, message string"
 
 
 def run_job(star: Star, span: Span, job: Job) -> tuple:
     """Compute a report once, publish it, return its status row.
 
-    The result is persisted for the emptiness probe and the writes, and released after.
+    A result with two targets is persisted between the writes and released after; with one target it
+    goes straight there and is counted on the way.
     """
-    result = job.report(star, span).persist(StorageLevel.MEMORY_AND_DISK)
     period = f"{span.level} {span.first}..{span.last}"
+    result = job.report(star, span)
+    to_mart = bool(job.mart_path) and not load.missing_partitions(result)
+    # A folder for each period's label, so that one period can be published again without the others of its back-fill.
+    label = PERIOD_LABELS[span.level]
+    csv_path = job.csv_path and (job.csv_path if label in result.columns else f"{job.csv_path}/{span.first}..{span.last}")
+
+    def publish(frame: DataFrame) -> int:
+        if label not in frame.columns:
+            return load.publish_csv(frame, csv_path)
+        seen = Observation()
+        load.write_csv(frame.observe(seen, F.count(F.lit(1)).alias("rows")), csv_path, by=(label,))
+        return seen.get["rows"]
+
+    if not (job.csv_path and to_mart):
+        if job.csv_path:
+            rows = publish(result)
+        elif to_mart:
+            seen = Observation()
+            load.write_mart(result.observe(seen, F.count(F.lit(1)).alias("rows")), job.mart_path)
+            rows = seen.get["rows"]
+        else:
+            rows = result.count()
+        done = "csv" if job.csv_path else "mart" if to_mart else ""
+        return (job.name, period, "success", rows, done, "") if rows else (job.name, period, "empty", 0, "", "no rows")
+    result = result.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if result.isEmpty():
             return job.name, period, "empty", 0, "", "no rows"
         done = []
         if job.csv_path:
-            load.write_csv(result, job.csv_path)
+            publish(result)
             done.append("csv")
         if job.mart_path and not load.missing_partitions(result):
             load.write_mart(result, job.mart_path)
@@ -52,35 +81,43 @@ def run_job(star: Star, span: Span, job: Job) -> tuple:
         result.unpersist()
 
 
-def run_batch(star: Star, spans: list[Span], jobs: list[Job], log: Callable[[tuple, int], None] | None = None) -> DataFrame:
+def run_batch(star: Star, spans: list[Span], jobs: list[Job], log: Callable[[tuple, int, str | None], None] | None = None) -> DataFrame:
     """All jobs for all spans, one status row each.
 
     A job that fails on its own (bad query, bad data) is recorded and the next one runs.
-    An aborted stage or a dead context surfaces as another kind of error and stops the batch.
+    Any other error (a dead context, a fault of the program) is recorded too and then stops the batch. A log that
+    cannot be written is a warning.
     """
     spark: SparkSession = star.spark
     rows = []
     for span in spans:
         for job in jobs:
-            began = time.monotonic()
+            began, stop, trace = time.monotonic(), None, None
             try:
                 row = run_job(star, span, job)
-            except (PySparkException, ValueError, KeyError) as fault:
-                row = (job.name, f"{span.level} {span.first}..{span.last}", "error", 0, "", str(fault).splitlines()[0][:500])
+            except Exception as fault:  # noqa: BLE001 - recorded, and raised again unless the job alone is at fault
+                row = (job.name, f"{span.level} {span.first}..{span.last}", "error", 0, "", str(fault) or type(fault).__name__)
+                trace = traceback.format_exc()
+                stop = None if isinstance(fault, (PySparkException, ValueError, KeyError)) else fault
             rows.append(row)
             if log:
-                log(row, int((time.monotonic() - began) * 1000))
+                try:
+                    log(row, int((time.monotonic() - began) * 1000), trace)
+                except Exception:  # noqa: BLE001
+                    logging.getLogger(__name__).warning("the run of %s could not be logged", job.name, exc_info=True)
+            if stop:
+                raise stop
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
-def log_to(spark: SparkSession, path: str) -> Callable[[tuple, int], None]:
+def log_to(spark: SparkSession, path: str) -> Callable[[tuple, int, str | None], None]:
     """A logger for ``run_batch`` that appends one row per run."""
-    def write(row: tuple, elapsed_ms: int) -> None:
+    def write(row: tuple, elapsed_ms: int, trace: str | None = None) -> None:
         name, period, status, inserted, _, message = row
         entry = log_entry(
             spark, datetime.now(), job_name=name, table_name=name, operation_type="RUN",
             error_level="ERROR" if status == "error" else "INFO", message=f"{period}: {status} {message}".strip(),
-            rows_inserted=inserted, execution_time_ms=elapsed_ms,
+            error_traceback=trace, rows_inserted=inserted, execution_time_ms=elapsed_ms,
         )
         append_log(entry, path)
 

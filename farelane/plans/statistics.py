@@ -37,7 +37,7 @@ def _with_lanes(star: Star, txn: DataFrame) -> DataFrame:
 def _with_tariff(star: Star, txn: DataFrame) -> DataFrame:
     """Transactions with tariff, plazas, route and account, as the listings need them."""
     price = star.small(
-        star.plaza_prices().select(
+        star.plaza_tariff().select(
             F.col("toll_id").alias("checkout_toll_id"), "vehicle_type", "price_type", "price_ticket_type",
             F.col("price_amount").alias("standard_fee"),
         ),
@@ -111,7 +111,7 @@ def card_report(star: Star, span: Span, operators: tuple[int, int, int]) -> Data
     the period's total (from the finished groups)."""
     txn = by_period(star.fact("txn", span, ["checkout_toll_id", "vehicle_type", "boo", "total_amount"]), span)
     price = star.small(
-        star.plaza_prices().select(F.col("toll_id").alias("checkout_toll_id"), "vehicle_type", "price_ticket_type"), "price"
+        star.plaza_tariff().select(F.col("toll_id").alias("checkout_toll_id"), "vehicle_type", "price_ticket_type"), "price"
     )
     groups = (
         txn.join(price, ["checkout_toll_id", "vehicle_type"]).groupBy("period", F.col("price_ticket_type").alias("card_type"))

@@ -40,11 +40,13 @@ def transaction_summary_by_stage(star: Star, span: Span) -> DataFrame:
 
 
 def transaction_summary_by_price(star: Star, span: Span) -> DataFrame:
-    """Transactions joined to the price list of their exit plaza and vehicle type."""
-    price = star.small(
-        star.plaza_prices().select(F.col("toll_id").alias("checkout_toll_id"), "vehicle_type", "price_type", "price_ticket_type"),
-        "price",
-    )
+    """Transactions joined to the price list of their exit plaza and vehicle type.
+
+    A transaction counts once for every price of the list that it meets; equal ticket kinds are
+    counted before the join, so it does not repeat the fact for each of them.
+    """
+    kinds = star.plaza_prices().groupBy(F.col("toll_id").alias("checkout_toll_id"), "vehicle_type", "price_type", "price_ticket_type")
+    price = star.small(kinds.agg(F.count("*").alias("prices")), "price")
     toll = star.tolls().select("toll_id")
     entry = toll.select(F.col("toll_id").alias("checkin_toll_id"), F.col("toll_id").alias("entry_plaza"))
     leave = toll.select(F.col("toll_id").alias("checkout_toll_id"), F.col("toll_id").alias("exit_plaza"))
@@ -56,7 +58,7 @@ def transaction_summary_by_price(star: Star, span: Span) -> DataFrame:
         .join(price, ["checkout_toll_id", "vehicle_type"])
         .join(entry, "checkin_toll_id", "left").join(leave, "checkout_toll_id", "left")
         .join(route, "checkout_toll_id")
-        .withColumns({"quantity": F.lit(1), "amount": F.col("total_amount")})
+        .withColumns({"quantity": F.col("prices"), "amount": (F.col("total_amount") * F.col("prices")).cast("decimal(28,2)")})
     )
     return price_type_pivot(rows, keys).select(
         "date", "vehicle_type", F.col("price_ticket_type").alias("fare_category"), *_measures(),

@@ -247,11 +247,6 @@ class DerivedStar(Star):
             money(F.col("p_retailprice")).alias("price_amount"),
         )
 
-    @held
-    def plaza_prices(self) -> DataFrame:
-        """The price list that is unique on (plaza, vehicle type)."""
-        return self._price().filter(F.col("price_id") < 125)
-
     def _vehicle(self) -> DataFrame:
         return self.raw("customer").select(
             F.col("c_custkey").alias("vehicle_id"), (F.col("c_custkey") % 5 + 1).cast("int").alias("vehicle_type_id"),

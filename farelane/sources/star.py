@@ -87,9 +87,16 @@ class Star:
 
     @held
     def plaza_prices(self) -> DataFrame:
-        """Prices by plaza and vehicle type."""
+        """The whole price list; a plaza and vehicle type may have several prices."""
         return self.table("price")
 
+    @held
+    def plaza_tariff(self) -> DataFrame:
+        """One price per plaza and vehicle type: the one with the smallest price id of the whole list."""
+        prices = self.plaza_prices()
+        first = F.min_by(F.struct(*prices.columns), "price_id")
+        return prices.groupBy("toll_id", "vehicle_type").agg(first.alias("_first")).select("_first.*")
+
     @held
     def domain(self, kind: str) -> DataFrame:
         """Code and name of one code list."""

@@ -135,10 +135,7 @@ def test_ids_continue_from_the_greatest(spark):
     assert values(numbering.continue_ids(new.limit(1), df.filter("id < 0"), [F.col("name")]), "id") == [(1,)]
 
 
-@pytest.mark.parametrize("deep", [False, True])
-def test_pages(spark, monkeypatch, deep):
-    if deep:
-        monkeypatch.setattr(runlog, "DEEP_PAGE_ROWS", 0)
+def test_pages(spark):
     rows = [(i, "Mart_A" if i % 2 else None) for i in range(1000)]
     df = spark.createDataFrame(rows, "id long, table_name string")
     page = runlog.search_page(df, " mart ", page=3, page_size=70).orderBy(F.col("id").desc())
@@ -154,7 +151,7 @@ def test_csv_round_trip(spark):
     rows = spark.createDataFrame([(1, 'a,"b"', None), (2, "", date(2024, 2, 29)), (3, "Đợt\n2", None)], "k int, t string, d date")
     path = scratch_path(spark, "csv")
     load.write_csv(rows, path, "|")
-    back = spark.read.schema(rows.schema).option("sep", "|").option("multiLine", "true").csv(path)
+    back = load.read_csv(spark, path, rows.schema, "|")
     assert sorted(values(back, "k", "t", "d")) == [(1, 'a,"b"', None), (2, None, date(2024, 2, 29)), (3, "Đợt\n2", None)]
     plain = scratch_path(spark, "csv")
     load.write_csv(rows.filter("k < 3"), plain)
@@ -162,12 +159,11 @@ def test_csv_round_trip(spark):
     assert values(load.read_csv(spark, plain, rows.schema), "k", "t") == [(2, None)]
 
 
-def test_single_file_only_when_small(spark, monkeypatch):
+def test_named_parts_whatever_the_size(spark):
     rows = spark.range(100).repartition(4)
     one, many = scratch_path(spark, "one"), scratch_path(spark, "many")
-    assert load.write_single_csv(rows, one, "data.csv", 100) == ["data.csv"]
-    monkeypatch.setattr(load, "SINGLE_FILE_ROWS", 10)
-    assert len(load.write_single_csv(rows, many, "data.csv", 100)) == 4
+    assert load.write_named_csv(rows, one, "data.csv", single_file=True) == ["data.csv"]
+    assert load.write_named_csv(rows, many, "data.csv") == [f"data-0000{i}.csv" for i in range(4)]
     assert load.read_csv(spark, f"{one}/data.csv", "id long").count() == load.read_csv(spark, many, "id long").count() == 100
 
 
@@ -186,7 +182,7 @@ def test_mart_replaces_touched_days_and_repeats(spark):
 
 @pytest.mark.parametrize(
     "condition, key, kept",
-    [("day", "2024051000", 1), ("month", "202405", 1), ("year", "2024", 1), ("quarter", "2024Q2", 1), ("time", "2024051013", 1), ("none", "x", 2)],
+    [("day", "2024051000", 1), ("day", "2024-05-10", 1), ("month", "2024-05", 1), ("quarter", "2024-Q2", 1), ("month", "202405", 1), ("year", "2024", 1), ("quarter", "2024Q2", 1), ("time", "2024051013", 1), ("none", "x", 2)],
 )
 def test_period_replace(spark, condition, key, kept):
     target = spark.createDataFrame([(key, 1), (None, 2)], "p string, v int")
