@@ -142,7 +142,7 @@ class Extractor:
     forest: Forest
 
 
-def train(sources: list[str], copies: int = 4) -> Extractor:
+def train(sources: list[str], copies: int = 6) -> Extractor:
     """Trees from the sample pages and ``copies`` rewritten ones of each."""
     rng = random.Random(8)
     originals = [parse(s) for s in sources]
@@ -161,7 +161,7 @@ def train(sources: list[str], copies: int = 4) -> Extractor:
     vocabulary = {t: i for i, t in enumerate(names)}
     x, _ = node_features(pages, vocabulary)
     y = np.concatenate([labels(p) for p in pages])
-    return Extractor(vocabulary, boost(x[y >= 0], y[y >= 0].astype(np.float64)))
+    return Extractor(vocabulary, boost(x[y >= 0], y[y >= 0].astype(np.float64), trees=60))
 
 
 def decode(page: Page, odds: np.ndarray) -> list[int]:
@@ -216,7 +216,8 @@ def _extracting(extractor: Extractor) -> Callable[[Batches], Batches]:
 def main_texts(pages: DataFrame, sample_pages: int = 200) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row; the trees learn from at most ``sample_pages`` pages."""
     rows = pages.select("page_id", "url", "html")
-    sample = rows.filter("html IS NOT NULL").orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample_pages).select("html")
+    ids = rows.filter("html IS NOT NULL AND page_id IS NOT NULL").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
+    sample = rows.join(F.broadcast(ids), "page_id", "left_semi").filter("html IS NOT NULL").orderBy("page_id", "html").select("html").limit(sample_pages)
     extractor = train([r["html"] for r in sample.collect()])
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:2])
     return rows.mapInArrow(_extracting(extractor), f"{kinds}, text string, n_chars long")

@@ -48,25 +48,40 @@ def test_portions_do_not_matter():
     assert np.allclose(packed(one.weights), packed(two.weights), atol=1e-5)
 
 
-def test_training_predicts_from_both_sides(frame, monkeypatch):
+def test_training_predicts_from_both_sides(monkeypatch):
     rng = np.random.default_rng(3)
-    rows = []
-    for i in range(600):  # the middle word is given by its two neighbours together
-        words = []
-        for _ in range(30):
-            a, b = rng.integers(0, 4, 2)
-            words += [f"l{a}", f"m{(a + b) % 4}", f"r{b}"]
-        rows.append((i, " ".join(words)))
-    monkeypatch.setattr(maskedlm, "MASK_EVERY", 2)
-    d = frame(rows, "doc_id long, text string")
-    known = vocabulary(d)
-    weights = train(d.filter("doc_id < 500"), known, passes=2)
-    words, bounds = next(word_hashes(pa.array([t for _, t in rows[500:]])))
+    texts = []
+    for _ in range(600):  # either side alone leaves four choices for the middle word
+        pairs = rng.integers(0, 4, (30, 2))
+        texts.append(" ".join(f"l{a} m{a}{b} r{b}" for a, b in pairs))
+    monkeypatch.setattr(maskedlm, "BATCH", 128)
+    seen, unseen = pa.array(texts[:500]), pa.array(texts[500:])
+    counts = next(maskedlm._count([pa.record_batch({"text": seen})]))
+    known, weights = maskedlm.Vocabulary(counts.column("word").to_numpy().view(np.uint64)), initial()
+    for turn in range(6):
+        copy = next(maskedlm._training(known, weights, turn)([pa.record_batch({"text": seen})]))
+        weights = unpacked(np.concatenate([np.frombuffer(w, np.float32) for w in copy.column("weights").to_pylist()]))
+    words, bounds = next(word_hashes(unseen))
     ids = known.ids(words)
     score = log_probabilities(weights, windows(ids, bounds), ids)
     assert score[1::3].mean() > np.log(0.5) > np.log(0.25)
 
 
+def test_copies_are_averaged_by_positions(frame):
+    rng = np.random.default_rng(7)
+    d = frame([(i, " ".join(f"w{x}" for x in rng.integers(0, 40, 200))) for i in range(60)], "doc_id long, text string").repartition(3)
+    d = d.cache()
+    known = vocabulary(d)
+    copies = d.select("text").mapInArrow(maskedlm._training(known, initial(), 0), "part int, weights binary, seen long").collect()
+    parts = sorted({r.part for r in copies})
+    want = [
+        sum(np.frombuffer(r.weights, np.float32).astype(float) * r.seen for r in copies if r.part == p) / sum(r.seen for r in copies if r.part == p)
+        for p in parts
+    ]
+    assert len(copies) == 3 * len(parts)
+    assert np.allclose(packed(train(d, known, passes=1)), np.concatenate(want), atol=1e-6)
+
+
 def test_scores_and_edge_cases(frame):
     rows = [(1, "a b c"), (2, None), (3, ""), (4, " \n"), (1, "a b c"), (None, "A\tb  c"), (5, "w " * 50_000), (6, "c b a")]
     got = masked_scores(frame(rows, "doc_id long, text string")).collect()
