@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.functions.calendar import parse_day
+from farelane.session import checkpointed
 
 MART_PARTITIONS = ("year", "month", "day")
 
@@ -236,16 +237,18 @@ def clear_order(spark: SparkSession, references: DataFrame) -> DataFrame:
     """Step in which to clear each table, children before the tables they reference.
 
     ``references`` holds one row per (child, parent) pair of tables. A table comes after
-    every chain of children below it; a cycle makes the recursion fail.
+    every chain of children below it; a cycle is an error. Tables are taken layer by layer, each once per layer,
+    so the work follows the references and not the number of chains.
     """
-    references.createOrReplaceTempView("farelane_references")
-    return spark.sql(
-        """
-        WITH RECURSIVE chain(table_name, step) AS (
-            SELECT DISTINCT child, 1 FROM farelane_references
-            UNION ALL
-            SELECT r.parent, c.step + 1 FROM chain c JOIN farelane_references r ON r.child = c.table_name
-        )
-        SELECT table_name, max(step) AS step FROM chain GROUP BY table_name
-        """
-    )
+    edges = checkpointed(references.select("child", "parent").distinct())
+    most = edges.select("child").union(edges.select("parent")).distinct().count()
+    layer = edges.select(F.col("child").alias("table_name")).distinct()
+    steps = layer.withColumn("step", F.lit(1))
+    for step in range(2, most + 2):
+        layer = checkpointed(layer.join(edges, F.col("table_name") == F.col("child")).select(F.col("parent").alias("table_name")).distinct())
+        if layer.isEmpty():
+            return steps.groupBy("table_name").agg(F.max("step").alias("step"))
+        steps = steps.union(layer.withColumn("step", F.lit(step)))
+    if most == 0:
+        return steps
+    raise ValueError("the references form a cycle")

@@ -232,6 +232,11 @@ def test_mart_table(spark):
 def test_children_are_cleared_first(spark):
     edges = spark.createDataFrame([("line", "order"), ("order", "person"), ("line", "person"), ("note", "person")], "child string, parent string")
     assert dict(values(load.clear_order(spark, edges), "table_name", "step")) == {"line": 1, "note": 1, "order": 2, "person": 3}
+    ladder = [(f"t{i}", f"t{j}") for i in range(24) for j in (i + 1, i + 2)]  # millions of chains
+    steps = load.clear_order(spark, spark.createDataFrame(ladder, "child string, parent string"))
+    assert dict(values(steps, "table_name", "step"))["t25"] == 25
+    with pytest.raises(ValueError):
+        load.clear_order(spark, spark.createDataFrame([("a", "b"), ("b", "a")], "child string, parent string"))
 
 
 # registry and dimensions --------------------------------------------------
