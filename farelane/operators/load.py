@@ -23,11 +23,16 @@ def write_csv(df: DataFrame, path: str, delimiter: str = ",", by: tuple[str, ...
     ``by`` names columns (a period's labels) with a folder for each of their values; only the folders of
     the result's values are replaced, so a single day can be published again without the rest of its back-fill.
     """
-    with _setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic" if by else "static"):
-        (
-            df.write.mode("overwrite").option("header", "false").option("sep", delimiter).option("encoding", "UTF-8")
-            .option("emptyValue", "").option("nullValue", "").partitionBy(*by).csv(path)
-        )
+    out = (
+        (df.hint("rebalance", *by) if by else df).write.mode("overwrite").option("header", "false").option("sep", delimiter)
+        .option("encoding", "UTF-8").option("emptyValue", "").option("nullValue", "")
+    )
+    if not by:
+        out.csv(path)
+        return
+    # A period is one file unless it is large; merging small tasks would only leave the files to fewer of them.
+    with _setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        out.option("partitionOverwriteMode", "dynamic").partitionBy(*by).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema, delimiter: str = ",") -> DataFrame:
