@@ -5,7 +5,8 @@ score is the sum of the log-probabilities of all of its words, each given both o
 
 Words (A-Z as a-z, between ASCII white space) are counted over all documents; the most frequent have an id of
 their own, the others share hashed ids. The prediction is factored: first a class of 32 ids, then the
-id in the class. Training covers every document: each pass masks one position in ``MASK_EVERY``, chosen by hash; every task
+id in the class. Training covers every position: each pass masks one in ``MASK_EVERY``, chosen by a hash of the word and its
+place in the document, and ``MASK_EVERY`` passes mask each once; every task
 trains a copy of the network on its documents, and the copies are averaged by the number of positions
 (weights of each pass start from the last average).
 
@@ -30,7 +31,7 @@ IDS = 1024  # with the hashed ones; id 0 is the edge of a document
 CLASSES = IDS // CLASS
 SIDE = 2  # words read on either side
 EMBEDDED, HIDDEN = 16, 32
-MASK_EVERY = 8
+MASK_EVERY = 2  # as many passes mask every position once
 BATCH, RATE, PASSES = 2048, 0.08, 2
 SCORED_AT_ONCE = 8192
 SLICE = 8192  # weights in a row while copies are averaged
@@ -208,7 +209,7 @@ def _training(known: Vocabulary, weights: Weights, turn: int) -> Callable[[Batch
         for batch in batches:
             for words, bounds in word_hashes(batch.column("text")):
                 ids = known.ids(words)
-                place = np.arange(len(ids), dtype=np.uint64) + words
+                place = (np.arange(len(ids)) - np.repeat(bounds[:-1], np.diff(bounds))).astype(np.uint64) + words
                 masked = np.flatnonzero((place * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(MASK_EVERY) == np.uint64(turn % MASK_EVERY))
                 if len(masked):
                     trainer.add(windows(ids, bounds)[masked], ids[masked])

@@ -109,3 +109,22 @@ def test_bulk_hashing_against_sets():
         assert len(a) == len(x)
         for b, y in zip(got, want, strict=True):
             assert len(np.intersect1d(a, b)) == len(x & y)
+
+
+def test_passes_mask_every_position_once(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 50, n)) for n in (1, 3, 200, 2, 400)]
+    known, taken = maskedlm.Vocabulary(np.empty(0, np.uint64)), []
+    add = Trainer.add
+    monkeypatch.setattr(Trainer, "add", lambda self, context, target: (taken.append((context, target)), add(self, context, target))[1])
+
+    def masked(column, turn):
+        taken.clear()
+        list(maskedlm._training(known, initial(), turn)([pa.record_batch({"text": pa.array(column)})]))
+        return sorted((*c, t) for context, target in taken for c, t in zip(context.tolist(), target.tolist(), strict=True))
+
+    passes = [masked(texts, turn) for turn in range(maskedlm.PASSES)]
+    words, bounds = next(word_hashes(pa.array(texts)))
+    ids = known.ids(words)
+    assert sorted(sum(passes, [])) == sorted((*c, t) for c, t in zip(windows(ids, bounds).tolist(), ids.tolist(), strict=True))
+    assert passes[0] == sorted(sum((masked([t], 0) for t in texts), []))  # wherever a document lies
