@@ -5,8 +5,9 @@ score is the sum of the log-probabilities of all of its words, each given both o
 
 Words (A-Z as a-z, between ASCII white space) are counted over all documents; the most frequent have an id of
 their own, the others share hashed ids. The prediction is factored: first a class of 32 ids, then the
-id in the class. Training covers every position: each pass masks one in ``MASK_EVERY``, chosen by a hash of the word and its
-place in the document, and ``MASK_EVERY`` passes mask each once; every task
+id in the class, then the word within a hashed id, by the counts of all its words (a table that grows with the corpus; one
+count more is left for words that were not counted). So a score covers every word. Training covers every position: each pass
+masks one in ``MASK_EVERY``, chosen by a hash of the word and its place in the document, so as many passes mask each once; every task
 trains a copy of the network on its documents, and the copies are averaged by the number of positions
 (weights of each pass start from the last average).
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.llm.common import stored
+from farelane.llm.common import sent_if_small, stored
 from farelane.llm.shingles import word_hashes
 
 OWN_IDS, CLASS = 768, 32  # ids of frequent words; ids in a class
@@ -196,9 +197,18 @@ def _count(batches: Batches) -> Batches:
         yield pa.record_batch({"word": pa.array(found.view(np.int64)), "n": pa.array(count.astype(np.int64))})
 
 
+def word_counts(documents: DataFrame) -> DataFrame:
+    """``word, n`` of all words of all documents."""
+    return documents.select("text").mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def vocabulary(documents: DataFrame) -> Vocabulary:
     """The most frequent words of all documents."""
-    counts = documents.select("text").mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return frequent(word_counts(documents))
+
+
+def frequent(counts: DataFrame) -> Vocabulary:
+    """The most frequent words of a table of counts."""
     top = counts.orderBy(F.desc("n"), "word").limit(OWN_IDS).collect()
     return Vocabulary(np.array([r["word"] for r in top], np.int64).view(np.uint64))
 
@@ -257,21 +267,48 @@ def train(documents: DataFrame, known: Vocabulary, passes: int = PASSES) -> Weig
     return weights
 
 
-def _scoring(known: Vocabulary, weights: Weights) -> Callable[[Batches], Batches]:
+def _with_ids(known: Vocabulary) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            ids = known.ids(batch.column("word").to_numpy().view(np.uint64))
+            yield pa.record_batch({"word": batch.column("word"), "n": batch.column("n"), "id": pa.array(ids)})
+
+    return run
+
+
+def within_ids(counts: DataFrame, known: Vocabulary) -> tuple[DataFrame, np.ndarray]:
+    """``word, gain`` of the counted words that share an id, and the log-probability within each id of a word not counted.
+
+    A word's log-probability within its id is the sum of both: log(n / (total + 1)).
+    """
+    shared = counts.mapInArrow(_with_ids(known), "word long, n long, id long").filter(F.col("id") > OWN_IDS)
+    totals = {r["id"]: r["n"] for r in shared.groupBy("id").agg(F.sum("n").alias("n")).collect()}  # at most IDS rows
+    missing = -np.log1p(np.array([totals.get(i, 0) for i in range(IDS)], np.float64))
+    # A word counted once is as likely as one that was not counted.
+    return shared.filter("n > 1").select("word", F.log("n").alias("gain")), missing
+
+
+def _scoring(known: Vocabulary, weights: Weights, missing: np.ndarray) -> Callable[[Batches], Batches]:
+    """Sums as if no word of a shared id were counted, and these words with how often a text has them."""
+
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            sums, sizes = [], []
+            sums, sizes, rare, often = [], [], [], []
             for words, bounds in word_hashes(batch.column("text")):
                 ids = known.ids(words)
-                total = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, windows(ids, bounds), ids))])
+                hashed = ids > OWN_IDS
+                total = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, windows(ids, bounds), ids) + np.where(hashed, missing[ids], 0))])
                 sums.append(total[bounds[1:]] - total[bounds[:-1]])
                 sizes.append(np.diff(bounds))
+                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                    found, count = np.unique(words[a:b][hashed[a:b]], return_counts=True)
+                    rare.append(found.view(np.int64))
+                    often.append(count.astype(np.int32))
             n = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
             s = np.concatenate(sums) if sums else np.zeros(0)
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id"), "n_tokens": pa.array(n.astype(np.int64)),
-                "pseudo_log_likelihood": pa.array(np.round(s, 6)),
-                "mean_log_probability": pa.array(np.round(s / np.maximum(n, 1), 9), mask=n == 0),
+                "doc_id": batch.column("doc_id"), "n_tokens": pa.array(n.astype(np.int64)), "s": pa.array(s),
+                "rare": pa.array(rare, pa.list_(pa.int64())), "often": pa.array(often, pa.list_(pa.int32())),
             })
 
     return run
@@ -280,7 +317,22 @@ def _scoring(known: Vocabulary, weights: Weights) -> Callable[[Batches], Batches
 def masked_scores(documents: DataFrame, passes: int = PASSES) -> DataFrame:
     """``doc_id, n_tokens, pseudo_log_likelihood, mean_log_probability`` of every row."""
     rows = documents.select("doc_id", "text")
-    known = vocabulary(rows)
+    counts = stored(word_counts(rows), "word_counts")
+    known = frequent(counts)
     weights = train(rows, known, passes)
+    gains, missing = within_ids(counts, known)
+    return scored(rows, known, weights, stored(gains, "gains"), missing)
+
+
+def scored(rows: DataFrame, known: Vocabulary, weights: Weights, gains: DataFrame, missing: np.ndarray) -> DataFrame:
+    """The scores of every row by a trained network and the counts within the shared ids."""
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_scoring(known, weights), f"doc_id {kind}, n_tokens long, pseudo_log_likelihood double, mean_log_probability double")
+    base = rows.mapInArrow(_scoring(known, weights, missing), f"doc_id {kind}, n_tokens long, s double, rare array<long>, often array<int>")
+    base = stored(base.withColumn("place", F.monotonically_increasing_id()), "scores")
+    each = base.select("place", F.explode(F.arrays_zip("rare", "often")).alias("r")).select("place", F.col("r.rare").alias("word"), "r.often")
+    added = each.join(sent_if_small(gains), "word").groupBy("place").agg(F.sum(F.col("often") * F.col("gain")).alias("gain"))
+    total = F.col("s") + F.coalesce("gain", F.lit(0.0))
+    return base.select("doc_id", "n_tokens", "s", "place").join(added, "place", "left").select(
+        "doc_id", "n_tokens", F.round(total, 6).alias("pseudo_log_likelihood"),
+        F.when(F.col("n_tokens") > 0, F.round(total / F.col("n_tokens"), 9)).alias("mean_log_probability"),
+    )

@@ -128,3 +128,30 @@ def test_passes_mask_every_position_once(monkeypatch):
     ids = known.ids(words)
     assert sorted(sum(passes, [])) == sorted((*c, t) for c, t in zip(windows(ids, bounds).tolist(), ids.tolist(), strict=True))
     assert passes[0] == sorted(sum((masked([t], 0) for t in texts), []))  # wherever a document lies
+
+
+def test_words_of_a_shared_id_have_their_own_probabilities(frame):
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 300) % 3000) for _ in range(40)]
+    rows = [*enumerate(texts), (40, "junk1 junk2 junk3"), (40, "w1 w2 w1"), (None, "w1 w2 w1"), (41, None)]
+    d = frame(rows, "doc_id long, text string").cache()
+    counts = maskedlm.word_counts(d).cache()
+    known = maskedlm.frequent(counts)
+    n = {r.word: r.n for r in counts.collect()}
+    ids = dict(zip(n, known.ids(np.array(list(n), np.int64).view(np.uint64)), strict=True))
+    totals = np.bincount([ids[w] for w in n], [n[w] for w in n], IDS)
+    gains, missing = maskedlm.within_ids(counts, known)
+    gain = {r.word: r.gain for r in gains.collect()}
+    for i in {i for i in ids.values() if i > 768}:  # with what is left for other words, an id's words sum to one
+        assert abs(sum(np.exp(gain.get(w, 0) + missing[i]) for w in n if ids[w] == i) + np.exp(missing[i]) - 1) < 1e-9
+    weights = initial()
+    got = maskedlm.scored(d.select("doc_id", "text"), known, weights, gains, missing).collect()
+    want = []
+    for i, text in rows:
+        words, bounds = next(word_hashes(pa.array([text], pa.string())))
+        own = known.ids(words)
+        score = log_probabilities(weights, windows(own, bounds), own).sum() if len(words) else 0.0
+        for w, k in zip(words.view(np.int64).tolist(), own.tolist(), strict=True):
+            score += np.log(n[w] / (totals[k] + 1)) if k > 768 else 0
+        want.append((-1 if i is None else i, len(words), round(score, 3)))
+    assert sorted(want) == sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, round(r.pseudo_log_likelihood, 3)) for r in got)
