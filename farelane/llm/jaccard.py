@@ -92,12 +92,9 @@ def _prefixes(width: int, percent: int, sketch: np.ndarray) -> Callable[[Batches
 
 def _measure(batches: Batches) -> Batches:
     for batch in sliced(batches):
-        shared, size, held = [], [], {}
-        for x, y, b in zip(batch.column("x"), batch.column("y"), batch.column("b").to_pylist(), strict=True):
-            left = np.frombuffer(x.as_buffer(), np.uint64)
-            if b not in held:
-                held = {b: np.frombuffer(y.as_buffer(), np.uint64)}
-            right = held[b]
+        shared, size = [], []
+        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+            left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             n = len(np.intersect1d(left, right, assume_unique=True))
             shared.append(n)
             size.append(len(left) + len(right) - n)

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from farelane.llm.components import components
 from farelane.llm import jaccard
 
@@ -74,3 +77,14 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(301)}, **{1000 + i: 1000 for i in range(200)}, 6000: 6000, 7000: 6000}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_an_id_with_two_texts_is_measured_by_each():
+    one, two = np.arange(10, dtype=np.uint64), np.arange(100, 120, dtype=np.uint64)
+    rows = [(1, one, one), (2, two, one), (2, two, two), (1, one, two)]
+    batch = pa.record_batch({
+        "a": pa.array([a for a, _, _ in rows]), "b": pa.array([7] * len(rows)),
+        "x": pa.array([x.tobytes() for _, x, _ in rows]), "y": pa.array([y.tobytes() for _, _, y in rows]),
+    })
+    got = next(jaccard._measure([batch]))
+    assert got.column("shared").to_pylist() == [10, 0, 20, 0] and got.column("united").to_pylist() == [10, 30, 20, 30]
