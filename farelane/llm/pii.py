@@ -9,7 +9,9 @@ of a kind get equal pseudonyms in all documents, different ones stay different,
 Kinds: payment cards (Luhn), IBANs (mod 97), US social security numbers, phone numbers, dates (by calendar day, so that one
 day stays linked across notations), IPv4 addresses, e-mail names, and access keys, tokens and passwords.
 
-Defined cases: a null text stays null with no replacements; values that fail validation stay; the earliest match wins, and
+Defined cases: a null text stays null with no replacements; values that fail validation stay; of a run of digits that is no
+card the longest part up to a blank or hyphen that is one counts (its pseudonym may differ from the one it has alone where that
+would make a card with the digits after it); the earliest match wins, and
 of matches at one place the order of ``PATTERNS``; each row is treated by itself. Other columns are ignored.
 """
 
@@ -31,7 +33,7 @@ Batches = Iterator[pa.RecordBatch]
 # The notations that are recognised.
 PATTERNS = {
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9])(?:ghp_|gho_|sk-)[A-Za-z0-9]{20,}",
-    "secret": r"(?:(?<=token)|(?<=password)|(?<=passwd)|(?<=secret)|(?<=api_key)|(?<=apikey))\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_+/-]{8,}",
+    "secret": r"(?i:(?<=token)|(?<=password)|(?<=passwd)|(?<=secret)|(?<=api_key)|(?<=apikey))\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_+/-]{8,}",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
@@ -131,11 +133,29 @@ def _spelled(f: Feistel, kind: str, text: str, back: bool) -> str:
     return "".join(out)
 
 
-def _card(f: Feistel, text: str, back: bool) -> str | None:
+def _is_card(d: list[int]) -> bool:
+    return 13 <= len(d) <= 19 and luhn_digit(d[:-1]) == d[-1] and len(set(d)) > 1
+
+
+def _parts(run: str) -> Iterator[tuple[str, str]]:
+    """A run of digits cut at its blanks or hyphens, longest first: the part before and what follows."""
+    for i in range(len(run) - 1, 0, -1):
+        if run[i] not in CLASSES[0] and len(_digits(run[:i])) >= 13:
+            yield run[:i], run[i:]
+
+
+def _card(f: Feistel, text: str, back: bool, after: str = "") -> str | None:
+    """``after`` are the digits that follow in the run; a pseudonym makes no card with them, as its value does not."""
     d = _digits(text)
-    if not 13 <= len(d) <= 19 or luhn_digit(d[:-1]) != d[-1] or len(set(d)) == 1:
+    if not _is_card(d):
         return None
-    inner = f.walk("card", d[1:-1], (10,) * (len(d) - 2), lambda x: len({d[0], *x, luhn_digit([d[0], *x])}) > 1, back)
+    more = [_digits(after[:i]) for i in range(2, len(after) + 1) if i == len(after) or after[i] not in CLASSES[0]]
+
+    def valid(x: list[int]) -> bool:
+        card = [d[0], *x, luhn_digit([d[0], *x])]
+        return _is_card(card) and not any(_is_card(card + m) for m in more)
+
+    inner = f.walk("card", d[1:-1], (10,) * (len(d) - 2), valid, back)
     return _refill(text, [d[0], *inner, luhn_digit([d[0], *inner])])
 
 
@@ -237,6 +257,14 @@ class Pseudonyms:
             self.known[kind, value] = CHANGES[kind](self.feistel, value, self.back)
         return self.known[kind, value]
 
+    def _leading_card(self, text: str, start: int) -> tuple[str, int] | None:
+        """The pseudonym of a card that further digits follow, and where the card ends."""
+        run = COMPILED["card"].match(text, start)
+        for part, after in _parts(run[0]) if run else ():
+            if (new := _card(self.feistel, part, self.back, after)) is not None:
+                return new, start + len(part)
+        return None
+
     def __call__(self, text: str) -> tuple[str, dict[str, int]]:
         """The text with pseudonyms, and how many of each kind."""
         counts: dict[str, int] = {}
@@ -244,21 +272,23 @@ class Pseudonyms:
             return text, counts
         out, at, pos = [], 0, 0
         while match := ANY.search(text, pos):
-            new = self._change(match.lastgroup, match[0])
+            new, end = self._change(match.lastgroup, match[0]), match.end()
             if new is None:  # perhaps another kind fits at this place
                 for kind, pattern in COMPILED.items():
                     other = pattern.match(text, match.start())
                     if kind != match.lastgroup and other and (new := self._change(kind, other[0])) is not None:
-                        match = other
+                        end = other.end()
                         break
                 else:
-                    pos = match.start() + 1
-                    continue
+                    if (found := self._leading_card(text, match.start())) is None:
+                        pos = match.start() + 1
+                        continue
+                    kind, (new, end) = "card", found
             else:
                 kind = match.lastgroup
             out += [text[at : match.start()], new]
             counts[kind] = counts.get(kind, 0) + 1
-            at = pos = match.end()
+            at = pos = end
         out.append(text[at:])
         return "".join(out), counts
 

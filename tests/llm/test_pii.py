@@ -78,3 +78,19 @@ def test_frames(frame):
     assert len(numbers) == 1
     assert sorted(map(str, (tuple(r)[:2] for r in reveal(got, "k").collect()))) == sorted(map(str, rows))
     assert pseudonymised(frame([], "doc_id long, text string"), "k").count() == 0
+
+
+def test_cards_before_other_digits_and_keywords_in_capitals():
+    rng = random.Random(21)
+    hide, show = Pseudonyms("k"), Pseudonyms("k", back=True)
+    texts = ["4111 1111 1111 1111 123", "4111 1111 1111 1111 12/27", "4111-1111-1111-1111 7 now"]
+    for _ in range(300):
+        d = card(rng)
+        texts.append(f"{d[:4]} {d[4:8]} {d[8:12]} {d[12:]} {rng.randrange(100, 1000)}")
+    for text in texts:
+        new, counts = hide(text)
+        assert counts == {"card": 1} and new != text and show(new)[0] == text
+    assert all(hide(text)[0][19:] == text[19:] for text in texts[:3])
+    for text in ("PASSWORD=hunter2hunter2", "API_KEY: abcd1234efgh", "Token = 'abcd1234efgh'"):
+        new, counts = hide(text)
+        assert counts == {"secret": 1} and new != text and show(new)[0] == text
