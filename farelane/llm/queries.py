@@ -79,6 +79,24 @@ def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), size=1024)
 
 
+def op11_license_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farelane.llm.licences import licences
+
+    return licences(read(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farelane.llm.divergence import divergence
+
+    return divergence(read(spark, sf_dir, "documents"), min_df=10, top=10)
+
+
+def op13_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from farelane.llm.whitening import whitened
+
+    return whitened(read(spark, sf_dir, "embeddings"), components=32, scale=64, offset=1_000_000)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to callable."""
     return {name: f for name, f in globals().items() if name.startswith("op")}

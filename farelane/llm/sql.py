@@ -90,6 +90,44 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM documents LEFT JOIN sizes USING (doc_id) JOIN least_of ON node = doc_id
 """
 
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), words AS (
+  SELECT id, lang, source, unnest(w) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+), counts AS (
+  SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), sides AS (
+  SELECT lang, source, coalesce((SELECT sum(c) FROM counts x WHERE x.lang = g.lang AND x.source = g.source), 0)
+         + 2 * (SELECT count(*) FROM kept k WHERE k.lang = g.lang) AS below
+  FROM (SELECT DISTINCT lang, source FROM d) g
+), p AS (
+  SELECT s.lang, s.source, k.term, coalesce(c, 0) AS c, 1 + CAST(1000000000 * CAST(coalesce(c, 0) + 2 AS HUGEINT) // below AS BIGINT) AS p
+  FROM sides s JOIN kept k USING (lang) LEFT JOIN counts USING (lang, source, term)
+), q AS (
+  SELECT lang, term, 1 + CAST(1000000000 * CAST(total + 2 AS HUGEINT) // (sum(total) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS BIGINT) AS q
+  FROM kept
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM sides a JOIN sides b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+), ahead AS (
+  SELECT p.lang, source, 'term' AS part, p.term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value
+  FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+      FROM (SELECT * FROM pairs UNION ALL SELECT * FROM ahead))
+WHERE part = 'pair' OR rank <= 10
+"""
+
 
 def llm_sql() -> dict[str, str]:
     """Query name to SQL."""
@@ -98,4 +136,5 @@ def llm_sql() -> dict[str, str]:
         "op5_ngram_jaccard_join": JACCARD,
         "op6_norm_bucketed_topk": TOP_K,
         "op9_prefix_filtered_decontamination": DECONTAMINATION,
+        "op12_source_divergence": DIVERGENCE,
     }

@@ -8,7 +8,7 @@ from farelane.llm.sql import llm_sql
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in llm_queries()) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in llm_queries()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(llm_sql()))
