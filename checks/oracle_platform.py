@@ -314,6 +314,24 @@ def platform_sql() -> dict[str, str]:
             SELECT * FROM target WHERE {column} <> '{own}'
             UNION ALL SELECT * REPLACE (CAST(0 AS BIGINT) AS transaction_count) FROM target
             WHERE {column} = '{own}' AND vehicle_transaction_type = 'ETC'"""
+    out["run_batch_parallel"] = out["run_batch_status"]
+    out["replace_partitioned"] = out["replace_period_month"]
+    out["replace_days"] = with_roles("txn_all", f", {MART} SELECT * FROM mart WHERE year || month <> '199706' OR CAST(day AS INTEGER) % 2 = 0")
+    out["published_manifest"] = f"""
+        SELECT 'route_revenue' AS report, 'month' AS level, replace(month_id, '-', '') || '01' AS period, COUNT(*) AS rows
+        FROM ({txn_revenue("month", "route")}) GROUP BY month_id"""
+    out["retention_after_publish"] = f"""
+        SELECT 'route_revenue' AS report, 'day' AS level, replace(date, '-', '') AS period, COUNT(*) AS rows
+        FROM ({txn_revenue("day", "route")}) WHERE date BETWEEN '1997-04-01' AND '1997-04-30' GROUP BY date"""
+    counts = {t: f"(SELECT COUNT(*) FROM {t})" for t in ("lineitem", "orders", "customer", "part")}
+    out["clear_tables"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {step} AS step, {counts[t]} AS rows_deleted, CAST(0 AS BIGINT) AS rows_left"
+        for step, t in enumerate(("lineitem", "orders", "customer"), 1)
+    )
+    out["cleared_tables"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {n if t == 'part' else 'CAST(0 AS BIGINT)'} AS rows_left" for t, n in counts.items()
+    )
+    out["cleared_tables_undone"] = " UNION ALL ".join(f"SELECT '{t}' AS table_name, {n} AS rows_left" for t, n in counts.items())
     for level in LEVEL:
         out[f"utc_ranges_{level}"] = utc_ranges(level)
     return out

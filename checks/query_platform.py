@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from dataclasses import replace
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.query_reports import star, whole
 from farelane.functions import calendar, text
-from farelane.operators import load, lookups, migrate, numbering, runlog
+from farelane.operators import clearing, load, lookups, migrate, numbering, partitions, publishing, runlog
 from farelane.plans import revenue, statistics, summary
 from farelane.plans.runner import Job, run_batch
 from farelane.session import scratch_path
@@ -314,7 +316,93 @@ def clear_order(spark, sf_dir):
     return load.clear_order(spark, spark.read.parquet(path))
 
 
-def run_batch_status(spark, sf_dir):
+def replace_partitioned(spark, sf_dir):
+    """A target partitioned by month, with the rows of one month replaced by its channel rows alone."""
+    level, column, condition, own = REPLACED["_month"]
+    target = revenue.transaction_revenue(star(spark, sf_dir), whole(level), "route").select(
+        column, "route", "vehicle_transaction_type", "revenue_group", "transaction_count", "gross_revenue"
+    )
+    path = scratch_path(spark, "by-month")
+    partitions.replace_period_partitions(target, path, column, None, "1997-06-30")
+    kept = partitions.read_partitioned(spark, path)
+    new = kept.filter((F.col(column) == own) & (F.col("vehicle_transaction_type") == "ETC")).withColumn("transaction_count", F.lit(0).cast("bigint"))
+    partitions.replace_period_partitions(new, path, column, condition, "1997-06-30")
+    return partitions.read_partitioned(spark, path)
+
+
+def replace_days(spark, sf_dir):
+    """June 1997 of the mart replaced by its even days; the odd ones go."""
+    path, rows = scratch_path(spark, "mart"), _mart_rows(spark, sf_dir)
+    load.write_mart(rows, path)
+    partitions.replace_days(rows.filter("year = 1997 AND month = 6 AND day % 2 = 0"), path, date(1997, 6, 1), date(1997, 6, 30))
+    return load.read_mart(spark, path)
+
+
+def published_manifest(spark, sf_dir):
+    """All months published, those of 1997 a second time: the manifest, checked against the folders."""
+    base, held = scratch_path(spark, "published"), star(spark, sf_dir)
+    for span in (whole("month"), calendar.Span.backfill("month", "1997-01-01", "1997-12-31")):
+        publishing.publish(revenue.transaction_revenue(held, span, "route"), base, "route_revenue", span)
+    there = publishing.published(spark, base).filter("files > 0").select("report", "period", "level", "files", "bytes")
+    return publishing.manifest(spark, base).join(there, ["report", "period", "level", "files", "bytes"]).select("report", "level", "period", "rows")
+
+
+def retention_after_publish(spark, sf_dir):
+    """Two months of days published, then the last day again by a run that keeps thirty days."""
+    base = scratch_path(spark, "retained")
+    job = Job("route_revenue", lambda s, span: revenue.transaction_revenue(s, span, "route"), csv_path=base)
+    run_batch(star(spark, sf_dir), [calendar.Span.backfill("day", "1997-03-01", "1997-04-30")], [job])
+    run_batch(star(spark, sf_dir), [calendar.Span.containing("day", "1997-04-30")], [replace(job, keep_days=30)])
+    there = publishing.published(spark, base).select("report", "period", "level")
+    return publishing.manifest(spark, base).join(there, ["report", "period", "level"]).select("report", "level", "period", "rows")
+
+
+CLEARABLE = {"lineitem": ["l_orderkey", "l_partkey"], "orders": ["o_orderkey", "o_custkey"], "customer": ["c_custkey"], "part": ["p_partkey"]}
+CLEAR_REFERENCES = [("lineitem", "orders"), ("lineitem", "part"), ("orders", "customer")]
+
+
+def cleared(fail_at):
+    """Rows of copies of four tables after three of them were cleared, or after a failure while clearing."""
+
+    def query(spark, sf_dir):
+        paths = {name: scratch_path(spark, f"clear-{name}") for name in CLEARABLE}
+        for name, columns in CLEARABLE.items():
+            _raw(spark, sf_dir, name).select(columns).write.parquet(paths[name])
+
+        def after_step(name):
+            if name == fail_at:
+                raise ValueError(f"planted failure after {name}")
+
+        wanted = {name: paths[name] for name in ("lineitem", "orders", "customer")}
+        references = spark.createDataFrame(CLEAR_REFERENCES, "child string, parent string")
+        try:
+            clearing.clear_tables(spark, wanted, references, after_step=after_step)
+        except ValueError:
+            pass
+        counts = [
+            spark.read.parquet(path).agg(F.count("*").alias("rows_left")).select(F.lit(name).alias("table_name"), "rows_left")
+            for name, path in paths.items()
+        ]
+        return reduce(DataFrame.unionAll, counts)
+
+    return query
+
+
+def clear_tables(spark, sf_dir):
+    """The report of a clearing run."""
+    paths = {name: scratch_path(spark, f"clear-{name}") for name in ("lineitem", "orders", "customer")}
+    for name, path in paths.items():
+        _raw(spark, sf_dir, name).select(CLEARABLE[name]).write.parquet(path)
+    references = spark.createDataFrame(CLEAR_REFERENCES, "child string, parent string")
+    return clearing.clear_tables(spark, paths, references)
+
+
+def run_batch_parallel(spark, sf_dir):
+    """The batch of ``run_batch_status``, four reports at once."""
+    return run_batch_status(spark, sf_dir, workers=4)
+
+
+def run_batch_status(spark, sf_dir, workers=1):
     """A batch of three jobs, one of which cannot be resolved."""
     held = star(spark, sf_dir)
     jobs = [
@@ -323,7 +411,7 @@ def run_batch_status(spark, sf_dir):
         Job("transaction_summary", summary.transaction_summary_by_stage, mart_path=scratch_path(spark, "batch-mart")),
     ]
     # The texts of errors are Spark's own.
-    return run_batch(held, [whole("month"), calendar.Span.containing("day", "2030-01-01")], jobs).drop("message")
+    return run_batch(held, [whole("month"), calendar.Span.containing("day", "2030-01-01")], jobs, workers=workers).drop("message")
 
 
 # migration ---------------------------------------------------------------
@@ -618,7 +706,10 @@ def platform_queries() -> dict[str, Query]:
         "csv_roundtrip": csv_roundtrip, "csv_single_part": csv_single_part, "normalize_partitions": normalize_partitions,
         "mart_overwrite": mart_overwrite, "mart_guard": mart_guard, **{f"replace_period{suffix}": replace_period(*how) for suffix, how in REPLACED.items()},
         "retention_expired": retention_expired, "full_refresh_counts": full_refresh_counts,
-        "source_target_counts": source_target_counts, "clear_order": clear_order, "run_batch_status": run_batch_status,
+        "source_target_counts": source_target_counts, "clear_order": clear_order, "run_batch_status": run_batch_status, "run_batch_parallel": run_batch_parallel,
+        "replace_partitioned": replace_partitioned, "replace_days": replace_days, "published_manifest": published_manifest,
+        "retention_after_publish": retention_after_publish, "clear_tables": clear_tables,
+        "cleared_tables": cleared(None), "cleared_tables_undone": cleared("orders"),
         "key_remap_inner": key_remap("inner"), "key_remap_left": key_remap("left"),
         "multi_code_lookup": multi_code_lookup, "role_playing_lookup": role_playing_lookup,
         "lookup_live_rows": lookup_live_rows, "text_key_join": text_key_join, "explode_codes": explode_codes,

@@ -25,7 +25,8 @@ def numbered(rows: DataFrame, order: list[Column], out: str, start: Column | int
 
     The rows are range-partitioned and sorted, and each gets its position within its
     partition. That layout is checkpointed, so a lost executor cannot change it; the
-    partition sizes (one row per partition) then give each partition its offset.
+    partition sizes (one row per partition) then give each partition its offset. Only those
+    sizes pass through one task; they are sent to the partitions, whose rows stay where they are.
     """
     local_bits = 33
     spot = F.monotonically_increasing_id()
@@ -40,7 +41,7 @@ def numbered(rows: DataFrame, order: list[Column], out: str, start: Column | int
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     first = start if isinstance(start, Column) else F.lit(start)
     return (
-        placed.join(offsets, "_part")
+        placed.join(F.broadcast(offsets), "_part")
         .withColumn(out, (F.col("_offset") + F.col("_nth") + first).cast("bigint"))
         .drop("_part", "_nth", "_spot", "_offset")
     )

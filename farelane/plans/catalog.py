@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame
 
-from farelane.functions.calendar import Span
-from farelane.plans import charges, operators_compared, reconcile, revenue, share, statistics, summary, traffic
+from farelane.functions.calendar import LEVELS, Span
+from farelane.plans import charges, mart, operators_compared, reconcile, revenue, share, statistics, summary, traffic
 from farelane.sources.star import Star
 
+# Fixed value: the operators whose revenue the card report sets apart.
+CARD_OPERATORS = (1, 2, 3)
+ONE_DAY = timedelta(days=1)
 Report = Callable[[Star, Span], DataFrame]
 
 REPORTS: dict[str, Report] = {
@@ -50,13 +54,40 @@ REPORTS: dict[str, Report] = {
     "transaction_detail": statistics.transaction_detail,
     "transactions_by_station": statistics.transactions_by_station,
     "vehicle_violations": statistics.vehicle_violations,
+    "card_report": partial(statistics.card_report, operators=CARD_OPERATORS),
+    "vehicle_transactions": lambda star, span: charges.vehicle_transactions(star, span.first, span.last + ONE_DAY),
+    "vehicle_transaction_report": lambda star, span: charges.vehicle_transaction_report(star, span.first, span.last + ONE_DAY),
+    "stage_transactions": mart.stage_transactions,
 }
 
+# Names that registries use for some of these. A period at the end of a name ("lane_revenue_month") is no part of it: the
+# job type alone says which periods a run covers.
+ALIASES = {
+    "transaction_summary": "transaction_summary_by_stage", "boo_comparison": "operator_pair_comparison",
+    "frontend_backend_comparison": "frontend_backend_amounts", "plaza_route_revenue": "plaza_route_share",
+    "boo_offline_transaction": "stage_transactions",
+}
+# By name and level, where a report is another one by day.
+BY_LEVEL = {("plaza_route_share", "day"): "plaza_route_share_daily"}
+
+
+def resolved(name: str, level: str | None = None) -> str | None:
+    """Name in ``REPORTS`` of a registry's name, or None."""
+    stem, _, period = name.rpartition("_")
+    for known in (name, stem if period in LEVELS else name):
+        known = ALIASES.get(known, known)
+        if known in REPORTS:
+            return BY_LEVEL.get((known, level), known)
+    return None
+
 
 def report(name: str) -> Report:
-    """The report of a name; an unknown name fails when it is run, so a batch can go on."""
+    """The report of a registry's name; an unknown name fails when it is run, so a batch can go on."""
 
-    def unknown(star: Star, span: Span) -> DataFrame:
-        raise KeyError(f"unknown report {name}")
+    def run(star: Star, span: Span) -> DataFrame:
+        known = resolved(name, span.level)
+        if known is None:
+            raise KeyError(f"unknown report {name}")
+        return REPORTS[known](star, span)
 
-    return REPORTS.get(name, unknown)
+    return run

@@ -51,6 +51,11 @@ class Star:
         self._rows: dict[str, int] = {}
         self._frames: dict[tuple, DataFrame] = {}
 
+    def release(self) -> None:
+        """Forget held frames and row counts, so that the next batch sees dimensions as they then are."""
+        self._frames.clear()
+        self._rows.clear()
+
     def table(self, role: str) -> DataFrame:
         """The whole table of a role."""
         return self.spark.table(self._names.get(role, f"{self._schema}.{role}"))
