@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,11 +20,16 @@ CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
 }
 SCOPES = frozenset("ul ol dl table body html div section article main aside nav footer header form td th".split())
+# What a tag holds up to its end, and the few quoted values in it that hold a "<" themselves: bounded, so that a quote left open
+# never makes the rest of the page part of a tag.
+PLAIN = r"(?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+"
+QUOTED_MARKUP = r"(?:\"[^\"]{0,1000}+\"|'[^']{0,1000}+')"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[^<]+|<", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<rest>" + PLAIN + "(?:" + QUOTED_MARKUP + PLAIN + r"){0,8}+)>|[^<]+|<", re.S
 )
 ATTRIBUTE = re.compile(r"(class|id|role|itemprop|data-main)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+REWRITTEN = "<!--rewritten for training-->"
 GROUPS = {
     name: i for i, names in enumerate((
         ("article",), ("main",), ("nav", "menu"), ("header", "hgroup"), ("footer",), ("aside",), ("form", "fieldset", "button", "input"),
@@ -56,41 +62,47 @@ class Page:
         return len(self.tag) - 1
 
 
-def _attributes(rest: str) -> tuple[frozenset[str], int]:
+def _attributes(rest: str, marked: bool) -> tuple[frozenset[str], int]:
     tokens, main = [], -1
     for name, a, b, c in ATTRIBUTE.findall(rest):
         value = a or b or c
         if name.lower() == "data-main":
-            main = int(value)
+            main = int(value) if marked else -1
             continue
         tokens += [part.lower() for part in PART.findall(value)]
     return frozenset(tokens), main
 
 
 def parse(source: str) -> Page:
-    """The block elements of a page and the runs of text between their boundaries."""
-    page = Page()
+    """The block elements of a page and the runs of text between their boundaries.
+
+    Only a rewritten training page, which begins with ``REWRITTEN``, says by ``data-main`` what is main; given pages use that name
+    for ends of their own. Up to eight quoted values of a tag may hold a ``<`` (1,000 characters each), so a quote left open costs no more than that.
+    """
+    page, marked = Page(), source.startswith(REWRITTEN)
     root = page.add(-1, "body")
     stack: list[tuple[str, int]] = [("body", root)]  # inline elements have no node of their own
+    blocks = [root]  # the nodes among them
+    opened: Counter[str] = Counter()  # open elements by tag, so that a tag that is not open needs no search
     run: list[str] = []
     links = 0
-    linked = 0  # open links
 
     def flush() -> None:
         nonlocal links
         if run:
             text = " ".join(html.unescape("".join(run)).split())
             if text:
-                at = page.add(next(n for _, n in reversed(stack) if n >= 0), "#text")
+                at = page.add(blocks[-1], "#text")
                 page.text[at], page.link[at] = text, min(links, len(text))
             run.clear()
         links = 0
 
     def close(to: int) -> None:
-        nonlocal linked
-        if any(n >= 0 for _, n in stack[to:]):
+        gone = sum(n >= 0 for _, n in stack[to:])
+        if gone:
             flush()
-        linked -= sum(t == "a" for t, _ in stack[to:])
+            del blocks[-gone:]
+        opened.subtract(t for t, _ in stack[to:])
         del stack[to:]
 
     pos, size = 0, len(source)
@@ -101,25 +113,21 @@ def parse(source: str) -> Page:
         if tag is None:
             if source[match.start()] != "<" or match.end() - match.start() == 1:
                 run.append(match[0])
-                if linked:
+                if opened["a"]:
                     links += len(match[0].strip())
             continue
         tag = tag.lower()
         if match["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-            else:
-                if tag not in INLINE:
-                    flush()
+            if opened[tag] > 0:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag))
+            elif tag not in INLINE:
+                flush()
             continue
         if tag in SKIPPED:
             if not match["rest"].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, pos)
-                if tag == "head" and not end:  # an unclosed head ends at the body
-                    end = re.compile(r"<body\b[^>]*>", re.I).search(source, pos)
-                pos = end.end() if end else size
+                end = re.compile(rf"</{re.escape(tag)}\b[^<>]*>", re.I).search(source, pos)
+                body = re.compile(r"<body\b", re.I).search(source, pos) if tag == "head" and not end else None
+                pos = end.end() if end else body.start() if body else size  # an unclosed head ends at the body
             continue
         if tag in ("html", "body"):
             continue
@@ -128,10 +136,10 @@ def parse(source: str) -> Page:
                 run.append(" ")
             if tag not in VOID and not match["rest"].rstrip().endswith("/"):
                 stack.append((tag, -1))
-                linked += tag == "a"
+                opened[tag] += 1
             continue
         closing = CLOSES.get(tag, ("p",) if tag not in VOID or tag == "hr" else ())
-        for i in range(len(stack) - 1, 0, -1):
+        for i in range(len(stack) - 1, 0, -1) if any(opened[t] > 0 for t in closing) else ():
             if stack[i][0] in closing:
                 close(i)
                 break
@@ -139,8 +147,10 @@ def parse(source: str) -> Page:
                 break
         flush()
         if tag not in VOID:
-            tokens, main = _attributes(match["rest"]) if match["rest"] else (frozenset(), -1)
-            stack.append((tag, page.add(next(n for _, n in reversed(stack) if n >= 0), tag, tokens, main)))
+            tokens, main = _attributes(match["rest"], marked) if match["rest"] else (frozenset(), -1)
+            blocks.append(page.add(blocks[-1], tag, tokens, main))
+            stack.append((tag, blocks[-1]))
+            opened[tag] += 1
     flush()
     return page
 

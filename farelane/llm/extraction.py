@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelane.llm.boosting import Forest, boost
-from farelane.llm.dom import Page, node_features, parse
+from farelane.llm.dom import REWRITTEN, Page, node_features, parse
 
 BATCH_PAGES = 256
+SAMPLE_CHARS = 200_000  # of a page that the trees learn from, so that the sample is bounded in bytes too
 TOKENS = 256  # attribute tokens with a column, the most frequent ones of the training pages
 Batches = Iterator[pa.RecordBatch]
 
@@ -108,7 +109,7 @@ def rewritten(rng: random.Random, paragraphs: list[str], texts: list[str]) -> st
         body = f'<div class="{rng.choice(WRAPPERS)}">{body}{_boilerplate(rng, "sidebar", texts)}</div>'
     parts = [_boilerplate(rng, k, texts) for k in before if rng.random() < 0.5]
     parts += [body] + [_boilerplate(rng, k, texts) for k in after if rng.random() < 0.5]
-    return f"<html><head><title>x</title></head><body>{''.join(parts)}</body></html>"
+    return f"{REWRITTEN}<html><head><title>x</title></head><body>{''.join(parts)}</body></html>"
 
 
 def labels(page: Page) -> np.ndarray:
@@ -214,10 +215,11 @@ def _extracting(extractor: Extractor) -> Callable[[Batches], Batches]:
 
 
 def main_texts(pages: DataFrame, sample_pages: int = 200) -> DataFrame:
-    """``page_id, url, text, n_chars`` of every row; the trees learn from at most ``sample_pages`` pages."""
+    """``page_id, url, text, n_chars`` of every row; the trees learn from at most ``sample_pages`` pages of up to ``SAMPLE_CHARS``."""
     rows = pages.select("page_id", "url", "html")
-    ids = rows.filter("html IS NOT NULL AND page_id IS NOT NULL").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
-    sample = rows.join(F.broadcast(ids), "page_id", "left_semi").filter("html IS NOT NULL").orderBy("page_id", "html").select("html").limit(sample_pages)
+    fit = rows.filter(F.length("html") <= SAMPLE_CHARS)
+    ids = fit.filter("page_id IS NOT NULL").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
+    sample = fit.join(F.broadcast(ids), "page_id", "left_semi").orderBy("page_id", "html").select("html").limit(sample_pages)
     extractor = train([r["html"] for r in sample.collect()])
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:2])
     return rows.mapInArrow(_extracting(extractor), f"{kinds}, text string, n_chars long")

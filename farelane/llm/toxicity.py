@@ -6,7 +6,8 @@ predictions, so that later models learn how good the earlier ones are on unseen
 label two categories: ``low_quality`` (quality 0) comes first, ``toxic`` second.
 
 The models are fitted on at most ``sample_rows`` labelled documents, the first in the order of a hash of their ids;
-everything else covers all documents and whole texts.
+everything else covers all documents and whole texts. The features of each model are counted, scored and ranked in Spark; the
+driver gets the chosen ones and, for each document of the sample, which of them it has.
 
 Defined cases: null and empty texts have no words and get the base rates; labels that are null or have no
 document are not used, and of several labels of a document the greatest counts; if a category has no example or only
@@ -22,8 +23,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.llm.common import sent_if_small, stored
@@ -31,6 +33,7 @@ from farelane.llm.common import sent_if_small, stored
 CELLS = 1 << 20  # of hashed features
 BEGINNINGS = (4, 5, 6)  # letters
 KEPT_FEATURES = 300  # of each model
+LEAST_SCORE = 2
 FOLDS = 5
 RIDGE = 0.5
 CACHED_WORDS = 300_000
@@ -95,21 +98,35 @@ def _logit(p: np.ndarray) -> np.ndarray:
     return np.log(np.clip(p, 1e-4, 1 - 1e-4) / np.clip(1 - p, 1e-4, 1 - 1e-4))
 
 
-def fit(rows: Rows, earlier: np.ndarray, y: np.ndarray, use: np.ndarray) -> Linear:
-    """Fit on the rows ``use``: the cells that tell the classes apart best, then Newton steps with a ridge."""
+def feature_scores(positive: np.ndarray, negative: np.ndarray, n_positive: int, n_negative: int) -> np.ndarray:
+    """How well cells tell the classes apart, from the numbers of documents that have them."""
+    total, p, q = n_positive + n_negative, positive / max(n_positive, 1), negative / max(n_negative, 1)
+    spread = np.sqrt((p * (1 - p) + 1 / total) / max(n_positive, 1) + (q * (1 - q) + 1 / total) / max(n_negative, 1))
+    score = np.abs(p - q) / spread
+    score[(positive == 0) & (negative == 0)] = 0
+    return score
+
+
+def best_cells(cells: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """The cells that a model keeps, in order of their numbers; of equal scores the smaller cells."""
+    order = np.lexsort((cells, -score))[:KEPT_FEATURES]
+    return np.sort(cells[order[score[order] > LEAST_SCORE]])
+
+
+def choose(rows: Rows, y: np.ndarray, use: np.ndarray) -> np.ndarray:
+    """``best_cells`` of the rows ``use``."""
+    own = use[rows.row]
+    positive, negative = (np.bincount(rows.flat[own & (y[rows.row] == v)], minlength=CELLS) for v in (1, 0))
+    return best_cells(np.arange(CELLS), feature_scores(positive, negative, int(y[use].sum()), int((1 - y[use]).sum())))
+
+
+def fit(rows: Rows, earlier: np.ndarray, y: np.ndarray, use: np.ndarray, cells: np.ndarray) -> Linear:
+    """Fit on the rows ``use`` over the chosen cells: Newton steps with a ridge."""
     positive, total = int(y[use].sum()), int(use.sum())
     rate = (positive + 0.5) / (total + 1)
     none = Linear(np.empty(0, np.int64), np.empty(0), np.zeros(earlier.shape[1]), float(_logit(np.array(rate))))
     if positive == 0 or positive == total:
         return none
-    own = use[rows.row]
-    seen_pos = np.bincount(rows.flat[own & (y[rows.row] == 1)], minlength=CELLS) / positive
-    seen_neg = np.bincount(rows.flat[own & (y[rows.row] == 0)], minlength=CELLS) / (total - positive)
-    spread = np.sqrt((seen_pos * (1 - seen_pos) + 1 / total) / positive + (seen_neg * (1 - seen_neg) + 1 / total) / (total - positive))
-    score = np.abs(seen_pos - seen_neg) / spread
-    score[(seen_pos == 0) & (seen_neg == 0)] = 0
-    cells = np.argsort(-score, kind="stable")[:KEPT_FEATURES]
-    cells = np.sort(cells[score[cells] > 2])
     x = np.hstack([rows.matrix(cells)[use], earlier[use], np.ones((total, 1))])
     target, w = y[use].astype(np.float64), np.zeros(x.shape[1])
     w[-1] = none.bias
@@ -132,18 +149,24 @@ def predict(model: Linear, rows: Rows, earlier: np.ndarray) -> np.ndarray:
     return _sigmoid(rows.matrix(model.cells) @ model.weights + earlier @ model.chained + model.bias)
 
 
-def fit_chain(documents: list[np.ndarray], folds: np.ndarray, labels: np.ndarray) -> tuple[list[Linear], list[float], np.ndarray]:
-    """Models, thresholds and out-of-fold probabilities; ``labels`` has a column for each category."""
+def fit_chain(
+    documents: list[np.ndarray], folds: np.ndarray, labels: np.ndarray, chosen: dict[tuple[int, int], np.ndarray] | None = None
+) -> tuple[list[Linear], list[float], np.ndarray]:
+    """Models, thresholds and out-of-fold probabilities; ``labels`` has a column for each category.
+
+    ``chosen`` has the cells of each (category, fold left out or -1); without it they are chosen from the documents.
+    """
     rows, models, thresholds = Rows(documents), [], []
     unseen = np.zeros(labels.shape, np.float64)
     everything = np.ones(len(documents), bool)
     for c in range(labels.shape[1]):
         earlier, y = _logit(unseen[:, :c]), labels[:, c]
+        picked = lambda out, use: choose(rows, y, use) if chosen is None else chosen.get((c, out), np.empty(0, np.int64))  # noqa: E731, B023
         for fold in range(FOLDS):
             out = folds == fold
             if out.any() and (~out).any():
-                unseen[out, c] = predict(fit(rows, earlier, y, ~out), rows, earlier)[out]
-        models.append(fit(rows, earlier, y, everything) if len(y) else Linear(np.empty(0, np.int64), np.empty(0), np.zeros(c), 0.0))
+                unseen[out, c] = predict(fit(rows, earlier, y, ~out, picked(fold, ~out)), rows, earlier)[out]
+        models.append(fit(rows, earlier, y, everything, picked(-1, everything)) if len(y) else Linear(np.empty(0, np.int64), np.empty(0), np.zeros(c), 0.0))
         thresholds.append(best_threshold(unseen[:, c], y))
     return models, thresholds, unseen
 
@@ -181,13 +204,64 @@ def training_rows(documents: DataFrame, labels: DataFrame, sample_rows: int) ->
     return texts.mapInArrow(run, "doc_id long, low_quality int, toxic int, cells array<int>, fold int")
 
 
+def chosen_cells(sample: DataFrame) -> dict[tuple[int, int], np.ndarray]:
+    """Cells of each (category, fold left out or -1): counted, scored and ranked in Spark, so that only they reach the driver."""
+    kinds = 1 << len(CATEGORIES)
+    group = F.col("fold") * kinds + sum((F.col(c) * (1 << i) for i, c in enumerate(CATEGORIES)), F.lit(0))
+    grouped = sample.select(group.alias("g"), "cells")
+    held = np.zeros(FOLDS * kinds, np.int64)
+    for r in grouped.groupBy("g").count().collect():
+        held[r["g"]] = r["count"]
+    fold, kind = np.arange(FOLDS * kinds) // kinds, np.arange(FOLDS * kinds) % kinds
+    cases = []  # category, fold left out, groups of the examples and of the others
+    for c in range(len(CATEGORIES)):
+        for out in (-1, *range(FOLDS)):
+            use, yes = fold != out, (kind >> c) & 1 == 1
+            if held[use & yes].sum() and held[use & ~yes].sum():
+                cases.append((c, out, use & yes, use & ~yes))
+
+    def score(batches: Batches) -> Batches:
+        for batch in batches:
+            cells = batch.column("cell").to_numpy()
+            counts = np.stack([batch.column(f"g{g}").to_numpy() for g in range(len(held))], axis=1)
+            for at, (_, _, yes, no) in enumerate(cases):
+                values = feature_scores(counts[:, yes].sum(axis=1), counts[:, no].sum(axis=1), int(held[yes].sum()), int(held[no].sum()))
+                keep = values > LEAST_SCORE
+                yield pa.record_batch({"model": pa.array(np.full(keep.sum(), at, np.int32)), "cell": pa.array(cells[keep]), "score": pa.array(values[keep])})
+
+    if not cases:
+        return {}
+    counts = grouped.select("g", F.explode("cells").alias("cell")).groupBy("cell").agg(
+        *[F.count(F.when(F.col("g") == g, 1)).alias(f"g{g}") for g in range(len(held))]
+    )
+    rank = F.row_number().over(Window.partitionBy("model").orderBy(F.desc("score"), "cell"))
+    best = counts.mapInArrow(score, "model int, cell int, score double").withColumn("rank", rank).filter(F.col("rank") <= KEPT_FEATURES)
+    found: dict[tuple[int, int], list[int]] = {}
+    for r in best.select("model", "cell").collect():
+        found.setdefault(cases[r.model][:2], []).append(r.cell)
+    return {k: np.sort(np.array(v, np.int64)) for k, v in found.items()}
+
+
 def train(documents: DataFrame, labels: DataFrame, sample_rows: int) -> tuple[list[Linear], list[float], np.ndarray]:
-    """The chain, fitted on the driver from the bounded sample."""
-    sample = training_rows(documents, labels, sample_rows).toArrow().sort_by([("doc_id", "ascending"), ("fold", "ascending")])
-    cells = sample["cells"].combine_chunks() if sample.num_rows else pa.array([], pa.list_(pa.int32()))
+    """The chain, fitted on the driver from the bounded sample; of its documents only the chosen cells are sent there."""
+    sample = stored(training_rows(documents, labels, sample_rows), "training_rows")
+    chosen = chosen_cells(sample)
+    wanted = np.unique(np.concatenate([*chosen.values(), np.empty(0, np.int64)])).astype(np.int32)
+
+    def cut(batches: Batches) -> Batches:
+        for batch in batches:
+            cells = batch.column("cells")
+            keep = np.isin(cells.flatten().to_numpy(), wanted)
+            ends = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], np.cumsum(pc.list_value_length(cells).to_numpy())])]
+            short = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), cells.flatten().filter(pa.array(keep)))
+            yield pa.record_batch([short if f == "cells" else batch.column(f) for f in batch.schema.names], batch.schema.names)
+
+    schema = "doc_id long, low_quality int, toxic int, cells array<int>, fold int"
+    rows = sample.mapInArrow(cut, schema).toArrow().sort_by([("doc_id", "ascending"), ("fold", "ascending")])
+    cells = rows["cells"].combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.int32()))
     documents_ = [np.asarray(c.values) for c in cells]
-    y = np.stack([sample[c].to_numpy() for c in CATEGORIES], axis=1) if sample.num_rows else np.zeros((0, len(CATEGORIES)), int)
-    return fit_chain(documents_, sample["fold"].to_numpy() if sample.num_rows else np.zeros(0, int), y)
+    y = np.stack([rows[c].to_numpy() for c in CATEGORIES], axis=1) if rows.num_rows else np.zeros((0, len(CATEGORIES)), int)
+    return fit_chain(documents_, rows["fold"].to_numpy() if rows.num_rows else np.zeros(0, int), y, chosen)
 
 
 def _scorer(models: list[Linear]) -> Callable[[Batches], Batches]:

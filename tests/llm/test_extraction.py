@@ -99,3 +99,29 @@ def test_frames(frame, pages):
         assert by[i, u].text == truth(p) and by[i, u].n_chars == len(truth(p))
     assert by[100, None].text == "" and by[101, "u"].n_chars == 0 and by[3, "again"].text == truth(pages[3])
     assert main_texts(frame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_pages_that_use_the_markers_name(frame):
+    from farelane.llm.dom import parse
+
+    for value in ("x", "", "1", "js/app", "0"):
+        page = parse(f'<article data-main="{value}"><p>text</p></article>')
+        assert set(page.main) == {-1} and "text" in page.text
+
+
+def test_hostile_quotes_take_linear_time():
+    import time
+
+    from farelane.llm.dom import parse
+
+    began = time.perf_counter()
+    for source in ('<a "' * 250_000, "<a '" * 250_000, '<a "\'' * 200_000, '<p title="' + "x" * 1_000_000, '<a ""' * 200_000 + ">", "<" * 1_000_000, '<a "<b ""' * 100_000, "<b>" * 60_000 + "<p>x</p>" * 60_000, "<!" * 300_000, "<div>" * 60_000 + "</p>" * 60_000):
+        parse(source)
+    assert time.perf_counter() - began < 30
+
+
+def test_quoted_values_may_hold_markup():
+    from farelane.llm.dom import parse
+
+    for source in ('<div title="a > b" class="x"><p>text</p></div>', "<div onclick='f(\"<b>\")'><p>text</p></div>", '<div data-x="<p>no</p>"><p>text</p></div>'):
+        assert [t for t in parse(source).text if t] == ["text"]
