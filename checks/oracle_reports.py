@@ -215,13 +215,13 @@ def txn_revenue(level: str, by: str) -> str:
     return with_roles("txn", branch(VEHICLE_CASE, labels.BY_VEHICLE, ", vehicle_type") + " UNION ALL " + branch("'ETC'", labels.BY_CHANNEL, ""))
 
 
-def detail_revenue(by: str) -> str:
+def detail_revenue(by: str, level: str = "day") -> str:
     keys = {"plaza": "s.cycle_name AS route, s.checkout_toll_name AS plaza_name", "route": "s.cycle_name AS route"}[by]
     priced = "JOIN price p ON d.price_id = p.price_id JOIN vehicle_class c ON c.code = p.vehicle_type"
 
     def branch(vehicle: str, kind: str, joins: str) -> str:
         return f"""
-        SELECT {labelled('day')}, {keys}, {vehicle} AS vehicle_transaction_type, v.c_mktsegment AS revenue_group,
+        SELECT {labelled(level)}, {keys}, {vehicle} AS vehicle_transaction_type, v.c_mktsegment AS revenue_group,
                COUNT(DISTINCT d.transport_trans_id) AS transaction_count, {total('d.price_amount', 'gross_revenue')},
                {nulls('discount_amount')}, {NO_TAX}, '{kind}' AS type, {PUBLIC}
         FROM detail d JOIN stage_closed s ON d.stage_id = s.stage_id JOIN orders o ON o.o_orderkey = d.transport_trans_id
@@ -310,10 +310,10 @@ def adjusted(kind: str, condition: str) -> str:
          ON f.fromtollid = s.checkin_toll_id AND f.totollid = s.checkout_toll_id WHERE {condition} GROUP BY ALL"""
 
 
-def failed(by_plaza: bool, ticket: str) -> str:
+def failed(by_plaza: bool, ticket: str, level: str = "day") -> str:
     plaza = "s.checkout_toll_name AS toll_name," if by_plaza else ""
     return with_roles("detail txn_all stage_closed price vehicle_class", f"""
-        SELECT {', '.join(f'{e} AS {n}' for n, e in label('day', 'd.local_day').items())}, s.cycle_name, {plaza}
+        SELECT {', '.join(f'{e} AS {n}' for n, e in label(level, 'd.local_day').items())}, s.cycle_name, {plaza}
                c.name AS vehicle_type, p.{ticket}, COUNT(DISTINCT d.transport_trans_id) AS quantity, {total('d.price_amount', 'amount')}
         FROM detail d JOIN txn_all t ON d.transport_trans_id = t.transport_trans_id JOIN stage_closed s ON d.stage_id = s.stage_id
         JOIN price p ON d.price_id = p.price_id JOIN vehicle_class c ON c.code = p.vehicle_type
@@ -363,6 +363,13 @@ def report_sql() -> dict[str, str]:
         for by in ("lane", "plaza", "route"):
             out[f"{by}_revenue_{level}"] = txn_revenue(level, by)
         out[f"plaza_route_share_{level}"] = share_period(level)
+    out["transaction_summary_one_month"] = f"SELECT * FROM ({out['transaction_summary_month']}) WHERE month_id = '1997-06'"
+    out["plaza_route_share_one_month"] = f"SELECT * FROM ({out['plaza_route_share_month']}) WHERE month_id = '1997-06'"
+    for level in ("day", "month", "year"):
+        out[f"route_revenue_rollup_{level}"] = detail_revenue("route", level)
+    out["second_fact_reach"] = with_roles("detail txn_all", """
+        SELECT COUNT(*) AS pairs, max(date_diff('day', t.local_day, d.local_day)) AS days_before, max(date_diff('day', d.local_day, t.local_day)) AS days_after
+        FROM detail d JOIN txn_all t ON d.transport_trans_id = t.transport_trans_id""")
     out["plaza_traffic"] = with_roles("detail txn_all stage", f"""
         SELECT date, plaza_name, vehicle_type_profile, n AS data_a_tickets_sold, revenue AS data_a_revenue, n AS data_a_traffic,
                CAST(0 AS BIGINT) AS data_b_tickets_sold, CAST(0 AS DOUBLE) AS data_b_revenue, CAST(0 AS BIGINT) AS data_b_traffic,
@@ -418,6 +425,7 @@ def report_sql() -> dict[str, str]:
     out["failed_charge_route_detail"] = failed(False, "price_type")
     out["failed_charge_plaza"] = failed(True, "price_ticket_type")
     out["failed_charge_plaza_detail"] = failed(True, "price_type")
+    out["failed_charge_plaza_one_month"] = f"SELECT * FROM ({failed(True, 'price_type', 'month')}) WHERE month_id = '1997-06'"
     out["suspicious_summary"] = with_roles("txn", f"""
         SELECT checkout_datetime AS date, checkout_toll_name AS toll_id, toll_type, checkin_lane_name AS entry_lane_id,
                checkout_lane_name AS exit_lane_id, charge_status AS transaction_type_id, boo AS boo_id, COUNT(*) AS quantity,

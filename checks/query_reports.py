@@ -13,9 +13,11 @@ from pyspark.sql import types as T
 from farelane.functions import labels
 from farelane.functions.calendar import Span
 from farelane.operators import load
-from farelane.plans import charges, operators_compared, reconcile, revenue, share, statistics, summary, traffic
+from farelane.operators.partitions import read_partitioned
+from farelane.plans import charges, operators_compared, reconcile, revenue, rollup, share, statistics, summary, traffic
 from farelane.session import scratch_path
 from farelane.sources.roles import DerivedStar
+from farelane.sources.star import reach_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
 FROM_DAY, TO_DAY = "1995-01-01", "2001-12-31"
@@ -106,6 +108,12 @@ def report_queries() -> dict[str, Query]:
         "vehicle_violations": report(statistics.vehicle_violations),
         "backfill_daily": backfill_daily,
     }
+    out["transaction_summary_one_month"] = one_month(summary.transaction_summary_by_lane)
+    out["plaza_route_share_one_month"] = one_month(share.plaza_route_share)
+    out["failed_charge_plaza_one_month"] = one_month(charges.failed_charges, by_plaza=True, ticket="price_type")
+    out["second_fact_reach"] = second_fact_reach
+    for level in ("day", "month", "year"):
+        out[f"route_revenue_rollup_{level}"] = revenue_rollup(level)
     for level in ("month", "quarter", "year"):
         for by in revenue.LEVEL_KEYS:
             out[f"{by}_revenue_{level}"] = _revenue(level, by)
@@ -113,6 +121,31 @@ def report_queries() -> dict[str, Query]:
     return out
 
 
+MONTH = Span.containing("month", "1997-06-15")
+
+
+def one_month(plan: Callable[..., DataFrame], **options) -> Query:
+    """A report of a single month, as it is run every month."""
+    return lambda spark, sf_dir: plan(star(spark, sf_dir), MONTH, **options)
+
+
+def second_fact_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many days lie between the details and their transactions."""
+    return reach_profile(star(spark, sf_dir), "detail", "txn")
+
+
+def revenue_rollup(level: str) -> Query:
+    """Route revenue from daily sets: all days made, June 1997 made again, then merged to longer periods."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, held = scratch_path(spark, "daily-sets"), star(spark, sf_dir)
+        rollup.refresh_route_revenue(held, whole("day"), path)
+        rollup.refresh_route_revenue(held, Span.backfill("day", "1997-06-01", "1997-06-30"), path)
+        return rollup.route_revenue(read_partitioned(spark, path), whole(level))
+
+    return query
+
+
 def _revenue(level: str, by: str) -> Query:
     return lambda spark, sf_dir: revenue.transaction_revenue(star(spark, sf_dir), whole(level), by)
 

@@ -7,7 +7,7 @@ from datetime import date
 from urllib.parse import unquote
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from farelane.operators.load import MART_PARTITIONS, normalize_partitions, period_condition
 
@@ -92,11 +92,12 @@ def _partition_values(folder: Folder, column: str) -> dict[str, str]:
     return {unquote(n[len(prefix) :]): n for n in folder.names() if n.startswith(prefix)}
 
 
-def replace_period_partitions(new: DataFrame, path: str, column: str, condition: str | None, day: str | date) -> Replaced:
+def replace_period_partitions(new: DataFrame, path: str, column: str, condition: str | Column | None, day: str | date) -> Replaced:
     """Replace one period of a Parquet target partitioned by its period column, and touch nothing else.
 
     The period's partitions go, whether the new rows have any for them or not, so an empty re-run leaves no stale rows.
-    New rows of other periods are added beside what stands there. Without a condition new rows are only added. The new rows
+    ``condition`` is a period kind, or a predicate on the partition column
+    (as text). New rows of other periods are added beside what stands there. Without a condition new rows are only added. The new rows
     are complete beside the target before any folder is moved. Only folder names reach the driver.
     """
     spark = new.sparkSession
@@ -104,9 +105,10 @@ def replace_period_partitions(new: DataFrame, path: str, column: str, condition:
     new.hint("rebalance", column).write.partitionBy(column).parquet(staged.path)
     there, fresh = _partition_values(target, column), _partition_values(staged, column)
     doomed: set[str] = set()
-    if condition not in (None, "", "none") and there:
+    by_rule = isinstance(condition, Column)
+    if (by_rule or condition not in (None, "", "none")) and there:
         names = spark.createDataFrame([(v,) for v in there], f"`{column}` string")
-        doomed = {r[0] for r in names.filter(period_condition(column, condition, day)).collect()}
+        doomed = {r[0] for r in names.filter(condition if by_rule else period_condition(column, condition, day)).collect()}
     for value, name in fresh.items():
         if value in there and value not in doomed:
             staged.child(name).pour_into(target.child(there[value]))

@@ -22,7 +22,7 @@ def failed_charges(star: Star, span: Span, by_plaza: bool, ticket: str) -> DataF
     """
     wanted = ["transport_trans_id", "stage_id", "price_id", "price_type", "price_amount"]
     detail = by_period(star.fact("detail", span, wanted).filter(F.col("price_type") == "L"), span)
-    failed = star.fact("txn", columns=["transport_trans_id", "charge_in_status"]).filter(
+    failed = star.partner("txn", "detail", span, ["transport_trans_id", "charge_in_status"]).filter(
         F.col("charge_in_status").isin(labels.CANCELLED, labels.FAILED)
     ).select("transport_trans_id")
     stage = star.stages().select("stage_id", "cycle_name", F.col("checkout_toll_name").alias("toll_name"))
@@ -39,7 +39,10 @@ def failed_charges(star: Star, span: Span, by_plaza: bool, ticket: str) -> DataF
     )
 
 
-def _between(rows: DataFrame, column: str, from_day: date, to_day: date) -> DataFrame:
+def _between(star: Star, role: str, columns: list[str], column: str, from_day: date, to_day: date) -> DataFrame:
+    """Rows of a fact with an event time between two dates, from the partitions that can hold them."""
+    wide = star.window(role, from_day, to_day)
+    rows = star.fact(role, wide, columns).drop("local_day") if wide else star.fact(role, columns=columns)
     low, high = datetime.combine(from_day, time.min), datetime.combine(to_day, time.min)
     return rows.filter(F.col(column).between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")))
 
@@ -50,11 +53,13 @@ def vehicle_transactions(star: Star, from_day: date, to_day: date, cycle_name: s
         "transport_trans_id", "checkin_datetime", "checkout_datetime", "plate", "etag_number", "vehicle_type",
         "charge_status", "total_amount", "checkin_lane_id", "checkout_lane_id",
     ]
-    txn = _between(star.fact("txn", columns=wanted), "checkout_datetime", from_day, to_day)
+    txn = _between(star, "txn", wanted, "checkout_datetime", from_day, to_day)
     stage = star.stages()
     if cycle_name is not None:
         stage = stage.filter(F.col("cycle_name") == cycle_name)
-    detail = star.fact("detail", columns=["transport_trans_id", "stage_id", "price_type", "price_ticket_type", "price_amount"])
+    days = star.window("txn", from_day, to_day)
+    ticket = ["transport_trans_id", "stage_id", "price_type", "price_ticket_type", "price_amount"]
+    detail = star.partner("detail", "txn", days, ticket) if days else star.fact("detail", columns=ticket)
     return detail.join(txn, "transport_trans_id").join(stage, "stage_id").select(
         F.date_format("checkout_datetime", "yyyyMMddHH").cast("bigint").alias("datetime_id"),
         "transport_trans_id", "checkin_datetime", "checkout_datetime", "plate", "etag_number", "vehicle_type",
@@ -80,7 +85,7 @@ def vehicle_transaction_report(star: Star, from_day: date, to_day: date, cycle_n
         stage = stage.filter(F.col("cycle_name") == cycle_name)
     wanted = ["transport_trans_id", "stage_id", "price_type", "price_ticket_type", "checkin_datetime"]
     return (
-        _between(star.fact("detail", columns=wanted), "checkin_datetime", from_day, to_day)
+        _between(star, "detail", wanted, "checkin_datetime", from_day, to_day)
         .join(stage, "stage_id")
         .groupBy("price_type", "price_ticket_type", "checkin_toll_name", "checkout_toll_name", "stage_name")
         .agg(F.count_distinct("transport_trans_id").alias("quantity"))

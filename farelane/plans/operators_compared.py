@@ -60,7 +60,7 @@ def operator_revenue_adjusted(star: Star, span: Span) -> DataFrame:
     before it meets the fact. All three are reduced per transaction and plaza pair
     before the names are joined.
     """
-    charged = star.fact("charge", columns=["transporttransactionid"]).distinct().withColumn("charged", F.lit(True))
+    charged = star.partner("charge", "before", span, ["transporttransactionid"], "transporttransactionid").distinct().withColumn("charged", F.lit(True))
     key = ["period", "fromtollid", "totollid", "tickettype", "prioritytype", "transporttransactionid"]
     columns = [*key[1:], "paidamount"]
 

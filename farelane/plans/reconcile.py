@@ -52,7 +52,7 @@ def reconcile_front_back(star: Star, span: Span) -> DataFrame:
     """Transactions against their mediation record, joined on the transaction id."""
     wanted = ["transport_trans_id", "checkout_toll_name", "etag_number", "plate", "total_amount"]
     txn = by_period(star.fact("txn", span, wanted), span)
-    record = star.fact("mediation").select("transport_trans_id", F.col("plate").alias("mediation_plate"), "price")
+    record = star.partner("mediation", "txn", span, ["transport_trans_id", "plate", "price"]).withColumnRenamed("plate", "mediation_plate")
     return txn.join(record, "transport_trans_id").select(
         F.col("transport_trans_id").alias("transaction_code"), *span.labels(),
         route_of(F.col("checkout_toll_name")).alias("route"), F.col("checkout_toll_name").alias("plaza_name"),
@@ -97,7 +97,9 @@ def surcharge_list(star: Star, span: Span) -> DataFrame:
         "transport_trans_id", "checkout_datetime", "checkout_toll_id", "checkout_channel", "plate", "vehicle_type", "total_amount"
     ]
     txn = by_period(star.fact("txn", span, wanted), span)
-    violation = star.fact("violation").filter(F.col("status") == labels.TO_BE_COLLECTED).select(
+    violation = star.partner("violation", "txn", span, ["transport_trans_id", "vehicle_type", "price_amount", "status"]).filter(
+        F.col("status") == labels.TO_BE_COLLECTED
+    ).select(
         "transport_trans_id", F.col("vehicle_type").alias("reconciled_vehicle_type"),
         F.col("price_amount").alias("reconciled_collected_amount"),
     )

@@ -45,7 +45,7 @@ def transaction_revenue(star: Star, span: Span, level: str) -> DataFrame:
     totals = rows.groupBy("period", *LEVEL_KEYS[level], "revenue_group", "vehicle_transaction_type", "type", code.alias("code")).agg(
         F.sum("n").alias("transaction_count"), amount(F.col("gross"), "gross_revenue"), amount(F.col("discount"), "discount_amount")
     )
-    return _published(totals, span, LEVEL_KEYS[level], F.col("discount_amount"))
+    return published(totals, span, LEVEL_KEYS[level], F.col("discount_amount"))
 
 
 def detail_revenue(star: Star, span: Span, level: str) -> DataFrame:
@@ -55,26 +55,29 @@ def detail_revenue(star: Star, span: Span, level: str) -> DataFrame:
     do not, those of the plaza report do. The rows are doubled within the scanning task
     and reduced per transaction there before anything is shuffled.
     """
+    keys = ["period", *LEVEL_KEYS[level]]
+    totals = (
+        with_vehicle_and_channel_rows(by_period(detail_rows(star, span, level), span), F.col("vehicle_label"))
+        .groupBy(*keys, "revenue_group", "vehicle_transaction_type", "type")
+        .agg(F.count_distinct("transport_trans_id").alias("transaction_count"), amount(F.col("price_amount"), "gross_revenue"))
+    )
+    return published(totals, span, LEVEL_KEYS[level], None)
+
+
+def detail_rows(star: Star, span: Span, level: str) -> DataFrame:
+    """Details of the span with route, plaza, revenue group and vehicle label (NULL only where ``level`` allows it)."""
     columns = ["transport_trans_id", "stage_id", "price_id", "vehicle_id", "price_amount"]
-    detail = by_period(star.fact("detail", span, columns), span)
+    detail = star.fact("detail", span, columns)
     stage = star.stages().select(
         "stage_id", F.col("cycle_name").alias("route"), F.col("checkout_toll_name").alias("plaza_name")
     )
     priced = star.priced_vehicles().select("price_id", "vehicle_label")
-    keys = ["period", *LEVEL_KEYS[level]]
     vehicle = star.small(star.table("vehicle").select("vehicle_id", F.col("vehicle_group").alias("revenue_group")), "vehicle")
-    rows = (
-        detail.join(stage, "stage_id").join(priced, "price_id", "inner" if level == "plaza" else "left").join(vehicle, "vehicle_id")
-    )
-    totals = (
-        with_vehicle_and_channel_rows(rows, F.col("vehicle_label"))
-        .groupBy(*keys, "revenue_group", "vehicle_transaction_type", "type")
-        .agg(F.count_distinct("transport_trans_id").alias("transaction_count"), amount(F.col("price_amount"), "gross_revenue"))
-    )
-    return _published(totals, span, LEVEL_KEYS[level], None)
+    return detail.join(stage, "stage_id").join(priced, "price_id", "inner" if level == "plaza" else "left").join(vehicle, "vehicle_id")
 
 
-def _published(totals: DataFrame, span: Span, keys: tuple[str, ...], discount: Column | None) -> DataFrame:
+def published(totals: DataFrame, span: Span, keys: tuple[str, ...], discount: Column | None) -> DataFrame:
+    """The columns of a revenue report."""
     discounts = null_money("discount_amount") if discount is None else [discount.alias("discount_amount")]
     return totals.select(
         *span.labels(), *keys, "vehicle_transaction_type", "revenue_group", "transaction_count", "gross_revenue",

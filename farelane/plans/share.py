@@ -51,7 +51,7 @@ def plaza_route_share(star: Star, span: Span, subscription_types: tuple[str, ...
     routes, tolls = star.plaza_routes(), star.tolls()
     entry_route = routes.select(F.col("toll_id").alias("checkin_toll_id"), F.col("cycle_name").alias("route"))
     plaza = tolls.select("toll_id", F.col("toll_name").alias("plaza_name"))
-    txn = star.fact("txn", columns=["transport_trans_id", "checkin_toll_id", "checkout_toll_id"])
+    txn = star.partner("txn", "detail", span, ["transport_trans_id", "checkin_toll_id", "checkout_toll_id"])
     single = (
         trips.join(txn, "transport_trans_id")
         .groupBy("period", "checkin_toll_id", "checkout_toll_id").agg(amount(F.col("amount"), "revenue"))
@@ -92,7 +92,7 @@ def split_groups(star: Star, span: Span, place: str | None, with_passes: bool) -
         F.count("*").alias("n_rows"), amount(F.col("price_amount"), "amount")
     )
     exit_plaza = ["checkout_toll_id"] if place else []
-    txn = star.fact("txn", columns=["transport_trans_id", "boo", *exit_plaza]).withColumnsRenamed({"checkout_toll_id": place or ""})
+    txn = star.partner("txn", "detail", span, ["transport_trans_id", "boo", *exit_plaza]).withColumnsRenamed({"checkout_toll_id": place or ""})
     keys = ["period", "boo", "vehicle_type", "price_type", *([place] if place else [])]
     single = trips.join(txn, "transport_trans_id").groupBy(*keys).agg(
         F.sum("n_rows").alias("n_rows"), amount(F.col("amount"), "amount")

@@ -240,7 +240,7 @@ def vehicle_violations(star: Star, span: Span) -> DataFrame:
     txn = by_period(
         star.fact("txn", span, ["transport_trans_id", "plate", "etag_number", "checkout_toll_id", "charge_status", "account_id"]), span
     )
-    violation = star.fact("violation").select("transport_trans_id", F.col("status").alias("violation_status"))
+    violation = star.partner("violation", "txn", span, ["transport_trans_id", "status"]).select("transport_trans_id", F.col("status").alias("violation_status"))
     account = star.small(star.table("account").select("account_id", F.col("account_number").alias("traffic_account")), "account")
     groups = (
         txn.join(violation, "transport_trans_id").join(account, "account_id", "left")

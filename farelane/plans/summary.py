@@ -69,7 +69,7 @@ def transaction_summary_by_price(star: Star, span: Span) -> DataFrame:
 def transaction_summary_by_lane(star: Star, span: Span) -> DataFrame:
     """Transactions joined to all their ticket details, by lane; route from the plaza name.
 
-    Details are first cut to the period's transactions, then counted per transaction and ticket, so a
+    Details are read where they can belong to the period, cut to its transactions, then counted per transaction and ticket, so a
     month does not aggregate the history of the other fact, and a transaction with very many details
     crosses the join as one row per ticket.
     """
@@ -79,7 +79,7 @@ def transaction_summary_by_lane(star: Star, span: Span) -> DataFrame:
     ]
     txn = by_period(star.fact("txn", span, columns), span)
     tickets = (
-        star.fact("detail", columns=["transport_trans_id", "price_ticket_type", "price_type"])
+        star.partner("detail", "txn", span, ["transport_trans_id", "price_ticket_type", "price_type"])
         .join(txn.select("transport_trans_id"), "transport_trans_id", "left_semi")
         .groupBy("transport_trans_id", "price_ticket_type", "price_type").agg(F.count("*").alias("quantity"))
     )

@@ -15,7 +15,7 @@ def plaza_traffic(star: Star, span: Span) -> DataFrame:
     source that is not connected yet (constant zero), with the differences."""
     wanted = ["transport_trans_id", "stage_id", "vehicle_type", "price_type", "price_amount"]
     detail = by_period(star.fact("detail", span, wanted).filter(F.col("price_type") == "L"), span)
-    known = star.fact("txn", columns=["transport_trans_id"])
+    known = star.partner("txn", "detail", span, ["transport_trans_id"])
     stage = star.small(star.table("stage").select("stage_id", F.col("stage_name").alias("plaza_name")), "stage")
     per_stage = (
         detail.join(known, "transport_trans_id").groupBy("period", "stage_id", "vehicle_type")

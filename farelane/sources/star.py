@@ -8,6 +8,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from datetime import date, timedelta
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,14 +39,38 @@ def held(build: Callable) -> Callable:
 BROADCAST_ROWS = 500_000
 
 
+@dataclass(frozen=True)
+class Reach:
+    """Where the partners of a fact's row are partitioned in another fact: local days before and after its own."""
+
+    before: int
+    after: int
+
+    def turned(self) -> Reach:
+        """The same bound seen from the other fact."""
+        return Reach(self.after, self.before)
+
+
 class Star:
     """Facts and dimensions as lazy frames.
 
     ``names`` maps a role to a table name; a role without an entry uses its own
     name below ``schema``. Facts take a span and filter on their partition columns.
+
+    ``reach`` declares how two facts are partitioned relative to each other: for (fact, second fact) the days between rows that
+    share a key. A report of a span then reads only those partitions of its second fact; ``reach_profile`` measures what holds.
+    ``by_key`` names facts whose files keep to ranges of the key (ids that grow with time): of those without a reach a report reads
+    the range of its first fact's keys. Of any other second fact all rows are read, and only Spark's runtime filters cut them before
+    the join. ``slack`` is the days by which a fact's event times may lie away from its partition's day.
     """
 
-    def __init__(self, spark: SparkSession, schema: str = "gold", names: dict[str, str] | None = None):
+    def __init__(
+        self, spark: SparkSession, schema: str = "gold", names: dict[str, str] | None = None,
+        reach: dict[tuple[str, str], Reach] | None = None, slack: dict[str, int] | None = None, by_key: frozenset[str] = frozenset(),
+    ):
+        self._reach = {(b, a): r.turned() for (a, b), r in (reach or {}).items()} | (reach or {})
+        self._slack = slack or {}
+        self._by_key = by_key
         self.spark = spark
         self._schema = schema
         self._names = names or {}
@@ -72,6 +98,30 @@ class Star:
             rows = rows.withColumn("local_day", local_day())
         return _chosen(rows, columns, span)
 
+    def partner_span(self, role: str, of: str, span: Span) -> Span | None:
+        """The days of ``role`` that can hold partners of the span's rows of the fact ``of``; None if not declared."""
+        bound = self._reach.get((of, role))
+        return bound and Span("day", span.first - timedelta(days=bound.before), span.last + timedelta(days=bound.after))
+
+    def partner(self, role: str, of: str, span: Span, columns: list[str], key: str = "transport_trans_id") -> DataFrame:
+        """Rows of a second fact that can belong to the span's rows of the fact ``of``: all that do, and as few others as is known."""
+        wide = self.partner_span(role, of, span)
+        if wide is not None:
+            return self.fact(role, wide, columns).drop("local_day")
+        rows = self.fact(role, columns=columns)
+        if role not in self._by_key:
+            return rows
+        # Two values that Spark finds before it scans the second fact, whose files' statistics then rule most of them out.
+        ends = self.fact(of, span, [key]).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+        return rows.filter(F.col(key).between(ends.select("low").scalar(), ends.select("high").scalar()))
+
+    def window(self, role: str, from_day: date, to_day: date) -> Span | None:
+        """The days of ``role`` that can hold events between two dates, both included; None if not declared."""
+        if role not in self._slack:
+            return None
+        slack = timedelta(days=self._slack[role])
+        return Span("day", from_day - slack, to_day + slack)
+
     def rows(self, role: str) -> int:
         """Row count of a dimension, read once (from file footers)."""
         if role not in self._rows:
@@ -195,6 +245,18 @@ class Star:
         return self.small(self.table("toll").select("toll_id", "toll_name", "toll_type"), "toll")
 
 
+def reach_profile(star: Star, of: str, role: str, key: str = "transport_trans_id") -> DataFrame:
+    """``pairs, days_before, days_after``: the least reach that holds for all rows of two facts that share a key; one row."""
+    first = star.fact(of, columns=[key, "local_day"])
+    second = star.fact(role, columns=[key, "local_day"]).withColumnRenamed("local_day", "partner_day")
+    # Partners of a key are reduced to their first and last day before the facts meet.
+    days = second.groupBy(key).agg(F.min("partner_day").alias("low"), F.max("partner_day").alias("high"), F.count("*").alias("n"))
+    return first.join(days, key).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"), F.max(F.date_diff("local_day", "low")).alias("days_before"),
+        F.max(F.date_diff("high", "local_day")).alias("days_after"),
+    )
+
+
 def _chosen(rows: DataFrame, columns: list[str] | None, span: Span | None) -> DataFrame:
     if columns is None:
         return rows
