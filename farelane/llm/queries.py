@@ -32,7 +32,7 @@ def op3_simhash_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from farelane.llm.linededup import without_repeated_lines
 
     rows = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return without_repeated_lines(rows, percent=80)
+    return without_repeated_lines(rows, percent=80, least_words=1)
 
 
 def op4_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
