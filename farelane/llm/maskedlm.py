@@ -131,32 +131,38 @@ def log_probabilities(weights: Weights, context: np.ndarray, target: np.ndarray)
 def gradients(weights: Weights, context: np.ndarray, target: np.ndarray) -> Weights:
     """Of the mean negative log-probability."""
     n = len(target)
+    order = np.argsort((target // CLASS).astype(np.uint16), kind="stable")  # positions of a class lie together
+    context, kind, member = context[order], target[order] // CLASS, target[order] % CLASS
     x = weights["embed"][context].reshape(n, -1)
     hidden = np.tanh(x @ weights["w"] + weights["b"])
-    kind, member = target // CLASS, target % CLASS
-    out = {k: np.zeros(s, np.float32) for k, s in SHAPES.items() if k in ("ww", "wb", "embed")}
+    out = {"ww": np.zeros(SHAPES["ww"], np.float32), "wb": np.zeros(SHAPES["wb"], np.float32)}
+    places = np.arange(n)
     d = np.exp(_softmax_log(hidden @ weights["cw"] + weights["cb"]))
-    d[np.arange(n), kind] -= 1
+    d[places, kind] -= 1
     d /= n
     out["cw"], out["cb"] = hidden.T @ d, d.sum(axis=0)
     back = d @ weights["cw"].T
-    order = np.argsort(kind, kind="stable")
-    ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        rows = order[ends[c] : ends[c + 1]]
-        if not len(rows):
-            continue
-        e = np.exp(_softmax_log(hidden[rows] @ weights["ww"][c] + weights["wb"][c]))
-        e[np.arange(len(rows)), member[rows]] -= 1
-        e /= n
-        out["ww"][c], out["wb"][c] = hidden[rows].T @ e, e.sum(axis=0)
-        back[rows] += e @ weights["ww"][c].T
+    ends = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    runs = [(c, a, b) for c, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
+    e = weights["wb"][kind]
+    for c, a, b in runs:
+        e[a:b] += hidden[a:b] @ weights["ww"][c]
+    e = np.exp(_softmax_log(e))
+    e[places, member] -= 1
+    e /= n
+    for c, a, b in runs:
+        out["ww"][c] = hidden[a:b].T @ e[a:b]
+        out["wb"][c] = e[a:b].sum(axis=0)
+        back[a:b] += e[a:b] @ weights["ww"][c].T
     back *= 1 - hidden**2
     out["w"], out["b"] = x.T @ back, back.sum(axis=0)
     into = (back @ weights["w"].T).reshape(-1, EMBEDDED)
-    flat = context.ravel()
-    for j in range(EMBEDDED):
-        out["embed"][:, j] = np.bincount(flat, into[:, j], IDS)
+    flat = context.ravel().astype(np.uint16)
+    near = np.argsort(flat, kind="stable")
+    flat = flat[near]
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    out["embed"] = np.zeros(SHAPES["embed"], np.float32)
+    out["embed"][flat[first]] = np.add.reduceat(into[near], first, axis=0)
     return out
 
 
