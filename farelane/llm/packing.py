@@ -23,7 +23,8 @@ from farelane.llm.common import stored
 
 HASHED = 512  # cells of a document's hashed vector
 DIMENSIONS, BITS = 3, 16  # of the curve
-CACHED_WORDS = 600_000
+CACHED_WORDS = 2_000_000  # about 30 bytes each
+PIECE_CHARS = 4_000_000  # texts are hashed together up to this size; a longer one is hashed alone
 END_ID = 0
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 Batches = Iterator[pa.RecordBatch]
@@ -36,12 +37,29 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+_rng = np.random.default_rng(10)
+_BYTE = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD_WHITE = np.zeros(256, bool)  # ASCII white space but blank and line break
+_ODD_WHITE[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
+_BASE = 0x9E3779B97F4A7C15
+_BASE_INVERSE = pow(_BASE, -1, 2**64)
+_START, _BLANK, _BREAK = 0, 0x20, 0x0A  # what stands before a word
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
 class Encoder:
-    """Ids of texts as bytes of 16 or 32 bits each; words are encoded once and remembered.
+    """Ids of texts, 16 or 32 bits each; words are encoded once and remembered.
 
     A byte-level vocabulary splits a text before each blank or line break that stands alone between other
     characters. So a word after a blank, a word that begins a line, and a line break each have ids of their own. Texts with any
     other white space, or with an added token's text, go to the tokenizer whole, as do all texts if the vocabulary is of another kind.
+    All words of a batch, with what stands before them, are hashed at once and looked up in a sorted
+    array of 64-bit hashes, so two words are taken for one with a chance of about 2**-64 a pair.
     """
 
     def __init__(self, path: str):
@@ -53,57 +71,126 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.blank_first = np.zeros(max(vocabulary.values()) + 1, bool)
         self.blank_first[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self.line_break = self._ids("\n").tobytes()
-        self.after_blank: dict[str, bytes] = {}
-        self.line_first: dict[str, bytes] = {"": b""}
-        self.by_words = len(self._ids("\n")) == 1 and self._words(["b", "1", ".,"], " ") == [self._ids(t).tobytes() for t in (" b", " 1", " .,")]
+        self.line_break = self._ids("\n")
+        self.by_words = len(self.line_break) == 1 and all(
+            np.array_equal(x, self._ids(t)) for x, t in zip(self._words(["b", "1", ".,"], " "), (" b", " 1", " .,"), strict=True)
+        )
+        self.up = self.down = np.ones(1, np.uint64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.at, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.held = np.empty(0, self.kind)
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def _words(self, words: list[str], mark: str) -> list[bytes]:
+    def _words(self, words: list[str], mark: str) -> list[np.ndarray]:
         """The ids of many words that each follow a blank, or that each begin a line."""
         if mark == " ":
             ids = self._ids(" " + " ".join(words))
             begin = np.flatnonzero(self.blank_first[ids])
-            end = np.append(begin[1:], len(ids))
         else:
             ids = self._ids("\n".join(words))
-            breaks = np.flatnonzero(ids == np.frombuffer(self.line_break, self.kind)[0])
-            begin, end = np.append(0, breaks + 1), np.append(breaks, len(ids))
+            begin = np.append(0, np.flatnonzero(ids == self.line_break[0]) + 1)
         if len(begin) != len(words):
-            return [self._ids(mark.strip("\n") + w).tobytes() for w in words]
-        raw, size = ids.tobytes(), self.kind.itemsize
-        return [raw[a * size : b * size] for a, b in zip(begin.tolist(), end.tolist())]
-
-    def _learn(self, known: dict[str, bytes], words: set[str], mark: str) -> None:
-        if len(known) > CACHED_WORDS:  # the words at hand stay, so frequent ones do
-            kept = {w: known[w] for w in words if w in known}
-            known.clear()
-            known.update(kept)
-        new = list(words - known.keys())
-        for at in range(0, len(new), 4096):
-            known.update(zip(new[at : at + 4096], self._words(new[at : at + 4096], mark), strict=True))
+            return [self._ids(mark.strip("\n") + w) for w in words]
+        end = np.append(begin[1:] - (mark != " "), len(ids))
+        return [ids[a:b] for a, b in zip(begin.tolist(), end.tolist())]
+
+    def _plain(self, texts: list[str], raw: list[bytes]) -> np.ndarray:
+        """Which texts have no white space but single blanks and line breaks between other characters, and no added token."""
+        fits = np.zeros(len(texts), bool)
+        if not self.by_words:
+            return fits
+        data = np.frombuffer(b"".join(raw), np.uint8)  # every text begins with a blank
+        white = (data == _BLANK) | (data == _BREAK)
+        bad = _ODD_WHITE[data]
+        bad[:-1] |= white[:-1] & white[1:]
+        bad = np.concatenate([[0], np.cumsum(bad)])
+        ends = np.cumsum([len(r) for r in raw])
+        # A trailing one meets the next text's first blank; the very last byte meets nothing.
+        fits = bad[ends] == bad[np.append(0, ends[:-1])]
+        if len(raw[-1]) > 1:
+            fits[-1] &= not white[-1]
+        for i, text in enumerate(texts):
+            if not text:
+                fits[i] = False
+            elif fits[i]:
+                fits[i] = (text.isascii() or " ".join(text.split()) == text.replace("\n", " ")) and not any(t in text for t in self.added)
+        return fits
+
+    def _look_up(self, hashes: np.ndarray, data: bytes, begin: np.ndarray, end: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        """Places in ``known`` of sorted distinct hashes of the words at ``begin``; new ones are encoded and added."""
+        place = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
+        new = np.flatnonzero(self.known[place] != hashes) if len(self.known) else np.arange(len(hashes))
+        if not len(new):
+            return place
+        if len(self.known) + len(new) > CACHED_WORDS and len(self.known):  # the words at hand are learnt again
+            self._forget()
+            new = np.arange(len(hashes))
+        ids: list[np.ndarray] = [self.held[:0]] * len(new)
+        for blank in (True, False):
+            some = np.flatnonzero((mark[new] == _BLANK) == blank)
+            for k in range(0, len(some), 4096):
+                part = some[k : k + 4096]
+                words = [data[a + 1 : b].decode() for a, b in zip(begin[new[part]].tolist(), end[new[part]].tolist())]
+                for i, found in zip(part.tolist(), self._words(words, " " if blank else "\n"), strict=True):
+                    ids[i] = np.append(self.line_break, found) if mark[new[i]] == _BREAK else found
+        size = np.array([len(i) for i in ids], np.int64)
+        at = len(self.held) + np.cumsum(size) - size
+        self.held = np.concatenate([self.held, *ids])
+        order = np.argsort(known := np.concatenate([self.known, hashes[new]]), kind="stable")
+        self.known, self.at, self.size = known[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
+        return np.searchsorted(self.known, hashes)
+
+    def _by_words(self, raw: list[bytes]) -> list[np.ndarray]:
+        """The ids of plain texts, each given with a blank before it."""
+        joined = b"".join(raw)
+        data = np.frombuffer(joined, np.uint8)
+        ends = np.cumsum([len(r) for r in raw])
+        starts = ends - [len(r) for r in raw]
+        begin = np.flatnonzero((data == _BLANK) | (data == _BREAK))
+        end = np.append(begin[1:], len(data))
+        if len(self.up) < len(data):
+            self.up, self.down = _powers(_BASE, len(data)), _powers(_BASE_INVERSE, len(data))
+        value = _BYTE[data] * self.up[: len(data)]
+        value[starts] = _BYTE[_START] * self.up[starts]
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(value, out=sums[1:])
+        hashes = (sums[end] - sums[begin]) * self.down[begin]
+        first_word = np.searchsorted(begin, starts)
+        mark = data[begin].copy()
+        mark[first_word] = _START
+        distinct, example, back = np.unique(hashes, return_index=True, return_inverse=True)
+        place = self._look_up(distinct, joined, begin[example], end[example], mark[example])[back]
+        size = self.size[place]
+        stop = np.cumsum(size)
+        ids = self.held[np.repeat(self.at[place] - (stop - size), size) + np.arange(stop[-1])]
+        bounds = np.append((stop - size)[first_word], stop[-1])
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+    def arrays(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        out: list[np.ndarray] = [self.held[:0]] * len(texts)
+        at = 0
+        while at < len(texts):  # some at a time, so that the work arrays stay small
+            raw, to, held = [], at, 0
+            while to < len(texts) and (to == at or held + len(texts[to]) <= PIECE_CHARS):
+                raw.append(b" " + texts[to].encode())
+                held += len(texts[to])
+                to += 1
+            plain = np.flatnonzero(self._plain(texts[at:to], raw))
+            if len(plain):
+                for i, ids in zip(plain.tolist(), self._by_words([raw[i] for i in plain]), strict=True):
+                    out[at + i] = ids
+            for i in set(range(to - at)) - set(plain.tolist()):
+                out[at + i] = self._ids(texts[at + i])
+            at = to
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        lines: list[list[list[str]] | None] = []
-        after, first = set(), {""}
-        for text in texts:
-            plain = self.by_words and " ".join(text.split()) == text.replace("\n", " ") and not any(t in text for t in self.added)
-            rows = [line.split(" ") for line in text.split("\n")] if plain else None
-            lines.append(rows)
-            for row in rows or ():
-                first.add(row[0])
-                after.update(row[1:])
-        self._learn(self.after_blank, after, " ")
-        self._learn(self.line_first, first, "\n")
-        blank, begin, out = self.after_blank.__getitem__, self.line_first, []
-        for text, rows in zip(texts, lines, strict=True):
-            if rows is None:
-                out.append(self._ids(text).tobytes())
-            else:
-                out.append(self.line_break.join([begin[row[0]] + b"".join(map(blank, row[1:])) for row in rows]))
-        return out
+        return [ids.tobytes() for ids in self.arrays(texts)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -148,11 +235,9 @@ def curve_keys(documents: list[np.ndarray]) -> np.ndarray:
     rng = np.random.default_rng(20)
     projection = rng.standard_normal((HASHED, DIMENSIONS))
     projection /= np.linalg.norm(projection, axis=0)
-    vectors = np.zeros((len(documents), HASHED), np.float32)
-    for i, ids in enumerate(documents):
-        cells = (ids.astype(np.uint32) * np.uint32(2654435769)) >> np.uint32(32 - 9)
-        vectors[i] = np.bincount(cells, minlength=HASHED)
-    vectors = np.log1p(vectors)
+    cell = (np.arange(1 + max((int(d.max()) for d in documents if len(d)), default=0), dtype=np.uint32) * np.uint32(2654435769)) >> np.uint32(32 - 9)
+    cells = cell[np.concatenate(documents)] + np.repeat(np.arange(len(documents)) * HASHED, [len(d) for d in documents])
+    vectors = np.log1p(np.bincount(cells, minlength=len(documents) * HASHED).astype(np.float32)).reshape(-1, HASHED)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     # Rounding first keeps equal documents on equal points whatever the order of the sums.
     place = np.round(vectors.astype(np.float64) @ projection, 9)
@@ -165,13 +250,12 @@ def _tokenise(path: str) -> Callable[[Batches], Batches]:
         for big in batches:
             for at in range(0, big.num_rows, 1000):
                 batch = big.slice(at, 1000)
-                ids = encode([t or "" for t in batch.column("text").to_pylist()])
-                arrays = [np.frombuffer(i, encode.kind) for i in ids]
+                arrays = encode.arrays([t or "" for t in batch.column("text").to_pylist()])
                 yield pa.record_batch({
                     "uid": batch.column("uid"), "doc_id": batch.column("doc_id"),
                     "key": pa.array(curve_keys(arrays), pa.int64()),
                     "n": pa.array([len(a) + 1 for a in arrays], pa.int64()),
-                    "ids": pa.array(ids, pa.binary()),
+                    "ids": pa.array([a.tobytes() for a in arrays], pa.binary()),
                 })
 
     return run
