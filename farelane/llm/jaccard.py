@@ -8,13 +8,17 @@
    on distances to document pivots alone would copy every document to every region; the
    shingle decides which regions can meet, and the triangle inequality then drops pairs by
    their cells: d(x, y) >= d(p, q) - d(x, p) - d(y, q).
-4. Only pairs of different classes matter for components. In each region the smallest document
-   of every class meets that of the first class; links merge classes, and this is repeated while it finds links.
-5. Regions that still hold many classes are joined recursively: their documents alone get an exact rarity order and new
-   regions. What is left are pairs of different classes that meet in at least ``SHARED`` regions (the prefixes are
-   that much longer, so linked documents do); all of them are verified.
-
-Nothing is capped: a region that stays large is verified pair by pair in step 5.
+4. A document leaves that meets others in fewer of its regions than a link needs (the prefixes are longer than
+   necessary, so linked documents meet in several); this is repeated, as regions shrink. Only pairs of different classes matter for
+   components: in each region the smallest document of every class meets that of the first class; links merge classes.
+5. Regions that still hold many classes are joined by their own pivots: each document is at home with the nearest one and
+   is copied to each other one in its window, d(x, q) <= d(x, p) + 2 * radius, so that a linked pair meets where either is at home.
+   Crowded cells are split again; in a cell |d(x, p) - d(y, p)| <= radius must hold. The documents of a region that windows would copy
+   whole to most pivots (all are equally far from each other) leave if too few of their shingles are in other classes' documents.
+   Before that, links with the pivots of some turns merge classes, as long as that leaves much fewer.
+   In all other regions the pairs count that meet in enough of them. What is left is verified.
+
+Nothing is capped: a region that stays large is verified pair by pair.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelane.llm.common import sent_if_small, sliced, stored
@@ -32,7 +36,8 @@ from farelane.llm.components import components
 from farelane.llm.shingles import least_hashes, shingle_sets
 
 SEEDS = [0x1B873593A5A5A5A5, 0x85EBCA6B5C5C5C5C, 0xC2B2AE3569696969, 0x27D4EB2F3C3C3C3C]
-SHARED = 4  # shingles that the prefixes of two linked documents share at least, if they have that many to share
+SHARED, SHARED_PART = 4, 20  # prefixes of linked documents share so many shingles, or a twentieth of the smaller set, if they can
+PIVOTS, DEPTHS = 8, 3  # of a crowded region; how often crowded regions are split
 BROADCAST_TOKENS = 3_000_000  # longs that are sent whole to every executor
 SKETCH_BITS = 16  # cells of the document frequency sketch, which orders shingles by rarity
 REGION_POINTS = 64  # in a region with more points classes are merged by their first points before all pairs are made
@@ -84,7 +89,7 @@ def _prefixes(width: int, percent: int, sketch: np.ndarray) -> Callable[[Batches
             tokens = []
             for s in shingle_sets(batch.column("text"), width):
                 order = np.lexsort((s, sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
-                tokens.append(s[order[: len(s) - (percent * len(s) + 99) // 100 + SHARED]].view(np.int64))
+                tokens.append(s[order[: len(s) - (percent * len(s) + 99) // 100 + max(SHARED, -(-len(s) // SHARED_PART))]].view(np.int64))
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "tokens": pa.array(tokens, pa.list_(pa.int64()))})
 
     return run
@@ -103,6 +108,11 @@ def _measure(batches: Batches) -> Batches:
         })
 
 
+def _meetings(n: Column) -> Column:
+    """How many shingles the prefix of a set of ``n`` has beyond those that a link may lack."""
+    return F.greatest(F.lit(SHARED), F.ceil(n / SHARED_PART))
+
+
 class JaccardJoin:
     """One join; ``points`` are ``doc_id, text`` with distinct ids."""
 
@@ -156,25 +166,25 @@ class JaccardJoin:
             if found.isEmpty():
                 break
             classes = _merged(classes, found)
-        large = stored(mixed.groupBy("token").agg(F.countDistinct("class").alias("k")).filter(F.col("k") > REGION_CLASSES), "large")
-        kept = mixed.join(sent_if_small(large.select("token")), "token", "left_anti")
-        pairs = self._sharing(kept)
+        large = stored(mixed.groupBy("token").agg(F.countDistinct("class").alias("k")).filter(F.col("k") > REGION_CLASSES).select("token"), "large")
+        pairs = self._sharing(mixed.join(sent_if_small(large), "token", "left_anti"))
         if not large.isEmpty():
-            pairs = pairs.union(self._sharing(self._split(mixed.join(sent_if_small(large.select("token")), "token"), classes))).distinct()
+            crowded, classes = self._by_pivots(mixed.join(sent_if_small(large), "token"), classes)
+            pairs = pairs.union(crowded).distinct()
         return members, _merged(classes, self._verified_by_cells(pairs, cells))
 
     def _ordered(self, pairs: DataFrame) -> DataFrame:
-        """Pairs with the smaller id first, whose sizes allow the similarity; ``most`` is the larger size."""
+        """Pairs with the smaller id first, whose sizes allow the similarity; ``least``, ``most`` are the sizes."""
         fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        return pairs.filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.greatest("na", "nb").alias("most"))
+        return pairs.filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("na", "nb").alias("least"), F.greatest("na", "nb").alias("most"))
 
     def _sharing(self, regions: DataFrame) -> DataFrame:
         """Pairs of different classes that meet in as many regions as linked documents must."""
         left, right = regions.alias("l"), regions.alias("r")
         met = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.point") < F.col("r.point")) & (F.col("l.class") != F.col("r.class")))
         pairs = self._ordered(met.select(F.col("l.point").alias("a"), F.col("l.n").alias("na"), F.col("r.point").alias("b"), F.col("r.n").alias("nb")))
-        needed = F.least(F.lit(SHARED), F.ceil(F.col("most") * self.percent / 100))
-        return pairs.groupBy("a", "b", "most").agg(F.count("*").alias("k")).filter(F.col("k") >= needed).select("a", "b").distinct()
+        needed = F.least(_meetings(F.col("least")), F.ceil(F.col("most") * self.percent / 100))
+        return pairs.groupBy("a", "b", "least", "most").agg(F.count("*").alias("k")).filter(F.col("k") >= needed).select("a", "b").distinct()
 
     def _elect(self, points: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Links of points to pivots, and each linked point's cell: ``point, pivot, away`` (nearest pivot and distance)."""
@@ -200,24 +210,96 @@ class JaccardJoin:
         return stored(own.join(sent_if_small(stored(several, "shared"), BROADCAST_TOKENS), "token").select("token", "point", "n"), "regions")
 
     def _mixed(self, regions: DataFrame, classes: DataFrame) -> DataFrame:
-        """Regions with points of several classes: ``token, point, n, class``."""
-        told = regions.join(classes, "point")
-        several = told.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("token")
-        return stored(told.join(several, "token").select("token", "point", "n", "class"), "mixed")
-
-    def _split(self, crowded: DataFrame, classes: DataFrame) -> DataFrame:
-        """Regions for the points of large regions, with exact rarity among those points."""
-        points = stored(crowded.select("point", "n").distinct(), "split_points")
+        """Regions with points of several classes: ``token, point, n, class`` of points that meet others in enough of them."""
+        left = regions.join(classes, "point")
+        fewest = F.ceil(F.col("n") * self.percent / 100)  # the smallest partner, and the least that it shares
+        before = None
+        while True:
+            several = left.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("token")
+            met = stored(left.join(several, "token").select("token", "point", "n", "class"), "met")
+            enough = met.groupBy("point", "n").agg(F.count("*").alias("k")).filter(F.col("k") >= F.least(_meetings(fewest), fewest))
+            left = stored(met.join(sent_if_small(stored(enough.select("point"), "enough")), "point", "left_semi"), "mixed")
+            now = left.count()
+            if now == 0 or before is not None and now > 0.8 * before:
+                return left
+            before = now
+
+    def _pivots(self, members: DataFrame, turn: int) -> DataFrame:
+        """``region, pivot``: some points of each region, others in each turn."""
+        hashed = F.xxhash64("point", F.lit(turn))
+        chosen = members.groupBy("region", F.pmod(hashed, F.lit(PIVOTS))).agg(F.min(F.struct(hashed.alias("h"), "point")).alias("p"))
+        return stored(chosen.select("region", F.col("p.point").alias("pivot")), "pivots")
+
+    def _by_pivots(self, crowded: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs ``a, b`` of different classes that meet in crowded regions, by the regions' own pivots and windows, and the classes by then."""
+        radius, slack = 1 - self.percent / 100, 1e-9
+        first = crowded.groupBy("token").agg(F.min(F.struct(F.xxhash64("point"), "point")).alias("p")).select("token", F.col("p.point").alias("region"))
+        # Regions with the same first point are joined as one: most shingles of a shared passage have the same.
+        members = crowded.join(sent_if_small(first), "token").select("region", "point", "n", "class").distinct()
+        members = stored(members.withColumns({"home": F.lit(True), "d": F.lit(0.0)}), "crowd")
+        sets = self.sets_of(members.select(F.col("point").alias("doc_id")))
+        merged, turn = classes, 0
+        while True:  # pivots of each turn link what is near them, while that makes much fewer classes
+            turn += 1
+            met = members.select("region", "point", "class").join(sent_if_small(self._pivots(members, -turn)), "region")
+            other = met.join(members.select(F.col("point").alias("pivot"), F.col("class").alias("its")).distinct(), "pivot").filter("class <> its")
+            asked = other.select(F.least("point", "pivot").alias("a"), F.greatest("point", "pivot").alias("b")).distinct()
+            found = stored(self.near(self.distances(asked, sets)).select("a", "b"), "found")
+            if found.isEmpty():
+                break
+            merged = _merged(merged, found)
+            count = members.select("class").distinct().count()
+            members = stored(members.drop("class").join(merged, "point").select("region", "point", "n", "class", "home", "d"), "crowd")
+            if members.select("class").distinct().count() > 0.9 * count:
+                break
+        ready = []
+        for depth in range(DEPTHS):
+            size = members.groupBy("region").agg(F.countDistinct("class").alias("k"))
+            split = stored(size.filter(F.col("k") > REGION_CLASSES).select("region"), "split_regions")
+            if split.isEmpty():
+                break
+            ready.append(members.join(sent_if_small(split), "region", "left_anti"))
+            members = members.join(sent_if_small(split), "region")
+            met = members.withColumnRenamed("d", "was").join(sent_if_small(self._pivots(members, depth)), "region")
+            met = met.withColumns({"a": F.least("point", "pivot"), "b": F.greatest("point", "pivot")})
+            asked = self.distances(met.filter("a <> b").select("a", "b").distinct(), sets)
+            told = asked.select("a", "b", (1 - F.col("shared") / F.col("united")).alias("d"))
+            told = met.join(told, ["a", "b"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
+            nearest = told.groupBy("region", "point").agg(F.min(F.struct("d", "pivot")).alias("own"))
+            cells = told.join(nearest, ["region", "point"]).filter(F.col("d") <= F.col("own.d") + 2 * radius + slack)
+            cells = stored(cells.withColumn("at_home", F.col("pivot") == F.col("own.pivot")), "cells")
+            counted = cells.groupBy("region").agg(F.count("*").alias("copies"), F.count_if("at_home").alias("points"))
+            useless = stored(counted.filter(F.col("copies") * 2 > F.col("points") * PIVOTS).select("region"), "useless")
+            equal = stored(members.join(sent_if_small(useless), "region", "left_semi"), "equal")
+            if not equal.isEmpty():
+                ready.append(equal.join(sent_if_small(self._able(stored(equal.select("point", "n", "class").distinct(), "equal_points"))), "point", "left_semi"))
+            useful = cells.join(sent_if_small(useless), "region", "left_anti")
+            members = stored(useful.select(
+                F.xxhash64("region", "pivot", F.lit(depth)).alias("region"), "point", "n", "class", (F.col("home") & F.col("at_home")).alias("home"), "d"
+            ), "crowd")
+        ready.append(members)
+        pairs = [self._within(m, radius + slack) for m in ready]
+        out = pairs[0]
+        for p in pairs[1:]:
+            out = out.union(p)
+        return out, merged
+
+    def _able(self, points: DataFrame) -> DataFrame:
+        """The points, of ``point, n, class``, with enough shingles that points of other classes have too, to link with one."""
         texts = self.texts.join(sent_if_small(points.select(F.col("point").alias("doc_id"))), "doc_id", "left_semi")
-        sets = stored(texts.mapInArrow(_all_tokens(self.width), "doc_id long, tokens array<long>"), "split_sets")
-        spread = sets.select(F.col("doc_id").alias("point"), F.explode("tokens").alias("token"))
-        count = spread.groupBy("token").agg(F.count("*").alias("k"))
-        ordered = spread.join(count, "token").groupBy("point").agg(F.array_sort(F.collect_list(F.struct("k", "token"))).alias("t"))
-        n = F.size("t")
-        window = n - F.ceil(n * F.lit(self.percent) / 100).cast("int") + SHARED
-        own = ordered.select("point", F.explode(F.slice("t", F.lit(1), window)).alias("t")).filter("t.k > 1")
-        again = own.select(F.col("t.token").alias("token"), "point").join(points, "point").join(classes, "point")
-        return stored(again.select("token", "point", "n", "class"), "split")
+        sets = texts.mapInArrow(_all_tokens(self.width), "doc_id long, tokens array<long>").withColumnRenamed("doc_id", "point")
+        spread = stored(sets, "equal_sets").join(points, "point").select("point", "n", "class", F.explode("tokens").alias("token"))
+        several = spread.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("token")
+        met = spread.join(sent_if_small(stored(several, "several"), BROADCAST_TOKENS), "token").groupBy("point", "n").agg(F.count("*").alias("k"))
+        return stored(met.filter(F.col("k") * 100 >= F.col("n") * self.percent).select("point"), "able")
+
+    def _within(self, members: DataFrame, radius: float) -> DataFrame:
+        """Pairs of different classes in one region, one of them at home there."""
+        left, right = members.filter("home").alias("l"), members.alias("r")
+        met = left.join(right, (F.col("l.region") == F.col("r.region")) & (F.col("l.class") != F.col("r.class")) & (
+            ~F.col("r.home") | (F.col("l.point") < F.col("r.point"))
+        ) & (F.abs(F.col("l.d") - F.col("r.d")) <= radius) & (F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * self.percent))
+        return met.select(F.least("l.point", "r.point").alias("a"), F.greatest("l.point", "r.point").alias("b"))
 
     def _verified_by_cells(self, pairs: DataFrame, cells: DataFrame) -> DataFrame:
         """Links among the pairs: their cells' pivots are measured first, the triangle inequality drops the rest."""
