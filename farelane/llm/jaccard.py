@@ -8,11 +8,12 @@
    on distances to document pivots alone would copy every document to every region; the
    shingle decides which regions can meet, and the triangle inequality then drops pairs by
    their cells: d(x, y) >= d(p, q) - d(x, p) - d(y, q).
+   The rarity order comes from a count sketch whose size follows the corpus, up to ``MOST_BITS``.
 4. Only pairs of different classes matter for components. In each region the smallest document
    of every class meets that of the first class; links merge classes, and this is repeated while it finds links.
 5. Regions that still hold many classes are joined recursively: their documents alone get an exact rarity order and new
-   regions. What is left are pairs of different classes that meet in at least ``SHARED`` regions (the prefixes are
-   that much longer, so linked documents do); all of them are verified.
+   regions; a document of which too few shingles occur in any other leaves. What is left are pairs of different classes that meet in as
+   many regions as their sizes ask of linked documents (the prefixes are longer by ``SHARED``); all of them are verified.
 
 Nothing is capped: a region that stays large is verified pair by pair in step 5.
 """
@@ -24,7 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelane.llm.common import sent_if_small, sliced, stored
@@ -34,39 +35,52 @@ from farelane.llm.shingles import least_hashes, shingle_sets
 SEEDS = [0x1B873593A5A5A5A5, 0x85EBCA6B5C5C5C5C, 0xC2B2AE3569696969, 0x27D4EB2F3C3C3C3C]
 SHARED = 4  # shingles that the prefixes of two linked documents share at least, if they have that many to share
 BROADCAST_TOKENS = 3_000_000  # longs that are sent whole to every executor
-SKETCH_BITS = 16  # cells of the document frequency sketch, which orders shingles by rarity
+CELL_WORDS, LEAST_BITS, MOST_BITS = 64, 16, 22  # words of the corpus for each cell of the frequency sketch, which orders shingles by rarity
+CHUNK_BITS = 14  # cells of the sketch that are summed together
 REGION_POINTS = 64  # in a region with more points classes are merged by their first points before all pairs are made
 REGION_CLASSES = 32  # a region with more classes is split again
 Batches = Iterator[pa.RecordBatch]
 
 
-def _signatures(width: int) -> Callable[[Batches], Batches]:
+def _signatures(width: int, bits: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        counts = np.zeros(1 << bits, np.uint32)
         for batch in sliced(batches):
             sets = list(shingle_sets(batch.column("text"), width))
-            ids = batch.column("doc_id").to_pylist()
             if any(len(s) for s in sets):
-                counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
-            yield pa.record_batch({
-                "doc_id": pa.array(ids, pa.int64()),
-                "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                "digest": pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                "least": pa.array([least_hashes(s, SEEDS) if len(s) else None for s in sets], pa.list_(pa.int64())),
-                "counts": pa.array([None] * len(sets), pa.binary()),
-            })
-        if counts.any():
-            yield pa.record_batch({
-                "doc_id": pa.array([None], pa.int64()), "n_shingles": pa.array([-1], pa.int64()), "digest": pa.array([None], pa.binary()),
-                "least": pa.array([None], pa.list_(pa.int64())), "counts": pa.array([counts.tobytes()], pa.binary()),
-            })
+                np.add.at(counts, (np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
+            yield _signed(
+                batch.column("doc_id").to_pylist(), [len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
+                [least_hashes(s, SEEDS) if len(s) else None for s in sets], [None] * len(sets),
+            )
+        chunks = counts.reshape(-1, 1 << CHUNK_BITS)
+        for i in np.flatnonzero(chunks.any(axis=1)):
+            yield _signed([int(i)], [-1], [None], [None], [_narrow(chunks[i]).tobytes()])
 
     return run
 
 
+def _signed(ids: list, sizes: list, digests: list, least: list, counts: list) -> pa.RecordBatch:
+    return pa.record_batch({
+        "doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(sizes, pa.int64()), "digest": pa.array(digests, pa.binary()),
+        "least": pa.array(least, pa.list_(pa.int64())), "counts": pa.array(counts, pa.binary()),
+    })
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """In as few bytes as the largest count needs; ``_wide`` tells the type from the length."""
+    return counts.astype(np.min_scalar_type(int(counts.max())))
+
+
+def _wide(counts: bytes) -> np.ndarray:
+    return np.frombuffer(counts, f"u{len(counts) >> CHUNK_BITS}").astype(np.int64)
+
+
 def _summed(group: pa.Table) -> pa.Table:
-    total = sum((np.frombuffer(b.as_py(), np.int64) for b in group["counts"]), np.zeros(1 << SKETCH_BITS, np.int64))
-    return pa.table({"counts": pa.array([total.tobytes()], pa.binary())})
+    total = np.zeros(1 << CHUNK_BITS, np.int64)
+    for counts in group["counts"]:
+        total += _wide(counts.as_py())
+    return pa.table({"chunk": group["chunk"][:1], "counts": pa.array([_narrow(total).tobytes()], pa.binary())})
 
 
 def _sets(width: int) -> Callable[[Batches], Batches]:
@@ -78,12 +92,12 @@ def _sets(width: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def _prefixes(width: int, percent: int, sketch: np.ndarray) -> Callable[[Batches], Batches]:
+def _prefixes(width: int, percent: int, bits: int, sketch: np.ndarray) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         for batch in sliced(batches):
             tokens = []
             for s in shingle_sets(batch.column("text"), width):
-                order = np.lexsort((s, sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
+                order = np.lexsort((s, sketch[(s >> np.uint64(64 - bits)).astype(np.int64)]))
                 tokens.append(s[order[: len(s) - (percent * len(s) + 99) // 100 + SHARED]].view(np.int64))
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "tokens": pa.array(tokens, pa.list_(pa.int64()))})
 
@@ -125,12 +139,16 @@ class JaccardJoin:
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         """(``doc_id, n_shingles, point``; ``point, class``)."""
-        spark = self.texts.sparkSession
+        # Twice as many documents get twice as many cells, up to a sketch of some MB; a word takes six characters or so.
+        characters = self.texts.agg(F.sum(F.length("text"))).first()[0] or 0
+        bits = min(MOST_BITS, max(LEAST_BITS, (characters // (6 * CELL_WORDS)).bit_length()))
         signed = stored(self.texts.mapInArrow(
-            _signatures(self.width), "doc_id long, n_shingles long, digest binary, least array<long>, counts binary"
+            _signatures(self.width, bits), "doc_id long, n_shingles long, digest binary, least array<long>, counts binary"
         ), "signatures")
-        parts = signed.filter("counts IS NOT NULL").select("counts").groupBy(F.pmod(F.xxhash64("counts"), F.lit(16)))
-        sketch = sum((np.frombuffer(r[0], np.int64) for r in parts.applyInArrow(_summed, "counts binary").collect()), np.zeros(1 << SKETCH_BITS, np.int64))
+        parts = signed.filter("n_shingles < 0").select(F.col("doc_id").alias("chunk"), "counts").groupBy("chunk")
+        sketch = np.zeros((1 << bits - CHUNK_BITS, 1 << CHUNK_BITS), np.uint32)
+        for chunk, counts in parts.applyInArrow(_summed, "chunk long, counts binary").collect():
+            sketch[chunk] = np.minimum(_wide(counts), 2**32 - 1)
         signed = signed.filter("n_shingles >= 0").drop("counts")
         same = signed.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("point"), F.first("n_shingles").alias("n"), F.first("least").alias("least"))
         points = stored(same, "points")
@@ -138,7 +156,7 @@ class JaccardJoin:
 
         links, cells = self._elect(points)
         classes = _merged(points.select("point").distinct().select("point", F.col("point").alias("class")), links)
-        regions = self._regions(points, classes, _prefixes(self.width, self.percent, sketch))
+        regions = self._regions(points, classes, _prefixes(self.width, self.percent, bits, sketch.ravel()))
         sets = None
         while True:  # in regions with many points, the first of each class
             mixed = self._mixed(regions, classes)
@@ -158,7 +176,7 @@ class JaccardJoin:
             classes = _merged(classes, found)
         large = stored(mixed.groupBy("token").agg(F.countDistinct("class").alias("k")).filter(F.col("k") > REGION_CLASSES), "large")
         kept = mixed.join(sent_if_small(large.select("token")), "token", "left_anti")
-        pairs = self._sharing(kept)
+        pairs = self._sharing(kept.withColumn("most", F.col("n")))
         if not large.isEmpty():
             pairs = pairs.union(self._sharing(self._split(mixed.join(sent_if_small(large.select("token")), "token"), classes))).distinct()
         return members, _merged(classes, self._verified_by_cells(pairs, cells))
@@ -169,12 +187,30 @@ class JaccardJoin:
         return pairs.filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.greatest("na", "nb").alias("most"))
 
     def _sharing(self, regions: DataFrame) -> DataFrame:
-        """Pairs of different classes that meet in as many regions as linked documents must."""
+        """Pairs of different classes that meet in as many regions as linked documents must.
+
+        ``regions`` are ``token, point, n, class, most``: a set of ``n`` shingles shares ``most`` with others at the outside.
+        """
+        counted = regions.groupBy("point", "n").agg(F.count("*").alias("k"))
+        counted = counted.filter(F.col("k") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * self.percent / 100)))
+        regions = stored(regions.join(sent_if_small(stored(counted, "met")), ["point", "n"]), "met_regions")
+        shared, needed = self._needed(F.col("l.n"), F.col("r.n"))
         left, right = regions.alias("l"), regions.alias("r")
-        met = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.point") < F.col("r.point")) & (F.col("l.class") != F.col("r.class")))
-        pairs = self._ordered(met.select(F.col("l.point").alias("a"), F.col("l.n").alias("na"), F.col("r.point").alias("b"), F.col("r.n").alias("nb")))
-        needed = F.least(F.lit(SHARED), F.ceil(F.col("most") * self.percent / 100))
-        return pairs.groupBy("a", "b", "most").agg(F.count("*").alias("k")).filter(F.col("k") >= needed).select("a", "b").distinct()
+        # Where both have much of their own, as documents around one passage have, they can't link and do not meet.
+        met = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.point") < F.col("r.point")) & (F.col("l.class") != F.col("r.class")) & (
+            F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * self.percent
+        ) & (F.least("l.most", "r.most") >= shared) & (F.least("l.k", "r.k") >= needed))
+        pairs = met.groupBy(F.col("l.point").alias("a"), F.col("r.point").alias("b"), needed.alias("needed")).agg(F.count("*").alias("k"))
+        return pairs.filter("k >= needed").select("a", "b").distinct()
+
+    def _needed(self, a: Column, b: Column) -> tuple[Column, Column]:
+        """How many shingles linked sets of ``a`` and ``b`` shingles share, and how many their prefixes share.
+
+        The prefix that ends first in the common order lacks at most what its set does not share, and all that it shares lies in the other.
+        """
+        shared = F.ceil((a + b) * self.percent / (100 + self.percent) - 1e-9)
+        own = F.ceil(F.greatest(a, b) * self.percent / 100)
+        return shared, F.least(shared, shared - own + SHARED)
 
     def _elect(self, points: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Links of points to pivots, and each linked point's cell: ``point, pivot, away`` (nearest pivot and distance)."""
@@ -207,17 +243,18 @@ class JaccardJoin:
 
     def _split(self, crowded: DataFrame, classes: DataFrame) -> DataFrame:
         """Regions for the points of large regions, with exact rarity among those points."""
-        points = stored(crowded.select("point", "n").distinct(), "split_points")
+        points = stored(crowded.select("point").distinct(), "split_points")
         texts = self.texts.join(sent_if_small(points.select(F.col("point").alias("doc_id"))), "doc_id", "left_semi")
         sets = stored(texts.mapInArrow(_all_tokens(self.width), "doc_id long, tokens array<long>"), "split_sets")
-        spread = sets.select(F.col("doc_id").alias("point"), F.explode("tokens").alias("token"))
+        # An id that comes with several texts has several sets here.
+        spread = sets.select(F.col("doc_id").alias("point"), F.size("tokens").alias("n"), F.xxhash64("tokens").alias("own"), F.explode("tokens").alias("token"))
         count = spread.groupBy("token").agg(F.count("*").alias("k"))
-        ordered = spread.join(count, "token").groupBy("point").agg(F.array_sort(F.collect_list(F.struct("k", "token"))).alias("t"))
-        n = F.size("t")
-        window = n - F.ceil(n * F.lit(self.percent) / 100).cast("int") + SHARED
-        own = ordered.select("point", F.explode(F.slice("t", F.lit(1), window)).alias("t")).filter("t.k > 1")
-        again = own.select(F.col("t.token").alias("token"), "point").join(points, "point").join(classes, "point")
-        return stored(again.select("token", "point", "n", "class"), "split")
+        ordered = spread.join(count, "token").groupBy("point", "n", "own").agg(F.array_sort(F.collect_set(F.struct("k", "token"))).alias("t"))
+        shared = F.size(F.filter("t", lambda t: t["k"] > 1))
+        window = F.col("n") - F.ceil(F.col("n") * F.lit(self.percent) / 100).cast("int") + SHARED
+        able = ordered.filter(shared * 100 >= F.col("n") * self.percent)  # the others can't link with any point of the crowd
+        own = able.select("point", "n", shared.alias("most"), F.explode(F.filter(F.slice("t", F.lit(1), window), lambda t: t["k"] > 1)["token"]).alias("token"))
+        return stored(own.join(classes, "point").select("token", "point", "n", "class", "most"), "split")
 
     def _verified_by_cells(self, pairs: DataFrame, cells: DataFrame) -> DataFrame:
         """Links among the pairs: their cells' pivots are measured first, the triangle inequality drops the rest."""
