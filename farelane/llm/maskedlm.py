@@ -35,6 +35,7 @@ EMBEDDED, HIDDEN = 16, 32
 MASK_EVERY = 2  # as many passes mask every position once
 BATCH, RATE, PASSES = 2048, 0.08, 2
 SCORED_AT_ONCE = 8192
+SENT_WORDS = 200_000  # the words with the largest gains go to every scoring task (3 MB), all others are joined
 SLICE = 8192  # weights in a row while copies are averaged
 SHAPES = {
     "embed": (IDS, EMBEDDED), "w": (2 * SIDE * EMBEDDED, HIDDEN), "b": (HIDDEN,), "cw": (HIDDEN, CLASSES), "cb": (CLASSES,),
@@ -294,8 +295,8 @@ def within_ids(counts: DataFrame, known: Vocabulary) -> tuple[DataFrame, np.ndar
     return shared.filter("n > 1").select("word", F.log("n").alias("gain")), missing
 
 
-def _scoring(known: Vocabulary, weights: Weights, missing: np.ndarray) -> Callable[[Batches], Batches]:
-    """Sums as if no word of a shared id were counted, and these words with how often a text has them."""
+def _scoring(known: Vocabulary, weights: Weights, missing: np.ndarray, sent: np.ndarray, gain: np.ndarray) -> Callable[[Batches], Batches]:
+    """Sums as if no word of a shared id but those ``sent`` (sorted) were counted, and these words with how often a text has them."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -303,7 +304,14 @@ def _scoring(known: Vocabulary, weights: Weights, missing: np.ndarray) -> Callab
             for words, bounds in word_hashes(batch.column("text")):
                 ids = known.ids(words)
                 hashed = ids > OWN_IDS
-                total = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, windows(ids, bounds), ids) + np.where(hashed, missing[ids], 0))])
+                score = log_probabilities(weights, windows(ids, bounds), ids) + np.where(hashed, missing[ids], 0)
+                if len(sent):
+                    places = np.flatnonzero(hashed)
+                    at = np.minimum(np.searchsorted(sent, words[places]), len(sent) - 1)
+                    told = sent[at] == words[places]
+                    score[places[told]] += gain[at[told]]
+                    hashed[places[told]] = False
+                total = np.concatenate([[0.0], np.cumsum(score)])
                 sums.append(total[bounds[1:]] - total[bounds[:-1]])
                 sizes.append(np.diff(bounds))
                 for a, b in zip(bounds[:-1], bounds[1:], strict=True):
@@ -333,7 +341,11 @@ def masked_scores(documents: DataFrame, passes: int = PASSES) -> DataFrame:
 def scored(rows: DataFrame, known: Vocabulary, weights: Weights, gains: DataFrame, missing: np.ndarray) -> DataFrame:
     """The scores of every row by a trained network and the counts within the shared ids."""
     kind = rows.schema["doc_id"].dataType.simpleString()
-    base = rows.mapInArrow(_scoring(known, weights, missing), f"doc_id {kind}, n_tokens long, s double, rare array<long>, often array<int>")
+    top = gains.orderBy(F.desc("gain"), "word").limit(SENT_WORDS).toArrow()
+    sent = top["word"].to_numpy().view(np.uint64)
+    order = np.argsort(sent)
+    run = _scoring(known, weights, missing, sent[order], top["gain"].to_numpy()[order])
+    base = rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, s double, rare array<long>, often array<int>")
     base = stored(base.withColumn("place", F.monotonically_increasing_id()), "scores")
     each = base.select("place", F.explode(F.arrays_zip("rare", "often")).alias("r")).select("place", F.col("r.rare").alias("word"), "r.often")
     added = each.join(sent_if_small(gains), "word").groupBy("place").agg(F.sum(F.col("often") * F.col("gain")).alias("gain"))

@@ -155,3 +155,21 @@ def test_words_of_a_shared_id_have_their_own_probabilities(frame):
             score += np.log(n[w] / (totals[k] + 1)) if k > 768 else 0
         want.append((-1 if i is None else i, len(words), round(score, 3)))
     assert sorted(want) == sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, round(r.pseudo_log_likelihood, 3)) for r in got)
+
+
+def test_sent_and_joined_words_score_alike(frame, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.3, 60) % 5000)) for i in range(80)] + [(900, None), (901, "")]
+    d = frame(rows, "doc_id long, text string")
+    counts = maskedlm.word_counts(d).cache()
+    monkeypatch.setattr(maskedlm, "OWN_IDS", 5)
+    known = maskedlm.frequent(counts)
+    gains, missing = maskedlm.within_ids(counts, known)
+    seen = []
+    for sent in (1, 20, 200_000):
+        monkeypatch.setattr(maskedlm, "SENT_WORDS", sent)
+        got = maskedlm.scored(d, known, maskedlm.initial(), gains, missing).collect()
+        seen.append({r.doc_id: (r.n_tokens, r.pseudo_log_likelihood) for r in got})
+    assert len(seen[0]) == len(rows)
+    for other in seen[1:]:
+        assert all(other[i][0] == n and abs(other[i][1] - s) < 1e-5 for i, (n, s) in seen[0].items())
