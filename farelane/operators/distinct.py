@@ -1,42 +1,40 @@
-"""Distinct counts that add up: exact sets as bitmaps, kept by day and merged for longer periods.
+"""Distinct counts that add up: exact sets of ids, kept by day and merged for longer periods.
 
-An id belongs to a bucket of 32,768 ids and has a bit there. A group's set is a bitmap of 4 kB for each bucket that it has ids in,
-so a group with a third of all rows spreads over its buckets, no task ever holds a group's ids, and merging needs no ids at all.
-Sums are kept beside the bitmaps, per bucket too.
+A set has one row for each id of a group, with the sums of the group's rows that carry the id, so sets are never larger than the
+rows that they are made of, however far apart the ids lie, and a group with a third of all rows is dealt over all tasks by its ids.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from farelane.functions.calendar import Span
 from farelane.operators.partitions import Replaced, replace_period_partitions
 
-BITS, BUCKET = "ids", "id_bucket"
+MEMBER = "member_id"
 
 
 def id_sets(rows: DataFrame, keys: list[str], id_column: str, sums: dict[str, Column] | None = None) -> DataFrame:
-    """``keys``, bucket and bitmap of the ids that each group has, with ``sums`` (name to a column to add up).
+    """``keys`` and ids that each group has, with ``sums`` (name to a column to add up).
 
-    Rows without an id are in the sums and in no set. Ids are whole numbers.
+    Rows without an id are in the sums and in no set.
     """
-    identity = F.col(id_column)
-    return rows.groupBy(*keys, F.bitmap_bucket_number(identity).alias(BUCKET)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(identity)).alias(BITS),
-        *[F.sum(c).alias(name) for name, c in (sums or {}).items()],
-    )
+    return _summed(rows.groupBy(*keys, F.col(id_column).alias(MEMBER)), sums or {})
 
 
 def merged_sets(sets: DataFrame, keys: list[str], sums: list[str] = ()) -> DataFrame:
-    """Sets of coarser groups: bitmaps of a bucket are joined, whatever rows or days they come from."""
-    return sets.groupBy(*keys, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS), *[F.sum(c).alias(c) for c in sums])
+    """Sets of coarser groups: an id is there once, whatever rows or days it comes from."""
+    return _summed(sets.groupBy(*keys, MEMBER), {c: F.col(c) for c in sums})
 
 
 def counted(sets: DataFrame, keys: list[str], count: str, sums: list[str] = ()) -> DataFrame:
-    """Distinct ids and sums of each group. ``sets`` have one row for each group and bucket."""
-    ids = F.when(F.col(BUCKET).isNotNull(), F.bitmap_count(BITS)).otherwise(0)
-    return sets.groupBy(*keys).agg(F.sum(ids).alias(count), *[F.sum(c).alias(c) for c in sums])
+    """Distinct ids and sums of each group. ``sets`` have one row for each group and id."""
+    return sets.groupBy(*keys).agg(F.count(MEMBER).alias(count), *[F.sum(c).alias(c) for c in sums])
+
+
+def _summed(groups: GroupedData, sums: dict[str, Column]) -> DataFrame:
+    return groups.agg(*[F.sum(c).alias(name) for name, c in sums.items()]) if sums else groups.agg(F.count("*").alias("n")).drop("n")
 
 
 def refresh_days(rows: DataFrame, path: str, keys: list[str], id_column: str, sums: dict[str, Column], span: Span, day: str = "local_day") -> Replaced:

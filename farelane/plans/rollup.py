@@ -26,7 +26,7 @@ def route_revenue(daily: DataFrame, span: Span) -> DataFrame:
 
     Vehicle rows and channel rows come from one merge; the channel's set is the union of its vehicles' sets.
     """
-    sets = merged_sets(by_period_of(daily, span), ["period", *KEYS], ["amount"])
+    sets = by_period_of(daily, span)
     kinds = F.array(
         F.struct(F.col("vehicle_label").alias("vehicle_transaction_type"), F.lit(labels.BY_VEHICLE).alias("type")),
         F.struct(F.lit(labels.ETC).alias("vehicle_transaction_type"), F.lit(labels.BY_CHANNEL).alias("type")),

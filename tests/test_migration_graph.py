@@ -86,6 +86,15 @@ def test_sets_count_exactly(spark):
     assert {r.n for r in none.collect()} == {0}
 
 
+def test_sets_of_scattered_ids_stay_as_small_as_their_rows(spark, tmp_path):
+    path = str(tmp_path / "scattered")
+    rows = spark.range(2_000).select((F.col("id") % 300).alias("g"), (F.col("id") * 1_000_003).alias("k"), F.lit(1).alias("x"))
+    sets = distinct.id_sets(rows, ["g"], "k", {"total": F.col("x")})
+    sets.coalesce(1).write.option("compression", "none").parquet(path)
+    assert sum(size for size, _ in partitions.Folder(spark, path).files().values()) < 100 * 2_000
+    assert sets.groupBy("g", distinct.MEMBER).count().filter("count > 1").isEmpty()
+
+
 def test_one_day_is_renewed_alone(spark, tmp_path):
     path, span = str(tmp_path / "sets"), Span.backfill("day", "1997-01-01", "1997-01-10")
     rows = spark.range(100).select(F.date_add(F.lit(date(1997, 1, 1)), (F.col("id") % 10).cast("int")).alias("local_day"), F.lit("r").alias("route"), "id", F.lit(1).alias("x"))
