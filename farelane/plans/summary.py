@@ -69,26 +69,21 @@ def transaction_summary_by_price(star: Star, span: Span) -> DataFrame:
 def transaction_summary_by_lane(star: Star, span: Span) -> DataFrame:
     """Transactions joined to all their ticket details, by lane; route from the plaza name.
 
-    Details are read where they can belong to the period, cut to its transactions, then counted per transaction and ticket, so a
-    month does not aggregate the history of the other fact, and a transaction with very many details
-    crosses the join as one row per ticket.
+    Details are read where they can belong to the period. The joined rows go straight into the report's groups within the
+    joining task, so neither details nor tickets are held per transaction, and a transaction with very
+    many details may be split over tasks.
     """
     columns = [
         "transport_trans_id", "vehicle_type", "checkin_toll_name", "checkout_toll_name", "checkin_lane_name",
         "checkout_lane_name", "total_amount",
     ]
     txn = by_period(star.fact("txn", span, columns), span)
-    tickets = (
-        star.partner("detail", "txn", span, ["transport_trans_id", "price_ticket_type", "price_type"])
-        .join(txn.select("transport_trans_id"), "transport_trans_id", "left_semi")
-        .groupBy("transport_trans_id", "price_ticket_type", "price_type").agg(F.count("*").alias("quantity"))
-    )
+    tickets = star.partner("detail", "txn", span, ["transport_trans_id", "price_ticket_type", "price_type"])
     keys = [
         "period", "vehicle_type", "price_ticket_type", "checkin_toll_name", "checkout_toll_name",
         "checkin_lane_name", "checkout_lane_name",
     ]
-    times = F.col("quantity").cast("decimal(10,0)")
-    rows = txn.join(tickets, "transport_trans_id").withColumn("amount", F.col("total_amount") * times)
+    rows = txn.join(tickets, "transport_trans_id").withColumns({"quantity": F.lit(1), "amount": F.col("total_amount")})
     return price_type_pivot(rows, keys).select(
         *span.labels(), "vehicle_type", F.col("price_ticket_type").alias("fare_category"), *_measures(),
         route_of(F.col("checkout_toll_name")).alias("route"),

@@ -69,6 +69,16 @@ def test_pivot_adds_up(star):
     assert out.filter(sum(parts[1:], parts[0]) != F.col("total_revenue")).count() == 0
 
 
+def test_lane_summary_holds_nothing_per_transaction(star):
+    out = summary.transaction_summary_by_lane(star, whole("year"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate [" in line and "l_orderkey" in line] and "LeftSemi" not in plan
+    txn = star.fact("txn", whole("year"), ["transport_trans_id", "total_amount"])
+    both = txn.join(star.fact("detail", columns=["transport_trans_id"]), "transport_trans_id")
+    totals = both.agg(F.count("*").alias("n"), F.sum("total_amount").alias("g")).first()
+    assert out.agg(F.sum("total_pass_count").alias("n"), F.sum("total_revenue").alias("g")).first() == totals
+
+
 def test_stage_view_is_unique_and_keeps_rows(star):
     stage = star.stage_closed()
     assert stage.count() == stage.select("stage_id").distinct().count()
