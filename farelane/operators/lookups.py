@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from farelane.functions.text import list_codes, list_text
 
+# Most rows of a dictionary that is sent whole to every executor (some tens of MB of codes and ids).
+BROADCAST_ROWS = 200_000
+
 
 def key_map(legacy: DataFrame, new: DataFrame, legacy_id: str, new_id: str, legacy_key: str, new_key: str,
             how: str = "inner") -> DataFrame:
@@ -44,18 +47,22 @@ class Lookup:
 def resolve(rows: DataFrame, lookups: list[Lookup]) -> DataFrame:
     """Left-join every lookup in turn; an unknown or NULL code gives NULL.
 
-    The dictionaries carry no hint: Spark broadcasts those below its size threshold
-    and shuffles the others.
+    Small dictionaries are counted and sent to the rows: a few codes would else deal all rows to a few tasks,
+    as Spark can't size a dictionary that is derived from a large table. Larger ones are shuffled.
     """
     for n, lookup in enumerate(lookups):
         entries = lookup.dictionary
         if lookup.live_only:
             entries = entries.filter(F.col("is_deleted") == 0)
         entries = entries.select(_key(F.col(lookup.key), lookup).alias(f"_k{n}"), F.col(lookup.value).alias(lookup.out))
-        rows = rows.join(entries, _key(rows[lookup.column], lookup) == F.col(f"_k{n}"), "left").drop(f"_k{n}")
+        rows = rows.join(_sent_if_small(entries), _key(rows[lookup.column], lookup) == F.col(f"_k{n}"), "left").drop(f"_k{n}")
     return rows
 
 
+def _sent_if_small(entries: DataFrame) -> DataFrame:
+    return F.broadcast(entries) if entries.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else entries
+
+
 def _key(column: Column, lookup: Lookup) -> Column:
     return F.trim(column.cast("string")) if lookup.as_text else column
 

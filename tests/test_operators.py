@@ -74,6 +74,15 @@ def test_explode_keeps_rows_without_codes(spark):
     assert sorted(values(lookups.explode_codes(rows, "codes", "c"), "k", "c"), key=str) == [(1, "a"), (1, "b"), (2, None), (3, None)]
 
 
+def test_few_codes_of_a_derived_dictionary_do_not_gather_rows(spark):
+    rows = spark.range(1_000).select("id", (F.col("id") % 4).alias("code"))
+    derived = spark.range(5_000_000).select((F.col("id") % 3).alias("code")).distinct().select("code", (F.col("code") + 10).alias("value"))
+    out = lookups.resolve(rows, [lookups.Lookup("code", derived, "got", value="value")])
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert {(r.code, r.got): r["count"] for r in out.groupBy("code", "got").count().collect()} == {(0, 10): 250, (1, 11): 250, (2, 12): 250, (3, None): 250}
+
+
+
 def test_live_rows_and_text_keys(spark, dictionary):
     rows = spark.createDataFrame([("a",), ("c",), (" b ",), (None,)], "code string")
     out = lookups.resolve(rows.withColumnRenamed("code", "k"), [
