@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.llm.common import stored
+from farelane.llm.common import sliced, stored
 
 HASHED = 512  # cells of a document's hashed vector
 DIMENSIONS, BITS = 3, 16  # of the curve
 CACHED_WORDS = 2_000_000  # about 30 bytes each
-PIECE_CHARS = 4_000_000  # texts are hashed together up to this size; a longer one is hashed alone
+PIECE_CHARS = 1_000_000  # texts are hashed together up to this size (work arrays of some 50 bytes a character); a longer one is hashed alone
 END_ID = 0
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 Batches = Iterator[pa.RecordBatch]
@@ -247,16 +247,14 @@ def curve_keys(documents: list[np.ndarray]) -> np.ndarray:
 def _tokenise(path: str) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         encode = _encoder(path)
-        for big in batches:
-            for at in range(0, big.num_rows, 1000):
-                batch = big.slice(at, 1000)
-                arrays = encode.arrays([t or "" for t in batch.column("text").to_pylist()])
-                yield pa.record_batch({
-                    "uid": batch.column("uid"), "doc_id": batch.column("doc_id"),
-                    "key": pa.array(curve_keys(arrays), pa.int64()),
-                    "n": pa.array([len(a) + 1 for a in arrays], pa.int64()),
-                    "ids": pa.array([a.tobytes() for a in arrays], pa.binary()),
-                })
+        for batch in sliced(batches):
+            arrays = encode.arrays([t or "" for t in batch.column("text").to_pylist()])
+            yield pa.record_batch({
+                "uid": batch.column("uid"), "doc_id": batch.column("doc_id"),
+                "key": pa.array(curve_keys(arrays), pa.int64()),
+                "n": pa.array([len(a) + 1 for a in arrays], pa.int64()),
+                "ids": pa.array([a.tobytes() for a in arrays], pa.binary()),
+            })
 
     return run
 
@@ -274,7 +272,7 @@ def _starts(batches: Batches) -> Batches:
 
 def _cut(size: int, kind: str) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in sliced(batches):
             rows: list[tuple] = []
             for doc, raw, begin in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ids", "begin")), strict=True):
                 ids = np.append(np.frombuffer(raw, kind), END_ID).astype("<u4")

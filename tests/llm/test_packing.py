@@ -71,3 +71,16 @@ def test_close_documents_have_close_keys():
 
 def test_empty_table(frame):
     assert pack(frame([], "doc_id long, text string")).count() == 0
+
+
+def test_work_arrays_stay_small_beside_the_texts():
+    import tracemalloc
+
+    encode = Encoder(default_vocabulary())
+    texts = [" ".join(f"w{(k * 7 + j) % 500}" for j in range(1_000)) for k in range(1_000)]
+    encode.arrays(texts[:10])
+    tracemalloc.start()
+    ids = encode.arrays(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) == 1_000 and peak < 150_000_000
