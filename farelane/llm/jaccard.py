@@ -189,19 +189,27 @@ class JaccardJoin:
     def _sharing(self, regions: DataFrame) -> DataFrame:
         """Pairs of different classes that meet in as many regions as linked documents must.
 
-        ``regions`` are ``token, point, n, class, most``: a set of ``n`` shingles shares ``most`` with others at the outside.
+        ``regions`` are ``token, place, point, n, class, most``: a set of ``n`` shingles shares ``most`` with others at the outside.
+        Of the shingles that linked sets share, the k-th in the common order has all but k of them behind it, in both sets. So the
+        first ``SHARED`` stand early enough in both, and points meet at those places only: common shingles, which stand late, make no pairs.
         """
         counted = regions.groupBy("point", "n").agg(F.count("*").alias("k"))
         counted = counted.filter(F.col("k") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * self.percent / 100)))
         regions = stored(regions.join(sent_if_small(stored(counted, "met")), ["point", "n"]), "met_regions")
         shared, needed = self._needed(F.col("l.n"), F.col("r.n"))
         left, right = regions.alias("l"), regions.alias("r")
+        first = F.least(F.lit(SHARED), shared)
         # Where both have much of their own, as documents around one passage have, they can't link and do not meet.
         met = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.point") < F.col("r.point")) & (F.col("l.class") != F.col("r.class")) & (
             F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * self.percent
-        ) & (F.least("l.most", "r.most") >= shared) & (F.least("l.k", "r.k") >= needed))
-        pairs = met.groupBy(F.col("l.point").alias("a"), F.col("r.point").alias("b"), needed.alias("needed")).agg(F.count("*").alias("k"))
-        return pairs.filter("k >= needed").select("a", "b").distinct()
+        ) & (F.least("l.most", "r.most") >= shared) & (F.least("l.k", "r.k") >= needed)
+            & (F.greatest(F.col("l.place") - F.col("l.n"), F.col("r.place") - F.col("r.n")) < first - shared))
+        pairs = met.groupBy(F.col("l.point").alias("a"), F.col("l.n").alias("na"), F.col("r.point").alias("b"), F.col("r.n").alias("nb")).agg(F.count("*").alias("k"))
+        shared, needed = self._needed(F.col("na"), F.col("nb"))
+        some = stored(pairs.filter(F.col("k") >= F.least(F.lit(SHARED), shared)).select("a", "na", "b", "nb", needed.alias("needed")), "meeting")
+        tokens = regions.groupBy("point", "n").agg(F.collect_set("token").alias("t"))
+        both = some.join(tokens.toDF("a", "na", "x"), ["a", "na"]).join(tokens.toDF("b", "nb", "y"), ["b", "nb"])
+        return both.filter(F.size(F.array_intersect("x", "y")) >= F.col("needed")).select("a", "b").distinct()
 
     def _needed(self, a: Column, b: Column) -> tuple[Column, Column]:
         """How many shingles linked sets of ``a`` and ``b`` shingles share, and how many their prefixes share.
@@ -228,18 +236,18 @@ class JaccardJoin:
         return near.select("a", "b"), cells.select("point", "c.pivot", "c.away")
 
     def _regions(self, points: DataFrame, classes: DataFrame, prefixes: Callable[[Batches], Batches]) -> DataFrame:
-        """``token, point, n`` of all tokens that points of several classes have in their prefixes."""
+        """``token, place, point, n`` of all tokens (and their places in the point's order) that points of several classes have in their prefixes."""
         tokens = stored(self.texts.mapInArrow(prefixes, "doc_id long, tokens array<long>"), "prefixes")
         told = tokens.join(sent_if_small(points.select("point", "n").join(classes, "point").withColumnRenamed("point", "doc_id"), 1_000_000), "doc_id")
-        own = told.select(F.col("doc_id").alias("point"), "n", "class", F.explode("tokens").alias("token"))
+        own = told.select(F.col("doc_id").alias("point"), "n", "class", F.posexplode("tokens").alias("place", "token"))
         several = own.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("token")
-        return stored(own.join(sent_if_small(stored(several, "shared"), BROADCAST_TOKENS), "token").select("token", "point", "n"), "regions")
+        return stored(own.join(sent_if_small(stored(several, "shared"), BROADCAST_TOKENS), "token").select("token", "place", "point", "n"), "regions")
 
     def _mixed(self, regions: DataFrame, classes: DataFrame) -> DataFrame:
-        """Regions with points of several classes: ``token, point, n, class``."""
+        """Regions with points of several classes: ``token, place, point, n, class``."""
         told = regions.join(classes, "point")
         several = told.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("token")
-        return stored(told.join(several, "token").select("token", "point", "n", "class"), "mixed")
+        return stored(told.join(several, "token").select("token", "place", "point", "n", "class"), "mixed")
 
     def _split(self, crowded: DataFrame, classes: DataFrame) -> DataFrame:
         """Regions for the points of large regions, with exact rarity among those points."""
@@ -253,8 +261,8 @@ class JaccardJoin:
         shared = F.size(F.filter("t", lambda t: t["k"] > 1))
         window = F.col("n") - F.ceil(F.col("n") * F.lit(self.percent) / 100).cast("int") + SHARED
         able = ordered.filter(shared * 100 >= F.col("n") * self.percent)  # the others can't link with any point of the crowd
-        own = able.select("point", "n", shared.alias("most"), F.explode(F.filter(F.slice("t", F.lit(1), window), lambda t: t["k"] > 1)["token"]).alias("token"))
-        return stored(own.join(classes, "point").select("token", "point", "n", "class", "most"), "split")
+        own = able.select("point", "n", shared.alias("most"), F.posexplode(F.slice("t", F.lit(1), window)).alias("place", "t")).filter("t.k > 1")
+        return stored(own.select("*", "t.token").join(classes, "point").select("token", "place", "point", "n", "class", "most"), "split")
 
     def _verified_by_cells(self, pairs: DataFrame, cells: DataFrame) -> DataFrame:
         """Links among the pairs: their cells' pivots are measured first, the triangle inequality drops the rest."""

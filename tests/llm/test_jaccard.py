@@ -88,3 +88,12 @@ def test_an_id_with_two_texts_is_measured_by_each():
     })
     got = next(jaccard._measure([batch]))
     assert got.column("shared").to_pylist() == [10, 0, 20, 0] and got.column("united").to_pylist() == [10, 30, 20, 30]
+
+
+def test_points_meet_only_where_linked_sets_must(frame):
+    # Sets of 100 shingles that link share 89; the fourth shared one is among the first 15 in both orders.
+    late = [(t, t, p, 100, p, 100) for t in range(12, 25) for p in (1, 2)]
+    early = [(50 + t, t, p, 100, p, 100) for t in range(13) for p in (3, 4)]
+    regions = frame(late + early, "token long, place int, point long, n long, class long, most long")
+    join = jaccard.JaccardJoin(frame([], "doc_id long, text string"), 80, 5)
+    assert [tuple(r) for r in join._sharing(regions).collect()] == [(3, 4)]
