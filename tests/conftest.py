@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -27,3 +28,12 @@ def star(spark):
     from farelane.sources.roles import DerivedStar
 
     return DerivedStar(spark, SF)
+
+
+@pytest.fixture(scope="module", autouse=True)
+def nothing_left_cached():
+    """A module's cached frames end with it, so that others may ask for a session without any."""
+    yield
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        active.catalog.clearCache()
